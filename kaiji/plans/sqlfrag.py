@@ -46,3 +46,67 @@ def counter_class(v: str = "verdict", r: str = "reason") -> str:
             f"WHEN {r} = 'invalid_code_length' THEN 'format_err' "
             f"WHEN {r} IN ('no_sec_code', 'has_sec_code') THEN 'no_code' "
             f"WHEN {r} = 'invalid_metadata' THEN 'invalid_meta' ELSE 'processed' END")
+
+
+def blank_null(x: str) -> str:
+    return f"nullif({strip(x)}, '')"
+
+
+def parse_dt(x: str) -> str:
+    """P2 in DuckDB."""
+    s = f"CAST({x} AS VARCHAR)"
+    return (f"CASE WHEN length({s}) > 16 THEN try_strptime(substr({s}, 1, 19), '%Y-%m-%d %H:%M:%S') "
+            f"ELSE try_strptime(substr({s}, 1, 16), '%Y-%m-%d %H:%M') END")
+
+
+def repo_path(doc: str, sub: str, suffix: str = "zip") -> str:
+    s = f"CAST({sub} AS VARCHAR)"
+    d = f"substr({s}, 1, 10)"
+    return (f"CASE WHEN {s} IS NOT NULL AND length({s}) >= 10 AND len(string_split({d}, '-')) = 3 "
+            f"THEN 'raw/edinet/year=' || split_part({d}, '-', 1) || '/month=' || split_part({d}, '-', 2) "
+            f"|| '/day=' || split_part({d}, '-', 3) || '/{suffix}/' || {doc} || '.{suffix}' "
+            f"ELSE 'raw/edinet/unknown/{suffix}/' || {doc} || '.{suffix}' END")
+
+
+def status_rank(x: str) -> str:
+    return (f"CASE {x} WHEN 'retracted' THEN 1 WHEN 'failure' THEN 2 WHEN 'english_empty' THEN 3 "
+            f"WHEN 'attachment_empty' THEN 4 WHEN 'parsed' THEN 5 WHEN 'success' THEN 6 ELSE 99 END")
+
+
+def catalog_record_select(src: str = "v_filings") -> str:
+    """P13 projection in DuckDB (columns as kaiji.operators.catalog.catalog_record)."""
+    return f"""SELECT doc_id, {blank_null('jcn')} AS jcn,
+  {norm_code_cols('sec_code', 'n')},
+  n_code AS code,
+  coalesce({blank_null('filer_name')}, 'Unknown') AS company_name,
+  {blank_null('edinet_code')} AS edinet_code,
+  {parse_dt('submit_at')} AS submit_at_ts,
+  seq_number,
+  CASE WHEN {strip('period_end')} <> '' THEN TRY_CAST(substr({strip('period_end')}, 1, 4) AS BIGINT) END AS fiscal_year,
+  {blank_null('period_start')} AS period_start_s,
+  {blank_null('period_end')} AS period_end_s,
+  CAST(round((datediff('day', CAST(try_strptime({strip('period_start')}, '%Y-%m-%d') AS DATE),
+        CAST(try_strptime({strip('period_end')}, '%Y-%m-%d') AS DATE)) + 1) / 30.4375) AS BIGINT) AS nm_raw,
+  CASE WHEN nm_raw BETWEEN 1 AND 24 THEN nm_raw END AS num_months,
+  coalesce(doc_type, '') AS doc_type_s,
+  {blank_null('title')} AS title_s,
+  {blank_null('form_code')} AS form_code_s,
+  {blank_null('ordinance_code')} AS ordinance_code_s,
+  (coalesce({strip('parent_doc_id')} <> '', false) OR coalesce(suffix(doc_type, '1'), false)
+   OR coalesce(strpos(title, '訂正') > 0, false)) AS is_amendment,
+  {blank_null('parent_doc_id')} AS parent_doc_id_s,
+  {blank_null('withdrawal_status')} AS withdrawal_status_s,
+  {blank_null('doc_info_edit_status')} AS doc_info_edit_status_s,
+  coalesce(xbrl_flag = '1', false) AS xbrl_flag_b,
+  {blank_null('raw_zip_path')} AS raw_zip_path_s,
+  {repo_path('doc_id', 'submit_at')} AS zip_repo_path,
+  'EDINET' AS source
+FROM {src}"""
+
+
+CATALOG_COLS = ("doc_id, jcn, code, company_name, edinet_code, submit_at_ts AS submit_at, seq_number, fiscal_year, "
+                "period_start_s AS period_start, period_end_s AS period_end, num_months, doc_type_s AS doc_type, "
+                "title_s AS title, form_code_s AS form_code, ordinance_code_s AS ordinance_code, is_amendment, "
+                "parent_doc_id_s AS parent_doc_id, withdrawal_status_s AS withdrawal_status, "
+                "doc_info_edit_status_s AS doc_info_edit_status, xbrl_flag_b AS xbrl_flag, "
+                "raw_zip_path_s AS raw_zip_path, zip_repo_path, source")

@@ -145,6 +145,8 @@ def with_views(body: str, *names: str) -> str:
     """DuckDB oracle text: the named adapter views inlined as CTEs."""
     ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]}\n)" for n in names)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
