@@ -208,3 +208,23 @@ def q_audit_report(spark, sf_dir):
           .unionByName(_drift(spark, sf_dir).select(F.lit("Layer4_Catalog").alias("layer"),
                                                     F.col("doc_id").alias("object_id"))))
     return AU.audit_report(an, repair=True)
+
+
+@register("asset_sample", with_views(f"""WITH {CATALOG_CTE}
+SELECT doc_id, raw_zip_path FROM cat WHERE raw_zip_path IS NOT NULL ORDER BY md5(raw_zip_path), doc_id LIMIT 50""",
+                                     "v_filings"))
+def q_asset_sample(spark, sf_dir):
+    """L3: a repeatable sample of at most 50 stored archives for the deep
+    check (ordered by a hash of the path; the limit is the feature). Spark
+    plans this as a distributed top-k (TakeOrderedAndProject)."""
+    c = _catalog(spark, sf_dir).filter(F.col("raw_zip_path").isNotNull())
+    return c.orderBy(F.md5("raw_zip_path"), "doc_id").limit(50).select("doc_id", "raw_zip_path")
+
+
+@register("sorted_history", with_views(f"""SELECT * FROM ({_index_events_sql(24, 0.01)})
+ORDER BY date DESC, code, index_name, type""", "v_index_snapshots"))
+def q_sorted_history(spark, sf_dir):
+    """L1: event history sorted by date (newest first), then code (D8: the sort is kept)."""
+    s = view(spark, sf_dir, "v_index_snapshots").withColumnRenamed("snap_month", "snap_date")
+    ev = IX.index_events(s, min_rows=24, tol=0.01)
+    return ev.orderBy(F.col("date").desc(), "code", "index_name", "type")
