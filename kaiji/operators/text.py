@@ -29,12 +29,22 @@ ENGLISH_EXTS = (".pdf", ".htm", ".html")
 ATTACH_EXTS = (".pdf",)
 
 
-@F.pandas_udf("string")
-def nfkc(s: pd.Series) -> pd.Series:
-    """Unicode NFKC normalisation of whole strings (Arrow batches)."""
+def _nfkc_batch(s: pd.Series) -> pd.Series:
+    """Unicode NFKC normalisation of whole strings (one Arrow batch)."""
     return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else v)
 
 
+_NFKC_UDF = None
+
+
+def nfkc(c) -> Column:
+    """NFKC as a vectorised pandas UDF (created on first use, once a session exists)."""
+    global _NFKC_UDF
+    if _NFKC_UDF is None:
+        _NFKC_UDF = F.pandas_udf(_nfkc_batch, "string")
+    return _NFKC_UDF(col_(c))
+
+
 def strip_html(c) -> Column:
     """Drop ``<...>`` tags (a tag broken across lines survives)."""
     return F.regexp_replace(col_(c), TAG_PATTERN, "")

@@ -12,7 +12,9 @@ from kaiji.plans import sqlfrag as Q
 from kaiji.plans.registry import register
 from kaiji.plans.tables import table, view, with_views
 
-NEWEST_FIRST = [(-F.unix_micros(F.col("loaded_at").cast("timestamp"))), F.col("src_part"), F.col("src_supp")]
+def newest_first():
+    """Total order of fact rows, newest submission first."""
+    return [(-F.unix_micros(F.col("loaded_at").cast("timestamp"))), F.col("src_part"), F.col("src_supp")]
 NEWEST_SQL = "loaded_at DESC, src_part, src_supp"
 
 
@@ -29,7 +31,7 @@ QUALIFY row_number() OVER (PARTITION BY docid, key, context_ref ORDER BY {NEWEST
 def q_fact_dedupe(spark, sf_dir):
     """G2 numbers: one per (docid, key, context_ref), newest submission first."""
     f = _facts(spark, sf_dir).filter(F.col("isTextBlock_flg") == 0)
-    return FT.dedupe_facts(f, ["docid", "key", "context_ref"], NEWEST_FIRST)
+    return FT.dedupe_facts(f, ["docid", "key", "context_ref"], newest_first())
 
 
 @register("text_dedupe", with_views(f"""SELECT * FROM v_facts WHERE isTextBlock_flg = 1
@@ -37,7 +39,7 @@ QUALIFY row_number() OVER (PARTITION BY docid, key ORDER BY {NEWEST_SQL}) = 1"""
 def q_text_dedupe(spark, sf_dir):
     """G2 text: one per (docid, key), newest submission first."""
     f = _facts(spark, sf_dir).filter(F.col("isTextBlock_flg") == 1)
-    return FT.dedupe_facts(f, ["docid", "key"], NEWEST_FIRST)
+    return FT.dedupe_facts(f, ["docid", "key"], newest_first())
 
 
 @register("fact_bins", with_views(f"""WITH b AS (SELECT doc_id, {Q.norm_code_cols('sec_code', 'n')},
@@ -168,7 +170,7 @@ SELECT doc_id, accounting_standard FROM v_filings LEFT JOIN s ON doc_id = docid"
 def q_accounting_standard(spark, sf_dir):
     """The value of a document's standard fact copied onto its catalog row."""
     cat = view(spark, sf_dir, "v_filings").select("doc_id")
-    return FT.accounting_standard(_facts(spark, sf_dir), cat, STD_KEY, NEWEST_FIRST)
+    return FT.accounting_standard(_facts(spark, sf_dir), cat, STD_KEY, newest_first())
 
 
 _FAMS = "[" + ", ".join(f"'{f}'" for f in FT.TAXONOMY_FAMILIES) + "]"

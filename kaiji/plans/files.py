@@ -13,7 +13,7 @@ from kaiji.functions.codes import bin_id, normalize_code
 from kaiji.operators.catalog import catalog_record
 from kaiji.plans import sqlfrag as Q
 from kaiji.plans.audit import catalog_schema
-from kaiji.plans.facts import NEWEST_FIRST, NEWEST_SQL
+from kaiji.plans.facts import NEWEST_SQL, newest_first
 from kaiji.plans.filings import CATALOG_CTE
 from kaiji.plans.registry import register
 from kaiji.plans.tables import table, view, with_views
@@ -41,7 +41,6 @@ def q_response_jsonl(spark, sf_dir):
             .withColumn("results", F.when((dom % 10 == 0) | (dom == 15), F.lit(None)).otherwise(F.col("results"))))
     path = work_dir(spark, "responses")
     K.export_jsonl(resp.drop("chunk"), path)
-    schema = item.__class__  # noqa: F841 (schema comes from the written data below)
     result_schema = f.select(item.alias("r")).schema["r"].dataType
     return S.read_responses(spark, path, result_schema)
 
@@ -204,8 +203,8 @@ def q_bin_upsert(spark, sf_dir):
     tbl, stage = os.path.join(root, "table"), os.path.join(root, "stage")
     keys = ["docid", "key", "context_ref"]
     first = facts.filter(F.col("loaded_at") < F.to_timestamp(F.lit("1999-01-01")))
-    K.upsert_bins(first, tbl, stage + "-1", keys, NEWEST_FIRST)
-    K.upsert_bins(facts, tbl, stage + "-2", keys, NEWEST_FIRST)
+    K.upsert_bins(first, tbl, stage + "-1", keys, newest_first())
+    K.upsert_bins(facts, tbl, stage + "-2", keys, newest_first())
     return spark.read.parquet(tbl).select(*facts.columns)
 
 

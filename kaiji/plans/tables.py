@@ -20,7 +20,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Files above this size that scan as fewer partitions than the cluster has
 # cores are spread out once after the scan (a single-row-group file is read
 # by one task). On a real cluster the inputs are many files and this is a no-op.
-REBALANCE_MIN_BYTES = 4 << 20
+REBALANCE_MIN_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

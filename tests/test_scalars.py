@@ -80,3 +80,15 @@ def test_lenient_date(spark):
     fb = F.to_date(F.lit("2000-01-01"))
     got = one(spark, D.lenient_date("x", fb), ["2024-02-03", "2024/02/03", "20240203", "bad", None])
     assert [str(g) for g in got] == ["2024-02-03", "2024-02-03", "2024-02-03", "2000-01-01", "2000-01-01"]
+
+
+def test_text_steps(spark):
+    from kaiji.operators import text as TX
+    assert one(spark, TX.nfkc("x"), ["ｱ①ＡＢ", None]) == ["ア1AB", None]
+    assert one(spark, TX.strip_html("x"), ["a<b>c", "a<b\nc>d"]) == ["ac", "a<b\nc>d"]
+    assert one(spark, TX.collapse_blank_lines("x"), ["a\n \n\n\nb"]) == ["a\nb"]
+    assert one(spark, TX.normalize_text("x", True, True, True), ["<p>売上は1,000円。◆増加!</p>"]) == ["売上は円\n増加"]
+    objs = spark.createDataFrame([('x {"a":1} y {"b":2}',), ("{bad}",)], "x string").select(
+        TX.json_objects("x").alias("o"))
+    got = objs.select(F.size("o"), TX.json_objects_valid(F.col("o"))).collect()
+    assert [tuple(r) for r in got] == [(2, True), (1, False)]
