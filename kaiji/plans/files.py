@@ -229,3 +229,82 @@ def q_table_roundtrip(spark, sf_dir):
     back = S.load_table(spark, path, catalog_schema())
     missing = S.load_table(spark, os.path.join(path + "-absent"), catalog_schema())
     return back.unionByName(missing)
+
+
+@register("exchange_sheet", """SELECT 'JP:' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || '0' AS code,
+  p_name AS company_name, p_type AS sector_jpx_33,
+  CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS sector_33_code,
+  'S17-' || p_type AS sector_jpx_17, CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE CAST(p_size % 17 AS VARCHAR) END
+  AS sector_17_code, p_brand AS market, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size % 5 AS VARCHAR) END
+  AS size_code, 'Size-' || substr(p_name, 1, 3) AS size_category FROM part""")
+def q_exchange_sheet(spark, sf_dir):
+    """The exchange master list exported from parts and read back."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    dash = F.lit("-")
+    sheet = p.select(
+        F.lpad((k % 10000).cast("string"), 4, "0").alias("コード"), F.col("p_name").alias("銘柄名"),
+        F.when(k % 6 == 0, dash).otherwise(F.col("p_size").cast("string")).alias("33業種コード"),
+        F.col("p_type").alias("33業種区分"),
+        F.when(k % 8 == 0, dash).otherwise((F.col("p_size") % 17).cast("string")).alias("17業種コード"),
+        F.concat(F.lit("S17-"), "p_type").alias("17業種区分"), F.col("p_brand").alias("市場・商品区分"),
+        F.when(k % 9 == 0, F.lit(" - ")).otherwise((F.col("p_size") % 5).cast("string")).alias("規模コード"),
+        F.concat(F.lit("Size-"), F.substring("p_name", 1, 3)).alias("規模区分"))
+    path = work_dir(spark, "exchange")
+    sheet.write.mode("overwrite").option("header", True).csv(path)
+    return S.read_exchange_sheet(spark, path).select(
+        "code", "company_name", "sector_jpx_33", "sector_33_code", "sector_jpx_17", "sector_17_code", "market",
+        "size_code", "size_category")
+
+
+def _staged_catalog(spark, sf_dir):
+    """Catalog deltas of two runs: every filing staged as pending by the first
+    run, XBRL filings re-staged as success by the second run."""
+    cat = catalog_record(view(spark, sf_dir, "v_filings"))
+    staging = work_dir(spark, "catalog-deltas")
+    K.write_delta_chunk(cat.withColumn("processed_status", F.lit("pending")).withColumn("batch", F.lit(1)),
+                        staging, "run_2024-06-01_a", "catalog_1", "remote")
+    K.write_delta_chunk(cat.filter("xbrl_flag").withColumn("processed_status", F.lit("success"))
+                        .withColumn("batch", F.lit(2)), staging, "run_2024-06-02_b", "catalog_2", "remote")
+    return S.staged_deltas(spark, staging)
+
+
+@register("delta_merge", with_views(f"""WITH {CATALOG_CTE}
+SELECT doc_id, code, CASE WHEN xbrl_flag THEN 'success' ELSE 'pending' END AS processed_status,
+  CASE WHEN xbrl_flag THEN 2 ELSE 1 END AS batch FROM cat""", "v_filings"))
+def q_delta_merge(spark, sf_dir):
+    """M12 (catalog part): staged catalog chunks with success markers are
+    collected (S9) and upserted by doc id, the later batch winning (G1)."""
+    from kaiji.operators.catalog import latest_wins
+    d = _staged_catalog(spark, sf_dir).select("doc_id", "code", "processed_status", "batch")
+    return latest_wins(d, ["doc_id"], ["batch"])
+
+
+@register("index_pipeline", with_views("""WITH s AS (SELECT index_name, CAST(CAST(snap_month AS DATE) AS VARCHAR)
+  AS snap_date, code, CAST(printf('%.4f', weight * 100) AS DOUBLE) AS weight FROM v_index_snapshots),
+sz AS (SELECT index_name, snap_date FROM s GROUP BY 1, 2 HAVING count(*) >= 24),
+pr AS (SELECT index_name, snap_date, lag(snap_date) OVER (PARTITION BY index_name ORDER BY snap_date) AS prev FROM sz),
+pairs AS (SELECT * FROM pr WHERE prev IS NOT NULL),
+n AS (SELECT s.* FROM s JOIN pairs p ON s.index_name = p.index_name AND s.snap_date = p.snap_date),
+o AS (SELECT s.index_name, p.snap_date, s.code, s.weight FROM s JOIN pairs p
+      ON s.index_name = p.index_name AND s.snap_date = p.prev),
+j AS (SELECT coalesce(o.index_name, n.index_name) AS index_name, coalesce(o.snap_date, n.snap_date) AS snap_date,
+        coalesce(o.code, n.code) AS code, o.weight AS old_value, n.weight AS new_value
+      FROM o FULL OUTER JOIN n ON o.index_name = n.index_name AND o.snap_date = n.snap_date AND o.code = n.code),
+t AS (SELECT *, CASE WHEN old_value IS NULL AND new_value IS NOT NULL THEN 'ADD'
+        WHEN new_value IS NULL AND old_value IS NOT NULL THEN 'REMOVE'
+        WHEN abs(old_value - new_value) > 1.0 THEN 'UPDATE' END AS type FROM j)
+SELECT snap_date AS date, index_name, code, type, old_value, new_value FROM t WHERE type IS NOT NULL""",
+                                     "v_index_snapshots"))
+def q_index_pipeline(spark, sf_dir):
+    """M5 end to end: constituent files (S5) -> size guard (F7) -> snapshot
+    table partitioned by index and date (K3) -> diff of consecutive accepted
+    snapshots (J9, weights in percent, tolerance 1 point) -> history (U2)."""
+    from kaiji.operators import indices as IX
+    snaps = q_index_csv(spark, sf_dir).withColumnRenamed("snap_key", "snap_date")
+    root = work_dir(spark, "index-snapshots")
+    K.write_table(snaps, root, partition_by=["index_name", "snap_date"])
+    stored = spark.read.parquet(root).withColumn("snap_date", F.col("snap_date").cast("string"))
+    # The history stored by an earlier run covered the series up to 1999.
+    earlier = IX.index_events(stored.filter(F.col("snap_date") < "1999-01-01"), min_rows=24, tol=1.0)
+    return IX.append_history(earlier, IX.index_events(stored, min_rows=24, tol=1.0))

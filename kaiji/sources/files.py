@@ -128,3 +128,22 @@ def repo_listing(spark: SparkSession, root: str, glob: str = "*.parquet") -> Dat
         F.nullif(F.regexp_extract("path", r"/bin=([^/]+)/", 1), F.lit("")).alias("bin"),
         F.nullif(F.regexp_extract("path", r"year=(\d{4})/month=(\d{2})/day=(\d{2})", 0), F.lit("")).alias("day"),
         F.nullif(F.regexp_extract("path", r"/(S[0-9A-Z]{7})\.", 1), F.lit("")).alias("doc_id"))
+
+
+# Exchange master sheet headers and the kaiji column names.
+EXCHANGE_COLUMNS = (("コード", "code"), ("銘柄名", "company_name"), ("33業種コード", "sector_33_code"),
+                    ("33業種区分", "sector_jpx_33"), ("17業種コード", "sector_17_code"), ("17業種区分", "sector_jpx_17"),
+                    ("市場・商品区分", "market"), ("規模コード", "size_code"), ("規模区分", "size_category"))
+EXCHANGE_CODE_COLUMNS = ("sector_33_code", "sector_17_code", "size_code")
+
+
+def read_exchange_sheet(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Exchange master list (CSV export of the sheet): nine columns
+    renamed, ``-`` in the three code columns becomes NULL, codes normalised (P1)."""
+    from kaiji.functions.codes import normalize_code
+    raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
+    df = raw.select(*[F.col(f"`{ja}`").alias(en) for ja, en in EXCHANGE_COLUMNS])
+    for c in EXCHANGE_CODE_COLUMNS:
+        s = strip(c)
+        df = df.withColumn(c, F.when(s == "-", F.lit(None).cast("string")).otherwise(s))
+    return df.withColumn("code", normalize_code(strip("code"), "JP"))
