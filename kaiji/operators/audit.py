@@ -108,11 +108,15 @@ def audit_report(anomalies: DataFrame, repair: bool) -> DataFrame:
     """Per layer and overall: anomaly count, distinct repaired
     objects and the status (PASSED, FAILED or REPAIRED). Input columns:
     layer, object_id."""
-    per = anomalies.groupBy("layer").agg(F.count(F.lit(1)).alias("n_anomalies"),
+    # One pass: ROLLUP gives the per-layer rows and the grand total together.
+    out = (anomalies.rollup("layer").agg(F.count(F.lit(1)).alias("n_anomalies"),
                                          F.countDistinct("object_id").alias("n_objects"))
-    total = anomalies.agg(F.lit("ALL").alias("layer"), F.count(F.lit(1)).alias("n_anomalies"),
-                          F.countDistinct("object_id").alias("n_objects"))
-    out = per.unionByName(total)
+           .withColumn("layer", F.coalesce("layer", F.lit("ALL"))))
+    # A clean audit still reports its total (ROLLUP over no rows gives none);
+    # this last aggregate sees at most one row per layer.
+    zero = anomalies.sparkSession.createDataFrame([("ALL", 0, 0)], "layer string, n_anomalies long, n_objects long")
+    out = out.unionByName(zero).groupBy("layer").agg(F.max("n_anomalies").alias("n_anomalies"),
+                                                     F.max("n_objects").alias("n_objects"))
     status = F.when(F.col("n_anomalies") == 0, "PASSED").otherwise(F.lit("REPAIRED" if repair else "FAILED"))
     return out.withColumn("status", status).withColumn(
         "n_repaired", F.col("n_objects") if repair else F.lit(0).cast("bigint"))
