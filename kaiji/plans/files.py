@@ -22,6 +22,9 @@ from kaiji.sinks import tables as K
 from kaiji.sources import files as S
 
 
+RESPONSE_SIZE = 1000
+
+
 @register("response_jsonl", with_views("""SELECT CAST(CAST(submit_at AS DATE) AS VARCHAR) AS access_date,
   doc_id AS docID, sec_code AS secCode, filer_name AS filerName, doc_type AS docTypeCode FROM v_filings
 WHERE day(submit_at) % 10 <> 0 AND day(submit_at) <> 15""", "v_filings"))
@@ -34,7 +37,13 @@ def q_response_jsonl(spark, sf_dir):
     dom = F.dayofmonth(F.to_date("date"))
     item = F.struct(F.col("doc_id").alias("docID"), F.col("sec_code").alias("secCode"),
                     F.col("filer_name").alias("filerName"), F.col("doc_type").alias("docTypeCode"))
-    resp = (f.groupBy("date", F.pmod(F.hash("doc_id"), F.lit(8)).alias("chunk"))
+    # Responses hold about RESPONSE_SIZE filings: a day is split into
+    # ceil(rows / RESPONSE_SIZE) hash chunks, so no day becomes one huge row.
+    # The per-day counts are bounded by the calendar and broadcast.
+    days = f.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
+    f = f.join(F.broadcast(days), "date").withColumn(
+        "chunk", F.pmod(F.hash("doc_id"), F.greatest(F.lit(1), F.ceil(F.col("_n") / RESPONSE_SIZE).cast("int"))))
+    resp = (f.groupBy("date", "chunk")
             .agg(F.collect_list(item).alias("results"))
             .withColumn("status", F.when(dom % 10 == 0, "failure").otherwise("success"))
             .withColumn("message", F.when(dom % 10 == 0, F.lit("server error")))
@@ -308,3 +317,20 @@ def q_index_pipeline(spark, sf_dir):
     # The history stored by an earlier run covered the series up to 1999.
     earlier = IX.index_events(stored.filter(F.col("snap_date") < "1999-01-01"), min_rows=24, tol=1.0)
     return IX.append_history(earlier, IX.index_events(stored, min_rows=24, tol=1.0))
+
+
+@register("latest_healthy_version", """SELECT year(o_orderdate) - 1994 AS version, count(*) AS n_rows FROM orders
+WHERE year(o_orderdate) - 1994 = (SELECT max(year(o_orderdate) - 1994) FROM orders WHERE year(o_orderdate) - 1994 < 7)
+GROUP BY 1""")
+def q_latest_healthy_version(spark, sf_dir):
+    """A table kept as versions v=1..8 (one per order year; v=7 and v=8
+    written empty). The walk starts at the second-newest version and takes
+    the first one that has rows."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate",
+                                              (F.year("o_orderdate") - 1994).alias("v"))
+    root = work_dir(spark, "versions")
+    o.filter(F.col("v") < 7).write.mode("overwrite").partitionBy("v").parquet(root)
+    empty = spark.createDataFrame([], o.select("o_orderkey", "o_orderdate").schema)
+    for v in (7, 8):
+        empty.write.mode("overwrite").parquet(f"{root}/v={v}")
+    return S.latest_healthy_version(spark, root)

@@ -35,14 +35,25 @@ def load_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def latest_healthy_version(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version (folder ``v=<n>``) that has rows, skipping the
-    newest one as the reference does (walks from the second-newest)."""
-    t = spark.read.parquet(root)
-    counts = t.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.col("v").desc())
-    ranked = counts.withColumn("rank", F.row_number().over(w))
-    return ranked.filter((F.col("rank") >= 2) & (F.col("n") > 0)).agg(F.max("v").alias("version"))
+MAX_VERSION_WALK = 15
+
+
+def latest_healthy_version(spark: SparkSession, root: str, walk: int = MAX_VERSION_WALK) -> DataFrame:
+    """Walk the versions ``v=<n>`` of a table from the second-newest down
+    (at most ``walk`` of them) and return the first one holding rows, with its
+    row count. The version list comes from the folder names (empty versions
+    included); the counts from one grouped scan."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    versions = sorted(int(n[2:]) for n in names if re.fullmatch(r"v=\d+", n))
+    candidates = list(reversed(versions))[1:1 + walk]
+    listed = spark.createDataFrame([(v,) for v in candidates], "version int")
+    counts = (spark.read.parquet(root).groupBy(F.col("v").cast("int").alias("version"))
+              .agg(F.count(F.lit(1)).alias("n_rows")))
+    ok = listed.join(counts, "version").filter(F.col("n_rows") > 0)
+    return ok.agg(F.max_by("version", "version").alias("version"), F.max_by("n_rows", "version").alias("n_rows"))
 
 
 def read_responses(spark: SparkSession, path: str, result_schema: StructType) -> DataFrame:
