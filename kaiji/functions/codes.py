@@ -75,21 +75,27 @@ def parent_code(code) -> Column:
                   F.concat(F.lit("JP:"), core.substr(1, 4), F.lit("0")))
 
 
-def _valid_id(s: Column) -> Column:
-    return s.isNotNull() & (F.length(s) >= 2) & ~F.lower(s).isin(*ID_SENTINELS)
+# A usable identifier: at least two characters and not a sentinel word.
+_ID_OK = r"(?s)^(?!(?i:none|nan|null)$)"
 
 
 def bin_id(edinet, code, jcn) -> Column:
     """Immutable shard id. ``E``+last 2 of EDINET code, else ``P``+core[-3:-1],
-    else ``J``+last 2 of the corporate number, else ``No``."""
+    else ``J``+last 2 of the corporate number, else ``No``.
+
+    Each identifier is referenced once (regex extracts inside a ``coalesce``),
+    which keeps the generated code small."""
     e = strip(F.coalesce(col_(edinet).cast("string"), F.lit("")))
-    c = strip(F.coalesce(col_(code).cast("string"), F.lit("")))
-    c = F.substring_index(c, ":", -1)
+    c = F.substring_index(strip(F.coalesce(col_(code).cast("string"), F.lit(""))), ":", -1)
     j = strip(F.coalesce(col_(jcn).cast("string"), F.lit("")))
-    return (F.when(_valid_id(e), F.concat(F.lit("E"), F.substring(e, -2, 2)))
-            .when(_valid_id(c), F.concat(F.lit("P"), _py_slice_m3_m1(c)))
-            .when(_valid_id(j), F.concat(F.lit("J"), F.substring(j, -2, 2)))
-            .otherwise(F.lit("No")))
+    last2 = _ID_OK + r".*(..)$"
+    # Python's s[-3:-1]: the two characters before the last, or the first of two.
+    mid = _ID_OK + r"(?:.*(..).|(.).)$"
+    e2 = F.nullif(F.regexp_extract(e, last2, 1), F.lit(""))
+    c2 = F.nullif(F.regexp_replace(c, mid, "$1$2"), F.lit(""))
+    c2 = F.when(c.rlike(mid), c2)
+    j2 = F.nullif(F.regexp_extract(j, last2, 1), F.lit(""))
+    return F.coalesce(F.concat(F.lit("E"), e2), F.concat(F.lit("P"), c2), F.concat(F.lit("J"), j2), F.lit("No"))
 
 
 def null_sentinel(c) -> Column:
@@ -139,8 +145,3 @@ def taxonomy_key(c) -> Column:
 
 def _regex_quote(t: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in t)
-
-
-def _py_slice_m3_m1(s: Column) -> Column:
-    """Python ``s[-3:-1]`` for strings of length >= 2."""
-    return F.when(F.length(s) >= 3, s.substr(F.length(s) - 2, F.lit(2))).otherwise(s.substr(1, 1))
