@@ -26,6 +26,8 @@ def parse_datetime(c) -> Column:
 def lenient_date(c, fallback: Column | None = None) -> Column:
     """``yyyy-MM-dd``, ``yyyy/MM/dd`` or ``yyyyMMdd`` on the first 10 chars;
     otherwise the supplied fallback (the reference uses *now*; pass it in)."""
+    if fallback is None:
+        fallback = F.lit(None).cast("date")
     s = strip(c)
     head = s.substr(1, 10)
     parsed = F.coalesce(F.try_to_date(head, "yyyy-MM-dd"), F.try_to_date(head, "yyyy/MM/dd"),

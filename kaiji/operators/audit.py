@@ -63,14 +63,20 @@ def asset_audit(catalog: DataFrame, listing: DataFrame, as_of: str, flag: str =
 def bin_audit(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Per bin, expected documents absent from the bin (missing),
     documents in the bin that are not expected (orphan), and expected bins
-    without any file (missing_bin). Inputs: (bin_id, doc_id)."""
-    e = expected.select("bin_id", "doc_id").distinct()
-    a = actual.select("bin_id", "doc_id").distinct()
-    missing = e.join(a, ["bin_id", "doc_id"], "left_anti").withColumn("kind", F.lit("missing"))
-    orphan = a.join(e, ["bin_id", "doc_id"], "left_anti").withColumn("kind", F.lit("orphan"))
-    gone = (e.select("bin_id").distinct().join(a.select("bin_id").distinct(), "bin_id", "left_anti")
-            .withColumn("doc_id", F.lit(None).cast("string")).withColumn("kind", F.lit("missing_bin")))
-    return missing.unionByName(orphan).unionByName(gone)
+    without any file (missing_bin). Inputs: (bin_id, doc_id).
+
+    One full outer join on (bin, doc) classifies both sides; the wholly
+    missing bins come from one aggregate over the joined rows."""
+    e = expected.select("bin_id", "doc_id").distinct().withColumn("_e", F.lit(True))
+    a = actual.select("bin_id", "doc_id").distinct().withColumn("_a", F.lit(True))
+    j = e.join(a, ["bin_id", "doc_id"], "full_outer")
+    kind = F.when(F.col("_a").isNull(), "missing").when(F.col("_e").isNull(), "orphan")
+    docs = j.withColumn("kind", kind).filter(F.col("kind").isNotNull()).select("bin_id", "doc_id", "kind")
+    gone = (j.groupBy("bin_id").agg(F.bool_or(F.coalesce("_e", F.lit(False))).alias("_has_e"),
+                                    F.bool_or(F.coalesce("_a", F.lit(False))).alias("_has_a"))
+            .filter(F.col("_has_e") & ~F.col("_has_a"))
+            .select("bin_id", F.lit(None).cast("string").alias("doc_id"), F.lit("missing_bin").alias("kind")))
+    return docs.unionByName(gone)
 
 
 def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -14,12 +14,17 @@ from kaiji.plans.filings import CATALOG_CTE, KNOWN_STATUS_SQL, known_status
 from kaiji.plans.history import _index_events_sql
 from kaiji.plans.registry import register
 from kaiji.plans.tables import table, view, with_views
+from kaiji.session import checkpoint_dir
 
 AS_OF = "2008-06-01"
 
 
-def _catalog(spark, sf_dir):
-    return catalog_record(view(spark, sf_dir, "v_filings"))
+def _filings(spark, sf_dir, filings=None):
+    return filings if filings is not None else view(spark, sf_dir, "v_filings")
+
+
+def _catalog(spark, sf_dir, filings=None):
+    return catalog_record(_filings(spark, sf_dir, filings))
 
 
 def _listing(spark, sf_dir):
@@ -39,8 +44,8 @@ assets AS (SELECT doc_id, CASE WHEN ghost THEN 'ghost' ELSE 'missing' END AS iss
   CASE WHEN ghost THEN NULL ELSE raw_zip_path END AS repaired_path FROM aj WHERE ghost OR missing)"""
 
 
-def _assets(spark, sf_dir):
-    return AU.asset_audit(_catalog(spark, sf_dir), _listing(spark, sf_dir), AS_OF)
+def _assets(spark, sf_dir, filings=None):
+    return AU.asset_audit(_catalog(spark, sf_dir, filings), _listing(spark, sf_dir), AS_OF)
 
 
 @register("audit_assets", with_views(f"WITH {ASSETS_SQL} SELECT * FROM assets", "v_filings"))
@@ -61,14 +66,14 @@ bins AS (SELECT bin_id, doc_id, 'missing' AS kind FROM exp WHERE (bin_id, doc_id
     WHERE bin_id NOT IN (SELECT bin_id FROM act))"""
 
 
-def _filing_bins(spark, sf_dir):
-    f = view(spark, sf_dir, "v_filings")
+def _filing_bins(spark, sf_dir, filings=None):
+    f = _filings(spark, sf_dir, filings)
     return f, (f.withColumn("code", normalize_code("sec_code", "JP"))
                .select("doc_id", bin_id("edinet_code", "code", "jcn").alias("bin_id")))
 
 
-def _bins(spark, sf_dir):
-    f, fb = _filing_bins(spark, sf_dir)
+def _bins(spark, sf_dir, filings=None):
+    f, fb = _filing_bins(spark, sf_dir, filings)
     ok = known_status(f).filter(F.col("processed_status") == "success").select("doc_id")
     expected = fb.join(ok, "doc_id")
     docs = view(spark, sf_dir, "v_facts").select(F.col("docid").alias("doc_id")).distinct()
@@ -128,8 +133,8 @@ drift AS (SELECT lo.doc_id, lo.field, local_value, api_value FROM lo JOIN ap ON
   AND local_value IN ('', '0', 'None') AND api_value IN ('', '0', 'None')))"""
 
 
-def _drift(spark, sf_dir):
-    f = view(spark, sf_dir, "v_filings")
+def _drift(spark, sf_dir, filings=None):
+    f = _filings(spark, sf_dir, filings)
     return AU.drift(f, _api(f))
 
 
@@ -198,14 +203,18 @@ per AS (SELECT layer, count(*) AS n_anomalies, count(DISTINCT object_id) AS n_ob
 SELECT *, CASE WHEN n_anomalies = 0 THEN 'PASSED' ELSE 'REPAIRED' END AS status, n_objects AS n_repaired FROM per""",
                                     "v_filings", "v_facts"))
 def q_audit_report(spark, sf_dir):
-    """M11 + A12: the audit layers in one report, run in repair mode."""
-    an = (_assets(spark, sf_dir).select(F.lit("Layer2_Physical").alias("layer"), F.col("doc_id").alias("object_id"))
-          .unionByName(_bins(spark, sf_dir).select(F.lit("Layer3_Bins").alias("layer"),
+    """M11 + A12: the audit layers in one report, run in repair mode. The
+    filing table every layer reads is materialised once (reliable checkpoint
+    in the shared folder), so the source is scanned once for all layers."""
+    checkpoint_dir(spark)
+    f = view(spark, sf_dir, "v_filings").checkpoint(eager=True)
+    an = (_assets(spark, sf_dir, f).select(F.lit("Layer2_Physical").alias("layer"), F.col("doc_id").alias("object_id"))
+          .unionByName(_bins(spark, sf_dir, f).select(F.lit("Layer3_Bins").alias("layer"),
                                                    F.coalesce("doc_id", "bin_id").alias("object_id")))
           .unionByName(_dups(spark, sf_dir).select(
               F.lit("Layer3_Duplicates").alias("layer"),
               F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("object_id")))
-          .unionByName(_drift(spark, sf_dir).select(F.lit("Layer4_Catalog").alias("layer"),
+          .unionByName(_drift(spark, sf_dir, f).select(F.lit("Layer4_Catalog").alias("layer"),
                                                     F.col("doc_id").alias("object_id"))))
     return AU.audit_report(an, repair=True)
 

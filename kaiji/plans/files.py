@@ -92,7 +92,9 @@ def _code_list_lines(spark, sf_dir):
            .when(k % 7 == 0, F.concat(F.lpad((k % 10000).cast("string"), 4, "0"), F.lit("0.0")))
            .when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lpad((k % 10000).cast("string"), 4, "0"), F.lit("0"))))
     jcn = F.concat((F.lit(1000000000000) + k).cast("string"), F.when(k % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
-    cols = [ecode, F.lit("内国法人"), F.lit("上場"), F.lit("有"), F.lit("100"), F.lit("3月31日"), F.col("c_name"),
+    listed = F.when(k % 3 == 0, F.lit("非上場")).when(k % 3 == 1, F.lit("上場")).otherwise(F.lit(""))
+    consolidated = F.when(k % 4 == 0, F.lit("無")).when(k % 4 == 1, F.lit("-")).otherwise(F.lit("有"))
+    cols = [ecode, F.lit("内国法人"), listed, consolidated, F.lit("100"), F.lit("3月31日"), F.col("c_name"),
             F.lit(""), F.lit(""), F.lit("東京都"), F.col("c_mktsegment"), sec, jcn]
     data = c.select(F.concat_ws(",", *cols).alias("value"))
     head = spark.createDataFrame([("ダウンロード実行日,2024年06月01日,件数,1",),
@@ -101,11 +103,14 @@ def _code_list_lines(spark, sf_dir):
     return head.unionByName(data)
 
 
-@register("code_list", """SELECT edinet_code, '内国法人' AS submitter_type, c_name AS company_name,
+@register("code_list", """SELECT edinet_code, '内国法人' AS submitter_type,
+  c_custkey % 3 = 1 AS is_listed_edinet,
+  CASE WHEN c_custkey % 4 = 0 THEN false WHEN c_custkey % 4 = 1 THEN NULL ELSE true END AS is_consolidated,
+  c_name AS company_name,
   CASE WHEN s IS NULL OR trim(s) = '' THEN NULL ELSE coalesce(CAST(CAST(TRY_CAST(s AS DOUBLE) AS BIGINT) AS VARCHAR), s)
   END AS p6, CASE WHEN p6 IN ('0', '0000', '00000') THEN NULL ELSE p6 END AS sec_code, j AS jcn,
   c_mktsegment AS industry FROM (
-  SELECT c_name, c_mktsegment, CASE WHEN c_custkey % 13 = 0 THEN 'E' || CAST(c_custkey AS VARCHAR)
+  SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_custkey % 13 = 0 THEN 'E' || CAST(c_custkey AS VARCHAR)
     ELSE 'E' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') END AS edinet_code,
   CASE WHEN c_custkey % 11 = 0 THEN '0' WHEN c_custkey % 17 = 0 THEN '00000'
        WHEN c_custkey % 7 = 0 THEN lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || '0'
@@ -119,7 +124,8 @@ def q_code_list(spark, sf_dir):
     path = work_dir(spark, "code-list")
     _code_list_lines(spark, sf_dir).write.mode("overwrite").text(path)
     return S.read_code_list(spark, path, encoding="UTF-8").drop("submitter_type_x") \
-        .select("edinet_code", "submitter_type", "company_name", "sec_code", "jcn", "industry")
+        .select("edinet_code", "submitter_type", "is_listed_edinet", "is_consolidated", "company_name", "sec_code",
+                "jcn", "industry")
 
 
 @register("aggregation_list", """WITH a AS (

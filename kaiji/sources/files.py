@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kaiji.functions.codes import percent_weight, safe_int_str, strip
+from kaiji.functions.codes import listed_flag, percent_weight, safe_int_str, strip, yes_no_flag
 
 # Header words of the index-weight files.
 CODE_HEADER = re.compile(r"コード|Code")
@@ -65,9 +65,10 @@ def read_responses(spark: SparkSession, path: str, result_schema: StructType) ->
         {"name": "message", "type": "string", "nullable": True, "metadata": {}},
         {"name": "results", "type": {"type": "array", "elementType": result_schema.jsonValue(),
                                      "containsNull": True}, "nullable": True, "metadata": {}}]})
+    from kaiji.functions.dates import lenient_date
     r = spark.read.schema(schema).json(path)
     return (r.filter(F.col("status") == "success")
-            .select(F.col("date").alias("access_date"), F.explode("results").alias("d"))
+            .select(lenient_date("date").cast("string").alias("access_date"), F.explode("results").alias("d"))
             .select("access_date", "d.*"))
 
 
@@ -90,6 +91,7 @@ def read_code_list(spark: SparkSession, path: str, encoding: str = CSV_ENCODING)
     raw = spark.read.option("header", False).option("encoding", encoding).csv(path)
     c = raw.columns
     df = raw.select(strip(c[0]).alias("edinet_code"), strip(c[1]).alias("submitter_type"),
+                    listed_flag(c[2]).alias("is_listed_edinet"), yes_no_flag(c[3]).alias("is_consolidated"),
                     strip(c[6]).alias("company_name"), safe_int_str(c[11]).alias("sec_code"),
                     safe_int_str(c[12]).alias("jcn"), strip(c[10]).alias("industry"))
     df = df.filter(F.col("edinet_code").rlike("^E[0-9]{5}$"))
