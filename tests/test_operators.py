@@ -138,3 +138,33 @@ def test_upsert_bins_twice_is_once(spark, tmp_path):
     K.upsert_bins(df, str(tmp_path / "t"), str(tmp_path / "s2"), ["docid", "key", "context_ref"], order)
     got = rows(spark.read.parquet(str(tmp_path / "t")), "bin", "docid", "v")
     assert got == [("b1", "d1", "y"), ("b2", "d2", "z")]
+
+
+def _skewed(spark):
+    import random
+    rnd = random.Random(7)
+    data = []
+    for i in range(3000):
+        key = 0 if i % 3 == 0 else rnd.randint(1, 40)          # key 0 holds a third of the rows
+        v = None if rnd.random() < 0.3 else f"n{rnd.randint(0, 5)}"
+        data.append((key, i, rnd.randint(0, 30), v))
+    return spark.createDataFrame(data, "k int, seq int, day int, v string")
+
+
+def test_previous_value_matches_plain_lag_under_skew(spark):
+    from pyspark.sql import Window
+    from kaiji.operators.sequence import previous_value
+    df = _skewed(spark)
+    split = previous_value(df, "k", ["day", "seq"], "v", F.col("day"), out="p")
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("day", "seq")))
+    assert rows(split, "k", "seq", "p") == rows(plain, "k", "seq", "p")
+
+
+def test_fill_forward_matches_plain_window_under_skew(spark):
+    from pyspark.sql import Window
+    from kaiji.operators.facts import fill_forward
+    df = _skewed(spark)
+    split = fill_forward(df, "k", ["day", "seq"], ["v"], F.col("day"))
+    w = Window.partitionBy("k").orderBy("day", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.withColumn("v", F.last("v", ignorenulls=True).over(w))
+    assert rows(split, "k", "seq", "v") == rows(plain, "k", "seq", "v")
