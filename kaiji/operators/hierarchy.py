@@ -41,15 +41,17 @@ def parents(edges: DataFrame, keys: DataFrame) -> DataFrame:
         .select("child_key", "parent_key", "role")
 
 
-def descendants(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """H2: every (role, key, descendant) pair with its shortest depth."""
-    e = edges.select("role", F.col("parent_key").alias("key"), F.col("child_key").alias("nxt")).distinct()
-    result = e.select("role", "key", F.col("nxt").alias("descendant"), F.lit(1).alias("depth"))
+def descendants(edges: DataFrame, max_depth: int = MAX_DEPTH, group: tuple[str, ...] = ("role",)) -> DataFrame:
+    """H2: every (group..., key, descendant) pair with its shortest depth;
+    ``group`` scopes the trees (the role, or document and role)."""
+    g = list(group)
+    e = edges.select(*g, F.col("parent_key").alias("key"), F.col("child_key").alias("nxt")).distinct()
+    result = e.select(*g, "key", F.col("nxt").alias("descendant"), F.lit(1).alias("depth"))
     frontier = result
     for d in range(2, max_depth + 1):
-        step = (frontier.join(e.withColumnRenamed("key", "descendant"), ["role", "descendant"])
-                .select("role", "key", F.col("nxt").alias("descendant"), F.lit(d).alias("depth")).distinct())
-        step = step.join(result.select("role", "key", "descendant"), ["role", "key", "descendant"], "left_anti")
+        step = (frontier.join(e.withColumnRenamed("key", "descendant"), g + ["descendant"])
+                .select(*g, "key", F.col("nxt").alias("descendant"), F.lit(d).alias("depth")).distinct())
+        step = step.join(result.select(*g, "key", "descendant"), g + ["key", "descendant"], "left_anti")
         step = _cut(step, d)
         if step.isEmpty():
             break
@@ -58,17 +60,18 @@ def descendants(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     return result
 
 
-def top_ancestors(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """H3: for every key of a role, its top ancestors (keys without a parent);
+def top_ancestors(edges: DataFrame, max_depth: int = MAX_DEPTH, group: tuple[str, ...] = ("role",)) -> DataFrame:
+    """H3: for every key of a tree, its top ancestors (keys without a parent);
     a root returns itself."""
-    nodes = (edges.select("role", F.col("parent_key").alias("key"))
-             .unionByName(edges.select("role", F.col("child_key").alias("key"))).distinct())
-    has_parent = edges.select("role", F.col("child_key").alias("key")).distinct()
-    roots = nodes.join(has_parent, ["role", "key"], "left_anti")
-    closure = descendants(edges, max_depth)
-    up = (closure.join(roots, ["role", "key"], "left_semi")
-          .select("role", F.col("descendant").alias("key"), F.col("key").alias("top_key")))
-    return up.unionByName(roots.select("role", "key", F.col("key").alias("top_key"))).distinct()
+    g = list(group)
+    nodes = (edges.select(*g, F.col("parent_key").alias("key"))
+             .unionByName(edges.select(*g, F.col("child_key").alias("key"))).distinct())
+    has_parent = edges.select(*g, F.col("child_key").alias("key")).distinct()
+    roots = nodes.join(has_parent, g + ["key"], "left_anti")
+    closure = descendants(edges, max_depth, group)
+    up = (closure.join(roots, g + ["key"], "left_semi")
+          .select(*g, F.col("descendant").alias("key"), F.col("key").alias("top_key")))
+    return up.unionByName(roots.select(*g, "key", F.col("key").alias("top_key"))).distinct()
 
 
 def roles_of_keys(edges: DataFrame) -> DataFrame:
@@ -78,36 +81,47 @@ def roles_of_keys(edges: DataFrame) -> DataFrame:
 
 
 def display_order(edges: DataFrame, wanted: DataFrame, role: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """H5: depth-decayed display order.
+    """H5 for one role (see :func:`display_order_grouped`)."""
+    e = edges.filter(F.col("role") == role)
+    w = wanted.withColumn("role", F.lit(role))
+    return display_order_grouped(e, w, ("role",), max_depth).drop("role")
+
+
+def display_order_grouped(edges: DataFrame, wanted: DataFrame, group: tuple[str, ...] = ("role",),
+                          max_depth: int = MAX_DEPTH) -> DataFrame:
+    """H5: depth-decayed display order per tree (``group``: role, or
+    document and role).
 
     The top ancestors of the wanted keys are numbered 1..n by key (D18);
     a child's order is its parent's order + child_order * 0.01^depth. Rows are
     kept for the wanted keys and their direct children; a node reachable by
     several paths keeps one row per path (as the reference's list does)."""
-    e = edges.filter(F.col("role") == role).select("parent_key", "child_key",
-                                                    F.coalesce("child_order", F.lit(1.0)).alias("co"))
-    w = wanted.select(F.col("key")).distinct()
-    tops = top_ancestors(edges.filter(F.col("role") == role), max_depth)
-    roots = tops.join(w, "key", "left_semi").select(F.col("top_key").alias("parent_key")).distinct()
     from pyspark.sql import Window
-    roots = roots.withColumn("ord", F.row_number().over(Window.orderBy("parent_key")).cast("double"))
-    keep = w.unionByName(e.join(w.withColumnRenamed("key", "parent_key"), "parent_key", "left_semi")
-                         .select(F.col("child_key").alias("key"))).distinct()
-    frontier = (roots.join(e, "parent_key")
-                .select("child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(1)) + F.col("ord")).alias("ord"),
+    g = list(group)
+    e = edges.select(*g, "parent_key", "child_key", F.coalesce("child_order", F.lit(1.0)).alias("co"))
+    w = wanted.select(*g, "key").distinct()
+    tops = top_ancestors(edges, max_depth, group)
+    roots = (tops.join(w, g + ["key"], "left_semi").select(*g, F.col("top_key").alias("parent_key")).distinct())
+    # Roots per tree are few (a taxonomy has a handful per role).
+    roots = roots.withColumn("ord", F.row_number().over(Window.partitionBy(*g).orderBy("parent_key"))
+                             .cast("double"))
+    keep = w.unionByName(e.join(w.withColumnRenamed("key", "parent_key"), g + ["parent_key"], "left_semi")
+                         .select(*g, F.col("child_key").alias("key"))).distinct()
+    frontier = (roots.join(e, g + ["parent_key"])
+                .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(1)) + F.col("ord")).alias("ord"),
                         F.lit(1).alias("lvl")))
     out = frontier
     for d in range(2, max_depth + 1):
-        step = (frontier.select(F.col("child_key").alias("parent_key"), "ord").join(e, "parent_key")
-                .select("child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(d)) + F.col("ord")).alias("ord"),
+        step = (frontier.select(*g, F.col("child_key").alias("parent_key"), "ord").join(e, g + ["parent_key"])
+                .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(d)) + F.col("ord")).alias("ord"),
                         F.lit(d).alias("lvl")))
         step = _cut(step, d)
         if step.isEmpty():
             break
         out = out.unionByName(step)
         frontier = step
-    return (out.join(keep.withColumnRenamed("key", "child_key"), "child_key", "left_semi")
-            .select(F.col("child_key").alias("key"), F.round("ord", 10).alias("order"), "lvl"))
+    return (out.join(keep.withColumnRenamed("key", "child_key"), g + ["child_key"], "left_semi")
+            .select(*g, F.col("child_key").alias("key"), F.round("ord", 10).alias("order"), "lvl"))
 
 
 def latest_calc_edges(calc: DataFrame) -> DataFrame:
