@@ -21,7 +21,8 @@ LEGAL_FORMS = ("株式会社", "有限会社", "合同会社", "（株）", "(
 YES_MARK, NO_MARK = "有", "無"
 LISTED_MARK, UNLISTED_MARK = "上場", "非上場"
 
-_WS = r"(?U)^\s+|\s+$"
+# The characters Python's str.strip() removes, derived from str.isspace().
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 
 
 def col_(c) -> Column:
@@ -29,8 +30,9 @@ def col_(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode white space."""
-    return F.regexp_replace(col_(c).cast("string"), _WS, "")
+    """Python ``str.strip()``: remove leading/trailing Unicode white space
+    (set-based ``trim``, no regex engine)."""
+    return F.trim(col_(c).cast("string"), F.lit(PY_WHITESPACE))
 
 
 def _after(s: Column, sep: str) -> Column:

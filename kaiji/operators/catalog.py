@@ -124,8 +124,11 @@ def master_freshness(master: DataFrame, catalog: DataFrame, master_id: str = "or
     Master aliases are exploded and equi-joined to the per-code maxima (one
     row per code, aggregated map-side first), so no OR-join is needed.
     """
-    latest = (catalog.filter(F.col("code").isNotNull() & (strip("code") != "") & F.col("submit_at").isNotNull())
-              .groupBy("code").agg(F.max(F.col("submit_at").cast("string")).alias("_latest")))
+    # Aggregate first, then drop blank codes: max() skips NULL times, the
+    # partial aggregate absorbs the code-less rows, and a filter on the
+    # derived code is not pushed into the scan stage.
+    latest = (catalog.groupBy("code").agg(F.max(F.col("submit_at").cast("string")).alias("_latest"))
+              .filter(F.col("code").isNotNull() & (strip("code") != "") & F.col("_latest").isNotNull()))
     mc = F.col("code").cast("string")
     aliases = F.when(mc.isNull() | (strip(mc) == ""), F.array().cast("array<string>")).otherwise(
         F.array_distinct(F.array(mc, F.when(F.instr(mc, ":") > 0, F.substring_index(mc, ":", -1))
