@@ -54,17 +54,19 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
+    Uses the context's checkpoint folder when one is registered, else the
+    ``spark.checkpoint.dir`` setting of the session. Only when neither is set
     (local tests) a scratch folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="kaiji-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
