@@ -54,7 +54,7 @@ def numeric_prep(df: DataFrame) -> DataFrame:
     data = F.col("data_str").try_cast("double")
     dec = F.col("decimals").try_cast("double")
     return (df.withColumn("data", data)
-            .withColumn("context_ref_len", F.size(F.split(F.col("context_ref"), "_")))
+            .withColumn("context_ref_len", F.size(F.split(F.col("context_ref"), "_")).cast("bigint"))
             .withColumn("data_imputed", F.when(F.col("data").isNull(), F.lit(0.0))
                         .when(F.col("data") == 0, F.lit(0.5) * F.pow(F.lit(10.0), -dec))
                         .otherwise(F.col("data"))))

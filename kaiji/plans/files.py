@@ -129,10 +129,10 @@ def q_code_list(spark, sf_dir):
 
 
 @register("aggregation_list", """WITH a AS (
-  SELECT n_nationkey * 10 AS pos, 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS old_code,
+  SELECT CAST(n_nationkey * 10 AS BIGINT) AS pos, 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS old_code,
     CASE WHEN n_nationkey % 5 = 0 THEN 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0')
          ELSE 'E' || lpad(CAST(n_regionkey AS VARCHAR), 5, '0') END AS new_code FROM nation
-  UNION ALL SELECT n_nationkey * 10 + 5, 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0'), 'E99999'
+  UNION ALL SELECT CAST(n_nationkey * 10 + 5 AS BIGINT), 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0'), 'E99999'
     FROM nation WHERE n_nationkey % 4 = 0)
 SELECT old_code, arg_max(pos, pos) AS pos, arg_max(new_code, pos) AS new_code FROM a
 WHERE old_code <> new_code GROUP BY old_code""")

@@ -75,7 +75,7 @@ FROM (SELECT event_id, regexp_extract_all(replace(props, chr(10), ''), '\{.*?\}'
 def q_json_extract(spark, sf_dir):
     """P27 over every event payload."""
     e = table(spark, sf_dir, "events").select("event_id", TX.json_objects("props").alias("o"))
-    return e.select("event_id", F.size("o").alias("n_objects"), TX.json_objects_valid(F.col("o")).alias("all_valid"),
+    return e.select("event_id", F.size("o").cast("bigint").alias("n_objects"), TX.json_objects_valid(F.col("o")).alias("all_valid"),
                     F.get_json_object(F.col("o")[0], "$.k").try_cast("bigint").alias("k"))
 
 

@@ -49,8 +49,8 @@ def latest_healthy_version(spark: SparkSession, root: str, walk: int = MAX_VERSI
     names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
     versions = sorted(int(n[2:]) for n in names if re.fullmatch(r"v=\d+", n))
     candidates = list(reversed(versions))[1:1 + walk]
-    listed = spark.createDataFrame([(v,) for v in candidates], "version int")
-    counts = (spark.read.parquet(root).groupBy(F.col("v").cast("int").alias("version"))
+    listed = spark.createDataFrame([(v,) for v in candidates], "version bigint")
+    counts = (spark.read.parquet(root).groupBy(F.col("v").cast("bigint").alias("version"))
               .agg(F.count(F.lit(1)).alias("n_rows")))
     ok = listed.join(counts, "version").filter(F.col("n_rows") > 0)
     return ok.agg(F.max_by("version", "version").alias("version"), F.max_by("n_rows", "version").alias("n_rows"))
