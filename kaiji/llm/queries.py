@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kaiji.llm import simhash
+from kaiji.llm import bpe, simhash
 from kaiji.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +28,19 @@ def register(name: str, oracle: str | None = None):
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 3 bits."""
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
+
+
+def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id with the ids of the whole text and the bytes decoded from them."""
+    ids = docs.select("doc_id", bpe.encode(F.col("text"), ranks_path, pattern).alias("ids"))
+    return ids.withColumn("decoded", bpe.decode(F.col("ids"), ranks_path, pattern))
+
+
+@register("op6_byte_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every whole text, and of the bytes decoded from them."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    done = tokenised(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
