@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows of one Arrow batch: bounds what a Python worker holds of long texts
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
@@ -44,6 +46,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k in ("spark.sql.session.timeZone",
               "spark.sql.sources.partitionOverwriteMode",
+              "spark.sql.execution.arrow.maxRecordsPerBatch",
               "spark.sql.legacy.javaCharsets"):
         try:
             spark.conf.set(k, BASE_CONF[k])
