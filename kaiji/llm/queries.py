@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaiji.llm import bpe, simhash
+from kaiji.llm import bpe, mixing, sharding, simhash, urlrules
 from kaiji.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,41 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+MIX_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         substr(md5('mix:' || CAST(doc_id AS VARCHAR)), 1, 16) AS shuffle FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
+w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((rank - 1) % 3 + 1)::INT] AS weight, 2 * source_size AS most FROM s),
+fill(round, level) AS (
+  SELECT 0, (SELECT (sum(source_size) * 3 / 2.0)::DOUBLE / sum(weight) FROM w)
+  UNION ALL
+  SELECT f.round + 1, ((SELECT (sum(source_size) * 3 / 2.0)::DOUBLE FROM w)
+    - (SELECT coalesce(sum(most), 0)::DOUBLE FROM w WHERE most < f.level * weight))
+    / (SELECT sum(weight) FROM w WHERE most >= f.level * weight)
+  FROM fill f WHERE f.round < (SELECT count(*) FROM w)),
+t AS (SELECT w.*, CASE WHEN most < level * weight THEN most::DOUBLE ELSE level * weight END AS target
+      FROM w, (SELECT level FROM fill ORDER BY round DESC LIMIT 1)),
+q AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.rank,
+             sum(d.size) OVER (PARTITION BY t.rank ORDER BY shuffle, doc_id, d.size ROWS UNBOUNDED PRECEDING)::BIGINT AS sent
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, (sent + copy * source_size) / target AS finish FROM q, (VALUES (0), (1)) v(copy) WHERE size > 0),
+r AS (SELECT *, sum(size) OVER (ORDER BY finish, rank, copy, sent ROWS UNBOUNDED PRECEDING) AS reached FROM c),
+k AS (SELECT rank, sent, sum(greatest(0, least(size, (SELECT sum(size) * 3 // 2 FROM d) - (reached - size))))::BIGINT AS taken
+      FROM r GROUP BY rank, sent)
+SELECT q.doc_id, q.size, q.source_size, q.target, CASE WHEN q.size > 0 THEN coalesce(k.taken, 0) ELSE 0 END::BIGINT AS taken
+FROM q LEFT JOIN k ON k.rank = q.rank AND k.sent = q.sent
+"""
+
+
+@register("op3_weighted_fair_mix", MIX_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document taken by a mix of 150 % of all words at weights 5, 2, 1."""
+    docs = read_table(spark, sf_dir, "documents")
+    rows = docs.select(F.col("doc_id").alias("id"), "source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.mix(rows).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 @register("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 3 bits."""
@@ -44,3 +79,49 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+#: Host rules of the contract: host, path, action.
+HOST_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+              ("net", "/es/", "block"), ("net", "/fr/", "block")]
+#: Pattern rules: advertising, gambling, adult and link-farm addresses.
+URL_PATTERNS = [(1, "block", "||ads-track."), (2, "block", "/ads/*"), (3, "block", ".casino-win."), (4, "block", "||free-bets."),
+                (5, "block", ".spam-farm."), (6, "block", "//spam-farm."), (7, "block", "||cheap-pills."), (8, "block", "//adult*.example."),
+                (9, "block", ".adult*.example."), (10, "block", "//casino-win."), (11, "block", "^doubleclick^"),
+                (12, "block", "/popunder.js|"), (13, "block", "-banner-ad"), (14, "allow", "/ads/transparency^")]
+
+URL_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(host, path, action) AS (VALUES """ + ", ".join(map(str, HOST_RULES)) + r"""),
+best AS (SELECT p.page_id, p.url, max({'n': length(r.host || r.path), 'rule': r.host || r.path, 'action': r.action}) AS b
+  FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY ALL),
+u AS (SELECT *, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM p),
+m AS (SELECT *, regexp_matches(low, '/ads/transparency([^a-z0-9_.%-]|$)') AS ok,
+  regexp_matches(low, '^[a-z][a-z0-9+.-]*://([^/?#]*[.])?(ads-track|free-bets|cheap-pills)[.]') OR contains(low, '/ads/')
+  OR regexp_matches(low, '(//|[.])(casino-win|spam-farm)[.]') OR regexp_matches(low, '(//|[.])adult.*[.]example[.]')
+  OR regexp_matches(low, '([^a-z0-9_.%-]|$)doubleclick([^a-z0-9_.%-]|$)') OR regexp_matches(low, '/popunder[.]js$')
+  OR contains(low, '-banner-ad') AS bad FROM u)
+SELECT m.page_id, m.host, m.path, best.b.rule AS rule,
+  coalesce(best.b.action, CASE WHEN m.bad AND NOT m.ok THEN 'block' ELSE 'allow' END) AS verdict
+FROM m LEFT JOIN best ON best.page_id = m.page_id AND best.url = m.url
+"""
+
+
+@register("op7_url_filters", URL_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: the longest host rule's, else the pattern rules'."""
+    judged = urlrules.judge_pages(read_table(spark, sf_dir, "pages"),
+                                  urlrules.rules_frame(spark, HOST_RULES, ["host", "path", "action"]),
+                                  urlrules.rules_frame(spark, URL_PATTERNS, ["rule_id", "action", "pattern"]))
+    return judged.select("page.page_id", "host", "path", "rule", "verdict")
+
+
+@register("op8_rendezvous_shards")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document over 8 equal shards, and its shard with a ninth."""
+    done = sharding.assign(read_table(spark, sf_dir, "documents"), "doc_id", "text", [1.0] * 8)
+    return done.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("key").alias("law"),
+                       "shard", F.col("slot").cast("long"), "grown_shard")
