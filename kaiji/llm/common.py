@@ -47,7 +47,7 @@ def fresh(name: str, df: DataFrame) -> str:
 
 
 def running_totals(df: DataFrame, key: str, value: str, out: str, name: str,
-                   rows_per_range: int = 50_000) -> DataFrame:
+                   rows_per_range: int = 1_000_000) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows up to this one in the order of ``key``.
 
     The rows are range-partitioned on ``key`` and staged with their range
@@ -56,7 +56,7 @@ def running_totals(df: DataFrame, key: str, value: str, out: str, name: str,
     one range. Rows with equal keys are ordered at random among themselves.
     """
     spark = df.sparkSession
-    n = max(1, -(-df.count() // rows_per_range))
+    n = max(spark.sparkContext.defaultParallelism, -(-df.count() // rows_per_range))
     ranged = stage(df.repartitionByRange(n, F.col(key)).withColumn("_range", F.spark_partition_id()), name)
     sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
     w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range

@@ -59,7 +59,7 @@ def targets(rows: DataFrame, weights: tuple[float, ...], share: Fraction, max_re
 
 
 def mix(rows: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: Fraction = Fraction(3, 2), max_repeats: int = 2,
-        seed: str = "mix", rows_per_range: int = 50_000) -> DataFrame:
+        seed: str = "mix", rows_per_range: int = 10_000) -> DataFrame:
     """``rows`` (id, source, size, and any others) with source_size, target and taken.
 
     Weighted shares of ``share`` times all sizes; ``taken`` counts repeats.
@@ -87,7 +87,7 @@ def mix(rows: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: Fraction
 
     copies = (queue.filter("size > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
               .select(order(F.col("copy")).alias("order"), "size"))
-    sorted_copies = running_totals(copies, "order", "size", "reached", "mix-copies", rows_per_range)
+    sorted_copies = running_totals(copies, "order", "size", "reached", "mix-copies")
     cut = sorted_copies.filter(F.col("reached") > budget).agg(F.min(F.struct("order", "reached", "size")).alias("cut")).first()["cut"]
     if cut is None:
         taken = F.col("size") * max_repeats

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaiji.llm import bpe, mixing, sharding, simhash, urlrules
-from kaiji.llm.common import read_table
+from kaiji.llm import bpe, mixing, sharding, simhash, urlrules, vafile, warc
+from kaiji.llm.common import read_table, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,25 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+TOP_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(c.vec) + 1), lambda i: c.vec[i] * q.vec[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.vec) = len(q.vec))
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
+@register("op2_va_file_top_k", TOP_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every vector whose id 20 divides, among all others."""
+    rows = read_table(spark, sf_dir, "embeddings").filter(vafile.finite(F.col("embedding")))
+    vectors = rows.select(F.col("vec_id").cast("long").alias("id"),
+                          F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double")).cast("long")).alias("vec"))
+    return vafile.top_k(vectors, vectors.filter("id % 20 = 0"), k=20)
+
+
 MIX_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -125,3 +144,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = sharding.assign(read_table(spark, sf_dir, "documents"), "doc_id", "text", [1.0] * 8)
     return done.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("key").alias("law"),
                        "shard", F.col("slot").cast("long"), "grown_shard")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS b, sha1(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT d, b, max(page_id) AS last FROM p WHERE b >= 1000 GROUP BY d, b)
+SELECT p.page_id, p.b::BIGINT AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN g.last IS NULL OR g.last = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN g.last <> p.page_id THEN g.last END AS refers_to
+FROM p LEFT JOIN g ON g.d = p.d AND g.b = p.b
+"""
+
+
+@register("op9_warc_chunks", WARC_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as read back from the archives written of all pages."""
+    listed = warc.archive(read_table(spark, sf_dir, "pages"), "page_id", "url", F.encode("html", "UTF-8"))
+    chunks = warc.read_archives(listed, with_data=False).filter("is_last")
+    back = stage(chunks.select("record_id", "record_type", "refers_to", "bytes_so_far", "digest_so_far"), "warc-back")
+    found = back.filter("record_type = 'response'").select(F.col("record_id").alias("target"), F.col("bytes_so_far").alias("target_bytes"),
+                                                           F.col("digest_so_far").alias("target_digest"))
+    revisit = F.col("record_type") == "revisit"
+    rows = back.join(found, F.col("refers_to") == F.col("target"), "left")  # a revisit's payload is that of its response
+    return rows.select(warc.key_of(F.col("record_id")).cast("long").alias("page_id"),
+                       F.when(revisit, F.col("target_bytes")).otherwise(F.col("bytes_so_far")).alias("payload_bytes"),
+                       F.when(revisit, F.col("target_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"),
+                       "record_type", warc.key_of(F.col("refers_to")).cast("long").alias("refers_to"))
