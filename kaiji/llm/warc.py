@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kaiji.llm.common import shared_path, stage
@@ -51,28 +51,33 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
 def decide(groups: DataFrame, dedupe_bytes: int = 1000) -> DataFrame:
     """Adds ``responses`` and refers_to to groups of equal rows.
 
-    ``groups``: id, url_hash, payload_bytes, payload_digest and n, the number of
+    ``groups``: id, key, url_hash, payload_bytes, payload_digest and n, the number of
     equal rows. Only digests and ids are shuffled, and a hot digest's rows are
     reduced to their maximum first. ``responses``: how many of the n are responses.
     """
-    order = F.struct(F.col("id").isNotNull().alias("known"), "id", "url_hash", "n")
+    order = F.struct(F.col("id").isNotNull().alias("known"), "id", "key", "url_hash", "n")
     last = (groups.filter(F.col("payload_bytes") >= dedupe_bytes).groupBy("payload_digest", "payload_bytes")
             .agg(F.max(order).alias("last")))
     joined = groups.join(last, ["payload_digest", "payload_bytes"], "left")
     responses = F.when(F.col("last").isNull(), F.col("n")).when(F.col("last") == order, 1).otherwise(0)
     return joined.select(*[groups[c] for c in groups.columns], responses.cast("long").alias("responses"),
-                         record_id(F.col("last.id"), F.col("last.url_hash"), F.col("last.n")).alias("refers_to"))
+                         record_id(F.col("last.key"), F.col("last.url_hash"), F.col("last.n")).alias("refers_to"))
+
+
+def key_text(column: Column) -> Column:
+    """A key that is never null: k and the value, or n."""
+    return F.coalesce(F.concat(F.lit("k"), column.cast("string")), F.lit("n"))
 
 
 def record_id(key: Column, url_hash: Column, nth: Column) -> Column:
     """Record id of the nth of the rows equal in key, url and payload."""
-    return F.concat_ws(":", F.lit("urn:record"), F.coalesce(key.cast("string"), F.lit("")), url_hash.cast("string"), nth.cast("string"))
+    return F.concat_ws(":", F.lit("urn:record"), key, url_hash.cast("string"), nth.cast("string"))
 
 
 def key_of(rid: Column) -> Column:
-    """The key that ``record_id`` was made from, as a string."""
+    """The value that ``record_id`` was made from, as a string, or null."""
     key = F.regexp_extract(rid, r"(?s)^urn:record:(.*):-?[0-9]+:[0-9]+$", 1)
-    return F.when(key != "", key)
+    return F.when(F.startswith(key, F.lit("k")), F.substring(key, F.lit(2), F.length(key)))
 
 
 # ---- writing --------------------------------------------------------------
@@ -290,25 +295,24 @@ def archive(rows: DataFrame, id_col: str, url_col: str, payload: Column, dedupe_
     """
     spark: SparkSession = rows.sparkSession
     named = rows.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(payload, F.lit(b"")).alias("payload"))
-    named = named.withColumn("payload_digest", F.sha1("payload")).withColumn("url_hash", F.xxhash64("url"))
-    groups = (named.groupBy("id", "url", "url_hash", F.length("payload").cast("long").alias("payload_bytes"), "payload_digest")
+    named = (named.withColumn("payload_digest", F.sha1("payload")).withColumn("url_hash", F.xxhash64("url"))
+             .withColumn("key", key_text(F.col("id"))))
+    groups = (named.groupBy("id", "key", "url", "url_hash", F.length("payload").cast("long").alias("payload_bytes"), "payload_digest")
               .agg(F.count("*").alias("n")))
     groups = stage(decide(stage(groups, "warc-groups"), dedupe_bytes), "warc-kinds")
 
     def numbered(df: DataFrame, first: Column, count: Column, data: Column, kind: str, *, spread: bool) -> DataFrame:
         blocks = df.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / BLOCK))))
-        blocks = blocks.repartition("id", "url_hash", "block") if spread else blocks
+        blocks = blocks.repartition("key", "url_hash", "block") if spread else blocks
         upto = F.least(first + F.col("block") * BLOCK + BLOCK - 1, first + count - 1)
         nth = blocks.withColumn("nth", F.explode(F.sequence(first + F.col("block") * BLOCK, upto)))
-        return nth.select(record_id(F.col("id"), F.col("url_hash"), F.col("nth")).alias("record_id"), F.lit(kind).alias("record_type"),
+        return nth.select(record_id(F.col("key"), F.col("url_hash"), F.col("nth")).alias("record_id"), F.lit(kind).alias("record_type"),
                           F.when(F.lit(kind == "revisit"), F.col("refers_to")).alias("refers_to"), "url", "payload_bytes",
                           "payload_digest", data.alias("payload"))
 
-    key = ["id", "url_hash", "payload_digest"]
-    payloads = named.select(*key, "payload").dropDuplicates(key)
-    answered = groups.filter("responses > 0")
-    match = [payloads[c].eqNullSafe(answered[c]) for c in key]
-    answered = payloads.join(answered, match[0] & match[1] & match[2]).select(*[answered[c] for c in answered.columns], "payload")
+    by = ["key", "url_hash", "payload_digest"]
+    payloads = named.select(*by, "payload").dropDuplicates(by)  # the join below keeps this partitioning
+    answered = groups.filter("responses > 0").join(payloads, by)
     one = F.lit(1).cast("long")
     responses = numbered(answered, F.col("n") - F.col("responses") + 1, F.col("responses"), F.col("payload"), "response", spread=False)
     revisits = numbered(groups.filter("n > responses"), one, F.col("n") - F.col("responses"), F.lit(b""), "revisit", spread=True)
