@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +53,30 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             spark.conf.set(k, BASE_CONF[k])
         except Exception:  # pragma: no cover - conf locked by the cluster
             pass
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors once per application.
+
+    Python workers then import it wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="kaiji-src-"), "kaiji-src.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("kaiji", os.path.relpath(full, root)))
+    sc.addPyFile(path)  # served to the executors by the driver
+    _SHIPPED.add(sc.applicationId)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
