@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaiji.llm import bpe, mixing, sharding, simhash, urlrules, vafile, warc
+from kaiji.llm import bpe, langid, mixing, quality, ranking, sharding, simhash, urlrules, vafile, warc
 from kaiji.llm.common import read_table, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,26 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+@register("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, from its text, its declared language and its source as host."""
+    no = F.lit(None).cast("string")
+    rows = read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"), no.alias("domain"), no.alias("suffix"))
+    return langid.identify(rows).withColumnRenamed("id", "doc_id")
+
+
+@register("page_language_id")
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page: text of the markup, html lang attribute, address suffix, host and domain."""
+    host, domain, suffix = langid.host_parts(F.col("url"))
+    text = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"(?s)<[^>]*>", " ")
+    rows = read_table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), text.alias("text"), langid.markup_language(F.col("html")).alias("declared"),
+        host.alias("host"), domain.alias("domain"), suffix.alias("suffix"))
+    return langid.identify(rows).withColumnRenamed("id", "page_id")
+
+
 TOP_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS vec FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -78,26 +98,34 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@register("op4_quality_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every whole text, and the verdict by divergence from language references."""
+    judged = quality.judge(read_table(spark, sf_dir, "documents"))
+    return judged.select(F.col("id").alias("doc_id"), "stats.n_words", "stats.word_chars", "stats.n_symbols", "stats.n_dup_lines",
+                         "stats.n_repeat_words", F.col("failed").alias("base_failed"), "kept")
+
+
 @register("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 3 bits."""
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
 
 
-def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id with the ids of the whole text and the bytes decoded from them."""
+def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens and digests, derived from the ids of the whole text and the bytes decoded from them."""
     ids = docs.select("doc_id", bpe.encode(F.col("text"), ranks_path, pattern).alias("ids"))
-    return ids.withColumn("decoded", bpe.decode(F.col("ids"), ranks_path, pattern))
+    done = ids.withColumn("decoded", bpe.decode(F.col("ids"), ranks_path, pattern))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @register("op6_byte_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every whole text, and of the bytes decoded from them."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    done = tokenised(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    return token_digests(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 #: Host rules of the contract: host, path, action.
@@ -170,3 +198,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(revisit, F.col("target_bytes")).otherwise(F.col("bytes_so_far")).alias("payload_bytes"),
                        F.when(revisit, F.col("target_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"),
                        "record_type", warc.key_of(F.col("refers_to")).cast("long").alias("refers_to"))
+
+
+@register("op10_pairwise_ranking")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from preference pairs of labels that aren't held out."""
+    scored = ranking.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
