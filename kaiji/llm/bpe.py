@@ -202,3 +202,15 @@ def decode(ids: Column, ranks_path: str, pattern: str, leaf_chars: int = 16_384)
             yield pa.array([tok.decode(x.values.to_numpy()) if x.is_valid else b"" for x in lists], pa.binary())
 
     return bpe_decode(ids)
+
+
+def round_trip(text: Column, ranks_path: str, pattern: str, leaf_chars: int = 16_384) -> Column:
+    """struct<ids, decoded>: ``encode`` and ``decode`` of its ids in one pass through the same worker."""
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def bpe_round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tok = tokenizer(ranks_path, pattern, leaf_chars)
+        for texts in batches:
+            ids = [tok.encode(t.as_py() or "") for t in texts]
+            yield pa.StructArray.from_arrays([_ids(ids), pa.array([tok.decode(x) for x in ids], pa.binary())], ["ids", "decoded"])
+
+    return bpe_round_trip(text)

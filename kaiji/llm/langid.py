@@ -57,20 +57,21 @@ LETTER = _letter_table()
 
 
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of the byte trigrams of lower-cased texts, runs of non-letters as one space."""
-    texts = pc.utf8_lower(texts)
+    """(row, bucket) of the byte trigrams of lower-cased texts between spaces, runs of non-letters as one space."""
+    space, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+    texts = pc.binary_join_element_wise(space, pc.utf8_lower(texts), space, nothing)
     data = LETTER[text_bytes(texts)]
-    row = np.repeat(np.arange(len(texts)), pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), pc.binary_length(texts).to_numpy(zero_copy_only=False))
     if len(data):
         again = np.zeros(len(data), bool)
         again[1:] = (data[1:] == 32) & (data[:-1] == 32) & (row[1:] == row[:-1])
         data, row = data[~again], row[~again]
     if len(data) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.uint32)
     code = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:]
     bucket = (code * np.uint32(2654435769)) >> np.uint32(32 - BUCKET_BITS)
     inside = row[:-2] == row[2:]
-    return row[:-2][inside], bucket[inside].astype(np.int64)
+    return row[:-2][inside], bucket[inside]
 
 
 def trigram_counts(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
@@ -84,8 +85,8 @@ def trigram_counts(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
             for at, texts in slices(batch.column("text")):
                 row, bucket = trigrams(texts)
                 known = lang[at:at + len(texts)][row]
-                ok = known >= 0
-                total += np.bincount(known[ok] * size + bucket[ok], minlength=total.size).reshape(total.shape)
+                for i in range(len(languages)):
+                    total[i] += np.bincount(bucket[known == i], minlength=size)
         at, bucket = np.nonzero(total)
         yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[at, bucket])],
                               names=["lang", "bucket", "n"])
@@ -99,7 +100,7 @@ def trigram_counts(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
 
 @dataclass
 class TextModel:
-    """Log likelihood per bucket and class (the languages, then und)."""
+    """Log likelihood per class (the languages, then und) and bucket."""
 
     languages: tuple[str, ...]
     loglik: np.ndarray
@@ -110,11 +111,11 @@ class TextModel:
         share = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * counts.shape[1])
         und = np.full((1, counts.shape[1]), -np.log(counts.shape[1]))
         log = np.where(counts.sum(1, keepdims=True) > 0, np.log(share), und - 50.0)  # a language never declared can't win
-        return cls(languages, np.concatenate([log, und]).T.astype(np.float32).copy())
+        return cls(languages, np.concatenate([log, und]))
 
     def evidence(self, text: Column, most: int) -> Column:
         """array<double>: tempered log likelihood of each class; null without letters."""
-        table, classes = self.loglik, self.loglik.shape[1]
+        table, classes = self.loglik, len(self.loglik)
 
         @F.arrow_udf("array<double>")
         def text_evidence(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -124,7 +125,8 @@ class TextModel:
                     row, bucket = trigrams(texts)
                     if len(row):
                         starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                        out[at + row[starts]] = np.add.reduceat(table[bucket], starts, axis=0, dtype=np.float64)
+                        for i in range(classes):
+                            out[at + row[starts], i] = np.add.reduceat(table[i][bucket], starts)
                         n[at:at + len(texts)] = np.bincount(row, minlength=len(texts))
                 out *= (np.minimum(n, most) / np.maximum(n, 1))[:, None]
                 offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, classes, 0))])
@@ -146,10 +148,6 @@ def markup_language(html: Column) -> Column:
     return F.when(lang != "", lang)
 
 
-def _array(name: str, n: int) -> list[Column]:
-    return [F.col(name)[i] for i in range(n)]
-
-
 def _counts(decided: DataFrame, by: str, n: int) -> DataFrame:
     """Per value of ``by``: array of decisions per language."""
     sums = [F.sum(F.when(F.col("choice") == i, 1).otherwise(0)).cast("double") for i in range(n)]

@@ -6,8 +6,9 @@ a text with its language's reference by Jensen-Shannon distance (base 2, 0 to 1)
 character classes, and the language's common words (all other words in one bin).
 Both have length guards: a text too short for a stable histogram isn't judged by
 it. References are means of the documents' shares over all documents that pass
-the base rules, then once more over those near the first mean, so junk doesn't
-bend them. They are one row per language and bin (a fixed number).
+the base rules, then once more over the half of them nearest to the first mean, so
+junk short of a majority doesn't bend them. They are one row per language and
+bin (a fixed number).
 
 Defined cases: a null text has no words and fails the base; languages without a
 word list (and null) share one reference and are judged by classes only; a
@@ -37,7 +38,7 @@ COMMON_WORDS = {
 }
 LANGUAGES = tuple(COMMON_WORDS)
 BINS = 1 + max(map(len, COMMON_WORDS.values()))
-TRIM = 0.15  # class distance to the first mean beyond which a document doesn't shape the reference
+STEPS = 1000  # steps of class distance in which the nearest half is found
 SCALE = 1_000_000  # shares are summed as integers, so sums don't depend on their order
 
 SYMBOL_CLASSES = [CLASSES.index("symbol"), CLASSES.index("bar")]  # the characters of SYMBOLS
@@ -68,24 +69,29 @@ def common_counts(part: Slice, lang: np.ndarray) -> np.ndarray:
     return out
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def _stats(texts: pa.Array, langs: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Base counts, class counts and common-word counts of a batch of whole texts."""
+    index = language_index(langs)
+    parts = [([np.zeros(0, np.int64)] * len(COUNTS), np.zeros((0, len(CLASSES)), np.int64), np.zeros((0, BINS), np.int64))]
+    for at, some in slices(texts):
+        s = Slice(some)
+        classes = s.class_counts()
+        parts.append(([s.n_words, s.word_chars(), classes[:, SYMBOL_CLASSES].sum(1), s.line_counts()[1], s.repeat_words()],
+                      classes, common_counts(s, index[at:at + len(some)])))
+    counts = [np.concatenate(x).astype(np.int64) for x in zip(*(p[0] for p in parts))]
+    return counts, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+
+
 def document_stats(text: Column, lang: Column) -> Column:
     """Struct of the base counts and both histograms of each whole text."""
     @F.arrow_udf(STATS)
     def quality_stats(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch, langs in batches:
-            index, parts = language_index(langs), []
-            for at, texts in slices(batch):
-                s = Slice(texts)
-                classes = s.class_counts()
-                parts.append((s.n_words, s.word_chars(), classes[:, SYMBOL_CLASSES].sum(1), s.line_counts()[1], s.repeat_words(),
-                              classes, common_counts(s, index[at:at + len(texts)])))
-            if not parts:
-                yield pa.array([], pa.struct([(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-                                             + [(n, pa.list_(pa.int32())) for n in ("classes", "common")]))
-                continue
-            cols = [np.concatenate(x) for x in zip(*parts)]
-            arrays = [pa.array(c.astype(np.int64)) for c in cols[:5]] + [_ints(c) for c in cols[5:]]
-            yield pa.StructArray.from_arrays(arrays, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "common"])
+        for texts, langs in batches:
+            counts, classes, common = _stats(texts, langs)
+            yield pa.StructArray.from_arrays([*map(pa.array, counts), _ints(classes), _ints(common)], [*COUNTS, "classes", "common"])
 
     return quality_stats(text, lang)
 
@@ -105,25 +111,37 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((kl[0] + kl[1]) / 2, 0, 1))
 
 
-def _table(lists: pa.Array, width: int) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+def _distances(classes: np.ndarray, common: np.ndarray, langs: pa.Array, refs: tuple[np.ndarray, np.ndarray]) -> list[pa.Array]:
+    index, out = language_index(langs), []
+    for found, ref in ((classes, refs[0]), (common, refs[1])):
+        none = ref[index].sum(1) == 0
+        out.append(pa.array(np.where(none, 0, js_distance(found.astype(np.float64), ref[index])), mask=none))
+    return out
 
 
-def distances(stats: Column, lang: Column, classes_ref: np.ndarray, common_ref: np.ndarray) -> Column:
+def distances(stats: Column, lang: Column, refs: tuple[np.ndarray, np.ndarray]) -> Column:
     """struct<class_distance, word_distance>, null where the language has no reference."""
     @F.arrow_udf("class_distance double, word_distance double")
     def divergence(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for batch, langs in batches:
-            index, out = language_index(langs), []
-            for name, ref in (("classes", classes_ref), ("common", common_ref)):
-                found = _table(batch.field(name), ref.shape[1]).astype(np.float64)
-                none = ref[index].sum(1) == 0
-                out.append(pa.array(np.where(none, 0, js_distance(found, ref[index])), mask=none))
-            yield pa.StructArray.from_arrays(out, ["class_distance", "word_distance"])
+            tables = [batch.field(f).flatten().to_numpy(zero_copy_only=False).reshape(-1, r.shape[1]) for f, r in zip(("classes", "common"), refs)]
+            yield pa.StructArray.from_arrays(_distances(*tables, langs, refs), ["class_distance", "word_distance"])
 
     return divergence(stats, lang)
 
 
+def judged_stats(text: Column, lang: Column, refs: tuple[np.ndarray, np.ndarray]) -> Column:
+    """What the verdict needs of each whole text, in one pass: counts, number of characters, both distances."""
+    @F.arrow_udf("n_words long, n_repeat_words long, n_chars long, class_distance double, word_distance double")
+    def quality_judged(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, langs in batches:
+            counts, classes, common = _stats(texts, langs)
+            arrays = [pa.array(counts[0]), pa.array(counts[4]), pa.array(classes.sum(1)), *_distances(classes, common, langs, refs)]
+            yield pa.StructArray.from_arrays(arrays, ["n_words", "n_repeat_words", "n_chars", "class_distance", "word_distance"])
+
+    return quality_judged(text, lang)
+
+
 def references(passed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Mean shares per language: classes, and common words, over (lang_no, classes, common)."""
     out = []
@@ -139,20 +157,27 @@ def references(passed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def fit(stats: DataFrame, trim: float = TRIM) -> tuple[np.ndarray, np.ndarray]:
-    """References from ``stats`` (lang, stats struct, failed), trimmed once at a class distance."""
+def fit(stats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """References from ``stats`` (lang, stats struct, failed): means over the half nearest to the mean of all."""
     number = F.coalesce(F.when(F.col("lang").isin(*LANGUAGES), F.array_position(F.array(*map(F.lit, LANGUAGES)), F.col("lang")) - 1),
                         F.lit(len(LANGUAGES))).cast("int")
     passed = stats.filter(~F.col("failed")).withColumn("lang_no", number)
     first = references(passed.select("lang_no", "stats.classes", "stats.common"))
-    near = passed.withColumn("d", distances(F.col("stats"), F.col("lang"), *first))
-    near = near.filter(F.coalesce("d.class_distance", F.lit(0.0)) <= trim)
-    return references(near.select("lang_no", "stats.classes", "stats.common"))
+    passed = passed.withColumn("step", F.floor(distances(F.col("stats"), F.col("lang"), first)["class_distance"] * STEPS))
+    tally: dict[int, list[tuple[int, int]]] = {}
+    for lang, step, n in passed.groupBy("lang_no", "step").count().collect():  # languages x STEPS
+        tally.setdefault(lang, []).append((step, n))
+    near = F.lit(False)
+    for lang, found in tally.items():
+        steps, counts = zip(*sorted(found))
+        half = steps[int(np.searchsorted(np.cumsum(counts), sum(counts) / 2))]
+        near = near | ((F.col("lang_no") == lang) & (F.col("step") <= half))
+    return references(passed.filter(near).select("lang_no", "stats.classes", "stats.common"))
 
 
 #: Length guards: (least length, distance that fails). The longest guard that a text reaches holds; shorter texts
 #: aren't judged. Short texts stray far from any reference by chance, so their limit is wider.
-CLASS_GUARDS = ((200, 0.27), (450, 0.208), (1800, 0.19), (6000, 0.15))  # characters
+CLASS_GUARDS = ((200, 0.28), (450, 0.218), (1800, 0.19), (6000, 0.15))  # characters
 WORD_GUARDS = ((300, 0.34),)  # words
 
 
@@ -164,12 +189,9 @@ def strays(length: Column, distance: Column, guards: tuple[tuple[int, float], ..
     return F.coalesce(distance, F.lit(0.0)) > limit
 
 
-def verdict(rows: DataFrame, refs: tuple[np.ndarray, np.ndarray], class_guards=CLASS_GUARDS, word_guards=WORD_GUARDS) -> DataFrame:
-    """Adds d (class_distance, word_distance) and ``kept`` to rows with lang, stats and failed."""
-    rows = rows.withColumn("d", distances(F.col("stats"), F.col("lang"), *refs))
-    chars = F.aggregate("stats.classes", F.lit(0).cast("long"), lambda a, x: a + x)
-    odd = strays(chars, F.col("d.class_distance"), class_guards) | strays(F.col("stats.n_words"), F.col("d.word_distance"), word_guards)
-    return rows.withColumn("kept", ~F.col("failed") & ~odd)
+def passes(stats: str, chars: Column, distance: str, class_guards=CLASS_GUARDS, word_guards=WORD_GUARDS) -> Column:
+    odd = strays(chars, F.col(f"{distance}.class_distance"), class_guards) | strays(F.col(f"{stats}.n_words"), F.col(f"{distance}.word_distance"), word_guards)
+    return ~base_failed(stats) & ~odd
 
 
 def _with_stats(docs: DataFrame, text: str, lang: str, *others: Column) -> DataFrame:
@@ -178,14 +200,16 @@ def _with_stats(docs: DataFrame, text: str, lang: str, *others: Column) -> DataF
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **guards) -> DataFrame:
-    """(id, stats, failed, d, kept) for each row."""
+    """(id, lang, stats, failed, d, kept) for each row; d has class_distance and word_distance."""
     stats = stage(_with_stats(docs, text_col, lang_col, F.col(id_col).alias("id")), "quality")
-    return verdict(stats, fit(stats), **guards)
+    chars = F.aggregate("stats.classes", F.lit(0).cast("long"), lambda a, x: a + x)
+    rows = stats.withColumn("d", distances(F.col("stats"), F.col("lang"), fit(stats)))
+    return rows.withColumn("kept", passes("stats", chars, "d", **guards))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **guards) -> DataFrame:
     """The rows of ``docs`` that pass, unchanged."""
-    whole = fresh("whole_row", docs)
+    found = fresh("judged", docs)
     refs = fit(stage(_with_stats(docs, text_col, lang_col), "quality"))
-    full = _with_stats(docs, text_col, lang_col, F.struct(*[docs[c] for c in docs.columns]).alias(whole))
-    return verdict(full, refs, **guards).filter("kept").select(f"{whole}.*")
+    rows = docs.withColumn(found, judged_stats(F.col(text_col), F.col(lang_col), refs))
+    return rows.filter(passes(found, F.col(f"{found}.n_chars"), found, **guards)).drop(found)

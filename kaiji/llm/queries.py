@@ -114,11 +114,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and digests, derived from the ids of the whole text and the bytes decoded from them."""
-    ids = docs.select("doc_id", bpe.encode(F.col("text"), ranks_path, pattern).alias("ids"))
-    done = ids.withColumn("decoded", bpe.decode(F.col("ids"), ranks_path, pattern))
-    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    done = docs.select("doc_id", bpe.round_trip(F.col("text"), ranks_path, pattern).alias("bpe"))
+    return done.select("doc_id", F.size("bpe.ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("bpe.ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
 
 
 @register("op6_byte_bpe")

@@ -46,11 +46,12 @@ def path_of(url: Column) -> Column:
 
 def pattern_regex(pattern: Column) -> Column:
     """The regular expression of a pattern, for lower-cased urls."""
-    text = F.regexp_replace(lower_ascii(pattern), r"([.+?$(){}\[\]\\])", r"\\$1")
-    text = F.regexp_replace(F.regexp_replace(text, r"\*", ".*"), r"\^", r"(?:[^a-z0-9_.%-]|\$)")
+    text = F.translate(lower_ascii(pattern), "^*", "\x01\x02")  # kept apart until the anchors are done
+    text = F.regexp_replace(text, r"([.+?$(){}\[\]\\])", r"\\$1")
     text = F.regexp_replace(text, r"^\|\|", r"^[a-z][a-z0-9+.-]*://(?:[^/?#]*[.])?")
     text = F.regexp_replace(F.regexp_replace(text, r"^\|", "^"), r"\|$", r"\$")
-    return F.regexp_replace(text, r"\|", "[|]")
+    text = F.regexp_replace(F.regexp_replace(text, r"\|", "[|]"), "\x02", ".*")
+    return F.concat(F.lit("(?s)"), F.regexp_replace(text, "\x01", r"(?:[^a-z0-9_.%-]|\$)"))
 
 
 def pattern_tokens(pattern: Column) -> Column:
