@@ -18,7 +18,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows of one Arrow batch: bounds what a Python worker holds of long texts
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
