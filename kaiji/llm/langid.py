@@ -132,7 +132,7 @@ class TextModel:
                 offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, classes, 0))])
                 yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out[n > 0].ravel()), mask=pa.array(n == 0))
 
-        return text_evidence(text)
+        return text_evidence.asNondeterministic()(text)  # so that no filter makes Spark evaluate it twice
 
 
 def host_parts(url: Column) -> tuple[Column, Column, Column]:
@@ -231,7 +231,7 @@ def keep_identified(docs: DataFrame, text_col: str, declared_col: str, host_col:
                        no.alias("domain"), no.alias("suffix"))
     model = TextModel.fit(rows, languages)
     evidence = model.evidence(F.col("text"), text_evidence).alias("evidence")
-    found = fit_evidence(rows.select("declared", "host", "domain", "suffix", evidence), languages)
+    found = fit_evidence(stage(rows.select("declared", "host", "domain", "suffix", evidence), "lang-scored"), languages)
     whole = fresh("whole_row", docs)
     full = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(whole), F.col(declared_col).alias("declared"),
                        F.col(host_col).alias("host"), no.alias("suffix"), model.evidence(F.col(text_col), text_evidence).alias("evidence"))

@@ -93,7 +93,7 @@ def document_stats(text: Column, lang: Column) -> Column:
             counts, classes, common = _stats(texts, langs)
             yield pa.StructArray.from_arrays([*map(pa.array, counts), _ints(classes), _ints(common)], [*COUNTS, "classes", "common"])
 
-    return quality_stats(text, lang)
+    return quality_stats.asNondeterministic()(text, lang)
 
 
 def base_failed(stats: str = "stats", min_words: int = 50) -> Column:
@@ -139,7 +139,7 @@ def judged_stats(text: Column, lang: Column, refs: tuple[np.ndarray, np.ndarray]
             arrays = [pa.array(counts[0]), pa.array(counts[4]), pa.array(classes.sum(1)), *_distances(classes, common, langs, refs)]
             yield pa.StructArray.from_arrays(arrays, ["n_words", "n_repeat_words", "n_chars", "class_distance", "word_distance"])
 
-    return quality_judged(text, lang)
+    return quality_judged.asNondeterministic()(text, lang)  # so that the filter on it evaluates it once
 
 
 def references(passed: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -55,8 +54,9 @@ def _rows(lists: pa.Array) -> np.ndarray:
 
 
 def first_codes(key: np.ndarray) -> tuple[np.ndarray, int]:
-    codes, found = pd.factorize(key)
-    return codes, len(found)
+    """Codes of equal keys from 0 on, and their number."""
+    coded = pa.array(key).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
 
 
 class Slice:
