@@ -60,10 +60,10 @@ def promote_parsed(catalog: DataFrame, failed_bins: DataFrame, bin_col: str = "b
     """``parsed`` becomes ``success`` unless its bin failed, then ``failure``.
 
     ``failed_bins`` holds one row per failed bin (bounded by the bin count, a
-    few hundred), so it is broadcast.
+    few hundred); Spark broadcasts it if its measured size allows.
     """
     fb = failed_bins.select(F.col(bin_col).alias("_fb")).distinct()
-    out = catalog.join(F.broadcast(fb), F.col(bin_col) == F.col("_fb"), "left")
+    out = catalog.join(fb, F.col(bin_col) == F.col("_fb"), "left")
     st = F.col("processed_status")
     return out.withColumn(
         "processed_status",

@@ -1,9 +1,10 @@
 """Presentation / calculation hierarchy operators.
 
 Edges are (parent_key, child_key, role[, child_order | weight]). Recursive
-walks are level-by-level distributed joins with a depth cap and a cycle
-guard (pairs already seen are anti-joined away). Every few levels the
-frontier is checkpointed to the shared checkpoint folder to cut lineage.
+walks are level-by-level distributed joins that run until a level adds
+nothing, however deep the tree; cycles end them too (pairs already seen are
+anti-joined away, and a display path never visits a key twice). Each level is
+checkpointed to the shared folder, so later levels don't recompute it.
 """
 
 from __future__ import annotations
@@ -13,18 +14,14 @@ from pyspark.sql import functions as F
 
 from kaiji.session import checkpoint_dir
 
-MAX_DEPTH = 32
-CHECKPOINT_EVERY = 4
 # Label roles and languages pivoted by J6.
 LABEL_ROLES = (("label", "ja", "label_jp"), ("verboseLabel", "ja", "label_jp_long"),
                ("label", "en", "label_en"), ("verboseLabel", "en", "label_en_long"))
 
 
-def _cut(df: DataFrame, level: int) -> DataFrame:
-    if level % CHECKPOINT_EVERY == 0:
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
+def _cut(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def children(edges: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -41,37 +38,36 @@ def parents(edges: DataFrame, keys: DataFrame) -> DataFrame:
         .select("child_key", "parent_key", "role")
 
 
-def descendants(edges: DataFrame, max_depth: int = MAX_DEPTH, group: tuple[str, ...] = ("role",)) -> DataFrame:
+def descendants(edges: DataFrame, group: tuple[str, ...] = ("role",), start: DataFrame | None = None) -> DataFrame:
     """H2: every (group..., key, descendant) pair with its shortest depth;
-    ``group`` scopes the trees (the role, or document and role)."""
+    ``group`` scopes the trees (the role, or document and role). ``start``
+    (group..., key) limits the keys whose descendants are wanted."""
     g = list(group)
-    e = edges.select(*g, F.col("parent_key").alias("key"), F.col("child_key").alias("nxt")).distinct()
-    result = e.select(*g, "key", F.col("nxt").alias("descendant"), F.lit(1).alias("depth"))
-    frontier = result
-    for d in range(2, max_depth + 1):
-        step = (frontier.join(e.withColumnRenamed("key", "descendant"), g + ["descendant"])
-                .select(*g, "key", F.col("nxt").alias("descendant"), F.lit(d).alias("depth")).distinct())
-        step = step.join(result.select(*g, "key", "descendant"), g + ["key", "descendant"], "left_anti")
-        step = _cut(step, d)
+    e = _cut(edges.select(*g, F.col("parent_key").alias("key"), F.col("child_key").alias("nxt")).distinct())
+    first = e if start is None else e.join(start, g + ["key"], "left_semi")
+    result = frontier = first.select(*g, "key", F.col("nxt").alias("descendant"), F.lit(1).alias("depth"))
+    step_edges, depth = e.withColumnRenamed("key", "descendant"), 1
+    while True:
+        depth += 1
+        step = (frontier.join(step_edges, g + ["descendant"])
+                .select(*g, "key", F.col("nxt").alias("descendant"), F.lit(depth).alias("depth")).distinct())
+        step = _cut(step.join(result.select(*g, "key", "descendant"), g + ["key", "descendant"], "left_anti"))
         if step.isEmpty():
-            break
+            return result
         result = result.unionByName(step)
         frontier = step
-    return result
 
 
-def top_ancestors(edges: DataFrame, max_depth: int = MAX_DEPTH, group: tuple[str, ...] = ("role",)) -> DataFrame:
+def top_ancestors(edges: DataFrame, group: tuple[str, ...] = ("role",)) -> DataFrame:
     """H3: for every key of a tree, its top ancestors (keys without a parent);
-    a root returns itself."""
+    a root returns itself. Walks down from the roots only."""
     g = list(group)
     nodes = (edges.select(*g, F.col("parent_key").alias("key"))
              .unionByName(edges.select(*g, F.col("child_key").alias("key"))).distinct())
     has_parent = edges.select(*g, F.col("child_key").alias("key")).distinct()
     roots = nodes.join(has_parent, g + ["key"], "left_anti")
-    closure = descendants(edges, max_depth, group)
-    up = (closure.join(roots, g + ["key"], "left_semi")
-          .select(*g, F.col("descendant").alias("key"), F.col("key").alias("top_key")))
-    return up.unionByName(roots.select(*g, "key", F.col("key").alias("top_key"))).distinct()
+    below = descendants(edges, group, roots).select(*g, F.col("descendant").alias("key"), F.col("key").alias("top_key"))
+    return below.unionByName(roots.select(*g, "key", F.col("key").alias("top_key"))).distinct()
 
 
 def roles_of_keys(edges: DataFrame) -> DataFrame:
@@ -80,42 +76,44 @@ def roles_of_keys(edges: DataFrame) -> DataFrame:
             .unionByName(edges.select(F.col("child_key").alias("key"), "role")).distinct())
 
 
-def display_order(edges: DataFrame, wanted: DataFrame, role: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def display_order(edges: DataFrame, wanted: DataFrame, role: str) -> DataFrame:
     """H5 for one role (see :func:`display_order_grouped`)."""
     e = edges.filter(F.col("role") == role)
     w = wanted.withColumn("role", F.lit(role))
-    return display_order_grouped(e, w, ("role",), max_depth).drop("role")
+    return display_order_grouped(e, w, ("role",)).drop("role")
 
 
-def display_order_grouped(edges: DataFrame, wanted: DataFrame, group: tuple[str, ...] = ("role",),
-                          max_depth: int = MAX_DEPTH) -> DataFrame:
+def display_order_grouped(edges: DataFrame, wanted: DataFrame, group: tuple[str, ...] = ("role",)) -> DataFrame:
     """H5: depth-decayed display order per tree (``group``: role, or
     document and role).
 
     The top ancestors of the wanted keys are numbered 1..n by key (D18);
     a child's order is its parent's order + child_order * 0.01^depth. Rows are
     kept for the wanted keys and their direct children; a node reachable by
-    several paths keeps one row per path (as the reference's list does)."""
+    several paths keeps one row per path; a path ends where a cycle closes."""
     from pyspark.sql import Window
     g = list(group)
-    e = edges.select(*g, "parent_key", "child_key", F.coalesce("child_order", F.lit(1.0)).alias("co"))
+    e = _cut(edges.select(*g, "parent_key", "child_key", F.coalesce("child_order", F.lit(1.0)).alias("co"))
+             .filter(F.col("parent_key") != F.col("child_key")))
     w = wanted.select(*g, "key").distinct()
-    tops = top_ancestors(edges, max_depth, group)
+    tops = top_ancestors(edges, group)
     roots = (tops.join(w, g + ["key"], "left_semi").select(*g, F.col("top_key").alias("parent_key")).distinct())
     # Roots per tree are few (a taxonomy has a handful per role).
     roots = roots.withColumn("ord", F.row_number().over(Window.partitionBy(*g).orderBy("parent_key"))
                              .cast("double"))
     keep = w.unionByName(e.join(w.withColumnRenamed("key", "parent_key"), g + ["parent_key"], "left_semi")
                          .select(*g, F.col("child_key").alias("key"))).distinct()
-    frontier = (roots.join(e, g + ["parent_key"])
-                .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(1)) + F.col("ord")).alias("ord"),
-                        F.lit(1).alias("lvl")))
-    out = frontier
-    for d in range(2, max_depth + 1):
-        step = (frontier.select(*g, F.col("child_key").alias("parent_key"), "ord").join(e, g + ["parent_key"])
-                .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(d)) + F.col("ord")).alias("ord"),
-                        F.lit(d).alias("lvl")))
-        step = _cut(step, d)
+    out = frontier = (roots.join(e, g + ["parent_key"])
+                      .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(1)) + F.col("ord")).alias("ord"),
+                              F.lit(1).alias("lvl"), F.array("parent_key", "child_key").alias("path")))
+    depth = 1
+    while True:
+        depth += 1
+        step = (frontier.select(*g, F.col("child_key").alias("parent_key"), "ord", "path").join(e, g + ["parent_key"])
+                .filter(~F.array_contains("path", F.col("child_key")))
+                .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(depth)) + F.col("ord")).alias("ord"),
+                        F.lit(depth).alias("lvl"), F.concat("path", F.array("child_key")).alias("path")))
+        step = _cut(step)
         if step.isEmpty():
             break
         out = out.unionByName(step)
@@ -124,10 +122,10 @@ def display_order_grouped(edges: DataFrame, wanted: DataFrame, group: tuple[str,
             .select(*g, F.col("child_key").alias("key"), F.round("ord", 10).alias("order"), "lvl"))
 
 
-def latest_calc_edges(calc: DataFrame) -> DataFrame:
-    """H6: one weighted calculation edge per (parent, child); the last arc wins."""
-    from kaiji.operators.catalog import latest_wins
-    return latest_wins(calc.select("parent_key", "child_key", "weight", "pos"), ["parent_key", "child_key"], ["pos"])
+def first_calc_edges(calc: DataFrame) -> DataFrame:
+    """H6: one weighted calculation edge per (parent, child); the first arc stays."""
+    return calc.groupBy("parent_key", "child_key").agg(
+        F.min("pos").alias("pos"), F.min_by("weight", F.struct("pos", "weight")).alias("weight"))
 
 
 def key_search(keys: DataFrame, word: str) -> DataFrame:
@@ -143,14 +141,19 @@ def roles_matching(roles: DataFrame, words: list[str]) -> DataFrame:
     return roles.filter(cond)
 
 
+def label_pivot() -> list:
+    """The first text (by ``pos``, ties by text) of each role and language."""
+    return [F.min_by("text", F.when((F.col("role") == ro) & (F.col("lang") == la), F.struct("pos", "text"))).alias(name)
+            for ro, la, name in LABEL_ROLES]
+
+
 def resolve_labels(resources: DataFrame, arcs: DataFrame, locators: DataFrame) -> DataFrame:
     """Resource label -> (arc) locator label -> (locator) key, then the
-    label / verboseLabel x ja / en pivot as one conditional aggregate."""
+    label / verboseLabel x ja / en pivot as one conditional aggregate. Of
+    several texts the first (by ``pos``) stays."""
     r = resources.join(arcs, "label_lab", "left").join(locators, "label_pre", "left")
     r = r.withColumn("key", F.coalesce("key", "label_pre", "label_lab"))
-    aggs = [F.max(F.when((F.col("role") == ro) & (F.col("lang") == la), F.col("text"))).alias(name)
-            for ro, la, name in LABEL_ROLES]
-    return r.groupBy("key").agg(*aggs)
+    return r.groupBy("key").agg(*label_pivot())
 
 
 def resolve_arc_keys(arcs: DataFrame, locators: DataFrame) -> DataFrame:

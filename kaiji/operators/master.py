@@ -101,7 +101,7 @@ def name_sync(master: DataFrame, definitions: DataFrame) -> DataFrame:
             continue
         d = (definitions.filter(F.col("type") == t)
              .select(F.col("code").alias(f"_d_{t}"), F.col("name").alias(f"_n_{t}")))
-        out = (out.join(F.broadcast(d), out[code_col] == F.col(f"_d_{t}"), "left")
+        out = (out.join(d, out[code_col] == F.col(f"_d_{t}"), "left")
                .withColumn(name_col, F.coalesce(F.col(f"_n_{t}"), F.col(name_col)))
                .drop(f"_d_{t}", f"_n_{t}"))
     return out

@@ -39,9 +39,8 @@ def q_response_jsonl(spark, sf_dir):
                     F.col("filer_name").alias("filerName"), F.col("doc_type").alias("docTypeCode"))
     # Responses hold about RESPONSE_SIZE filings: a day is split into
     # ceil(rows / RESPONSE_SIZE) hash chunks, so no day becomes one huge row.
-    # The per-day counts are bounded by the calendar and broadcast.
     days = f.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
-    f = f.join(F.broadcast(days), "date").withColumn(
+    f = f.join(days, "date").withColumn(
         "chunk", F.pmod(F.hash("doc_id"), F.greatest(F.lit(1), F.ceil(F.col("_n") / RESPONSE_SIZE).cast("int"))))
     resp = (f.groupBy("date", "chunk")
             .agg(F.collect_list(item).alias("results"))
@@ -100,14 +99,14 @@ def _code_list_lines(spark, sf_dir):
     head = spark.createDataFrame([("ダウンロード実行日,2024年06月01日,件数,1",),
                                   ("ＥＤＩＮＥＴコード,提出者種別,上場区分,連結の有無,資本金,決算日,提出者名,"
                                    "提出者名（英字）,提出者名（ヨミ）,所在地,提出者業種,証券コード,提出者法人番号",)], "value string")
-    return head.unionByName(data)
+    return head.coalesce(1).unionByName(data).coalesce(1)  # one file: preamble, header, data
 
 
 @register("code_list", """SELECT edinet_code, '内国法人' AS submitter_type,
   c_custkey % 3 = 1 AS is_listed_edinet,
   CASE WHEN c_custkey % 4 = 0 THEN false WHEN c_custkey % 4 = 1 THEN NULL ELSE true END AS is_consolidated,
-  c_name AS company_name,
-  CASE WHEN s IS NULL OR trim(s) = '' THEN NULL ELSE coalesce(CAST(CAST(TRY_CAST(s AS DOUBLE) AS BIGINT) AS VARCHAR), s)
+  '100' AS capital, '3月31日' AS settlement_date, c_name AS company_name, CAST(NULL AS VARCHAR) AS company_name_en,
+  '東京都' AS address, CASE WHEN s IS NULL OR trim(s) = '' THEN NULL ELSE coalesce(CAST(CAST(TRY_CAST(s AS DOUBLE) AS BIGINT) AS VARCHAR), s)
   END AS p6, CASE WHEN p6 IN ('0', '0000', '00000') THEN NULL ELSE p6 END AS sec_code, j AS jcn,
   c_mktsegment AS industry FROM (
   SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_custkey % 13 = 0 THEN 'E' || CAST(c_custkey AS VARCHAR)
@@ -117,15 +116,15 @@ def _code_list_lines(spark, sf_dir):
        WHEN c_custkey % 5 = 0 THEN NULL
        ELSE lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || '0' END AS s,
   CAST(1000000000000 + c_custkey AS VARCHAR) AS j FROM customer)
-WHERE regexp_full_match(edinet_code, 'E[0-9]{5}')""".replace("SELECT edinet_code,", "SELECT * EXCLUDE (p6) FROM (SELECT edinet_code,", 1) + ")")
+WHERE length(edinet_code) = 6""".replace("SELECT edinet_code,", "SELECT * EXCLUDE (p6) FROM (SELECT edinet_code,", 1) + ")")
 def q_code_list(spark, sf_dir):
     """S7 + P6: the official code list (preamble line, 13 columns) read back:
     short codes dropped, zero security codes blanked, numbers as safe integers."""
     path = work_dir(spark, "code-list")
     _code_list_lines(spark, sf_dir).write.mode("overwrite").text(path)
-    return S.read_code_list(spark, path, encoding="UTF-8").drop("submitter_type_x") \
-        .select("edinet_code", "submitter_type", "is_listed_edinet", "is_consolidated", "company_name", "sec_code",
-                "jcn", "industry")
+    return S.read_code_list(spark, path, encoding="UTF-8").select(
+        "edinet_code", "submitter_type", "is_listed_edinet", "is_consolidated", "capital", "settlement_date", "company_name",
+        "company_name_en", "address", "sec_code", "jcn", "industry")
 
 
 @register("aggregation_list", """WITH a AS (
@@ -134,7 +133,7 @@ def q_code_list(spark, sf_dir):
          ELSE 'E' || lpad(CAST(n_regionkey AS VARCHAR), 5, '0') END AS new_code FROM nation
   UNION ALL SELECT CAST(n_nationkey * 10 + 5 AS BIGINT), 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0'), 'E99999'
     FROM nation WHERE n_nationkey % 4 = 0)
-SELECT old_code, arg_max(pos, pos) AS pos, arg_max(new_code, pos) AS new_code FROM a
+SELECT old_code, arg_max(new_code, pos) AS new_code FROM a
 WHERE old_code <> new_code GROUP BY old_code""")
 def q_aggregation_list(spark, sf_dir):
     """Code aggregation list (preamble, positional columns); self maps
@@ -143,29 +142,35 @@ def q_aggregation_list(spark, sf_dir):
     k = F.col("n_nationkey")
     old = F.concat(F.lit("E1"), F.lpad(k.cast("string"), 4, "0"))
     new = F.when(k % 5 == 0, old).otherwise(F.concat(F.lit("E"), F.lpad(F.col("n_regionkey").cast("string"), 5, "0")))
-    rows = n.select(F.concat_ws(",", (k * 10).cast("string"), old, new).alias("value")).unionByName(
-        n.filter(k % 4 == 0).select(F.concat_ws(",", (k * 10 + 5).cast("string"), old, F.lit("E99999")).alias("value")))
-    lines = spark.createDataFrame([("集約一覧,2024年06月01日,",)], "value string").unionByName(rows)
-    path = work_dir(spark, "agg-list")
-    lines.write.mode("overwrite").text(path)
-    return S.read_aggregation_list(spark, path).select("old_code", "pos", "new_code")
+    day = F.lit("2024年06月01日")
+    rows = n.select((k * 10).alias("pos"), day.alias("a"), old.alias("b"), new.alias("c")).unionByName(
+        n.filter(k % 4 == 0).select((k * 10 + 5).alias("pos"), day.alias("a"), old.alias("b"), F.lit("E99999").alias("c")))
+    head = spark.createDataFrame([("集約一覧", "2024年06月01日", None), ("集約日", "旧コード", "新コード")], "a string, b string, c string")
+    path = work_dir(spark, "agg-list")  # one file in the legacy encoding: preamble, header, lines in order
+    (head.coalesce(1).unionByName(rows.orderBy("pos").drop("pos").coalesce(1)).coalesce(1)
+     .write.mode("overwrite").option("encoding", S.CSV_ENCODING).csv(path))
+    return S.read_aggregation_list(spark, path)
 
 
 @register("staged_delta_merge", """SELECT event_id, user_id, event_type,
   CASE WHEN event_type IN ('view', 'click') THEN 'local' ELSE 'remote' END AS source FROM events
-WHERE event_type <> 'error'""")
+WHERE event_type <> 'error' UNION ALL
+SELECT event_id, user_id, event_type, 'remote' FROM events WHERE event_type IN ('signup', 'view')""")
 def q_staged_delta_merge(spark, sf_dir):
-    """K4 -> S9: event chunks (one per type) staged by a remote run; view and
-    click also staged locally (local wins); the error chunk lacks its success
-    marker and is ignored."""
+    """K4 -> S9: event chunks (one per type) staged remotely; view and click of
+    the same run also staged locally (local wins); the error chunk lacks its
+    success marker and is ignored; a later run reuses two chunk ids and both
+    runs' chunks stay; a retried chunk isn't doubled."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     staging = work_dir(spark, "staging")
     types = ["view", "click", "purchase", "signup", "error"]
     for t in types:
-        K.write_delta_chunk(e.filter(F.col("event_type") == t), staging, "run_2024-06-01_remote", t, "remote",
+        K.write_delta_chunk(e.filter(F.col("event_type") == t), staging, "run_2024-06-01", t, "remote",
                             mark_success=(t != "error"))
     for t in ("view", "click"):
-        K.write_delta_chunk(e.filter(F.col("event_type") == t), staging, "run_2024-06-01_local", t, "local")
+        K.write_delta_chunk(e.filter(F.col("event_type") == t), staging, "run_2024-06-01", t, "local")
+    for t in ("signup", "view", "view"):
+        K.write_delta_chunk(e.filter(F.col("event_type") == t), staging, "run_2024-06-02", t, "remote")
     return S.staged_deltas(spark, staging).select("event_id", "user_id", "event_type", "source")
 
 
@@ -326,17 +331,16 @@ def q_index_pipeline(spark, sf_dir):
 
 
 @register("latest_healthy_version", """SELECT year(o_orderdate) - 1994 AS version, count(*) AS n_rows FROM orders
-WHERE year(o_orderdate) - 1994 = (SELECT max(year(o_orderdate) - 1994) FROM orders WHERE year(o_orderdate) - 1994 < 7)
-GROUP BY 1""")
+WHERE year(o_orderdate) - 1994 = (SELECT max(year(o_orderdate) - 1994) FROM orders) GROUP BY 1""")
 def q_latest_healthy_version(spark, sf_dir):
-    """A table kept as versions v=1..8 (one per order year; v=7 and v=8
-    written empty). The walk starts at the second-newest version and takes
-    the first one that has rows."""
+    """A table kept as versions, one per order year and 20 empty ones
+    after them. The walk starts at the second-newest version and goes down to
+    the first one that has rows, however far."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate",
                                               (F.year("o_orderdate") - 1994).alias("v"))
     root = work_dir(spark, "versions")
-    o.filter(F.col("v") < 7).write.mode("overwrite").partitionBy("v").parquet(root)
+    o.write.mode("overwrite").partitionBy("v").parquet(root)
     empty = spark.createDataFrame([], o.select("o_orderkey", "o_orderdate").schema)
-    for v in (7, 8):
+    for v in range(101, 121):
         empty.write.mode("overwrite").parquet(f"{root}/v={v}")
     return S.latest_healthy_version(spark, root)

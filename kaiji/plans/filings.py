@@ -157,11 +157,10 @@ a AS (SELECT *, {Q.norm_code_cols('sec_code', 'n')} FROM v_filings
 SELECT doc_id, n_code AS code, filer_name, sector_33 FROM a LEFT JOIN sec ON n_code = s_code""", "v_filings"))
 def q_annual_reports_with_sector(spark, sf_dir):
     """F4 + J16: annual reports with their 33-sector label by normalised code.
-    The sector list has one row per listed code (bounded by the code space,
-    at most 100k four-digit codes), so the lookup is broadcast."""
+    The sector list has one row per listed code."""
     a = V.annual_reports(view(spark, sf_dir, "v_filings")).withColumn("code", normalize_code("sec_code", "JP"))
     sec = sector_table(spark, sf_dir)
-    return (a.join(F.broadcast(sec), a.code == sec.s_code, "left")
+    return (a.join(sec, a.code == sec.s_code, "left")
             .select("doc_id", "code", "filer_name", "sector_33"))
 
 

@@ -40,23 +40,27 @@ LARC_SQL = "larc AS (SELECT 'lab_' || key AS label_lab, 'loc_' || key AS label_p
 
 def _resources(keys):
     """Fixture label resources: 4 (role, lang) texts per key; no verbose label
-    when the key length is a multiple of 3."""
+    when the key length is a multiple of 3; some have a second, later text."""
     combos = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(la).alias("lang")) for r, la, _ in H.LABEL_ROLES])
     r = keys.select("key", F.explode(combos).alias("c")).select("key", "c.role", "c.lang")
     r = r.filter(~((F.col("role") == "verboseLabel") & (F.length("key") % 3 == 0)))
-    return r.select(F.concat(F.lit("lab_"), "key").alias("label_lab"), "role", "lang",
-                    F.concat_ws("|", "lang", "role", "key").alias("text"))
+    r = r.select(F.concat(F.lit("lab_"), "key").alias("label_lab"), "role", "lang",
+                 F.concat_ws("|", "lang", "role", "key").alias("text"), F.lit(0).alias("pos"))
+    later = r.filter(F.length("label_lab") % 4 == 0).select(
+        "label_lab", "role", "lang", F.concat(F.lit("zz|"), "text").alias("text"), F.lit(1).alias("pos"))
+    return r.unionByName(later)
 
 
-RES_SQL = """res AS (SELECT 'lab_' || key AS label_lab, c.role, c.lang, c.lang || '|' || c.role || '|' || key AS text
+RES_SQL = """res0 AS (SELECT 'lab_' || key AS label_lab, c.role, c.lang, c.lang || '|' || c.role || '|' || key AS text
   FROM keys CROSS JOIN (VALUES ('label', 'ja'), ('verboseLabel', 'ja'), ('label', 'en'), ('verboseLabel', 'en'))
-  AS c(role, lang) WHERE NOT (c.role = 'verboseLabel' AND length(key) % 3 = 0))"""
+  AS c(role, lang) WHERE NOT (c.role = 'verboseLabel' AND length(key) % 3 = 0)),
+res AS (SELECT *, 0 AS pos FROM res0 UNION ALL SELECT label_lab, role, lang, 'zz|' || text, 1 FROM res0 WHERE length(label_lab) % 4 = 0)"""
 
 LABELS_SQL = """lab AS (SELECT coalesce(loc.key, larc.label_pre, res.label_lab) AS key,
-  max(CASE WHEN res.role = 'label' AND res.lang = 'ja' THEN text END) AS label_jp,
-  max(CASE WHEN res.role = 'verboseLabel' AND res.lang = 'ja' THEN text END) AS label_jp_long,
-  max(CASE WHEN res.role = 'label' AND res.lang = 'en' THEN text END) AS label_en,
-  max(CASE WHEN res.role = 'verboseLabel' AND res.lang = 'en' THEN text END) AS label_en_long
+  arg_min(text, pos) FILTER (WHERE res.role = 'label' AND res.lang = 'ja') AS label_jp,
+  arg_min(text, pos) FILTER (WHERE res.role = 'verboseLabel' AND res.lang = 'ja') AS label_jp_long,
+  arg_min(text, pos) FILTER (WHERE res.role = 'label' AND res.lang = 'en') AS label_en,
+  arg_min(text, pos) FILTER (WHERE res.role = 'verboseLabel' AND res.lang = 'en') AS label_en_long
   FROM res LEFT JOIN larc ON res.label_lab = larc.label_lab LEFT JOIN loc ON larc.label_pre = loc.label_pre
   GROUP BY 1)"""
 
@@ -110,11 +114,11 @@ def _calc(links):
 
 
 @register("calc_edges", with_views(f"""WITH {CALC_SQL}
-SELECT parent_key, child_key, arg_max(pos, (pos, weight)) AS pos, arg_max(weight, (pos, weight)) AS weight
+SELECT parent_key, child_key, min(pos) AS pos, arg_min(weight, (pos, weight)) AS weight
 FROM calc GROUP BY 1, 2""", "v_links"))
 def q_calc_edges(spark, sf_dir):
-    """H6: weighted calculation edges, one per (parent, child), the last arc wins."""
-    return H.latest_calc_edges(_calc(_links(spark, sf_dir)))
+    """H6: weighted calculation edges, one per (parent, child), the first arc stays."""
+    return H.first_calc_edges(_calc(_links(spark, sf_dir)))
 
 
 @register("node_summary", with_views(f"""WITH {KEYS_SQL}, {CALC_SQL}
@@ -145,7 +149,7 @@ def q_parents(spark, sf_dir):
 @register("descendants", with_views("""WITH RECURSIVE c(role, key, descendant, depth) AS (
   SELECT role, parent_key, child_key, 1 FROM v_links
   UNION SELECT c.role, c.key, l.child_key, c.depth + 1 FROM c JOIN v_links l
-    ON l.parent_key = c.descendant AND l.role = c.role WHERE c.depth < 32)
+    ON l.parent_key = c.descendant AND l.role = c.role)
 SELECT role, key, descendant, min(depth) AS depth FROM c GROUP BY 1, 2, 3""", "v_links"))
 def q_descendants(spark, sf_dir):
     """H2: all descendants of every key, with the shortest depth."""
@@ -157,7 +161,7 @@ def q_descendants(spark, sf_dir):
 roots AS (SELECT * FROM nodes WHERE (role, key) NOT IN (SELECT (role, child_key) FROM v_links)),
 up(role, key, top_key, depth) AS (SELECT role, key, key, 0 FROM roots
   UNION SELECT u.role, l.child_key, u.top_key, u.depth + 1 FROM up u JOIN v_links l
-    ON l.parent_key = u.key AND l.role = u.role WHERE u.depth < 32)
+    ON l.parent_key = u.key AND l.role = u.role)
 SELECT DISTINCT role, key, top_key FROM up""", "v_links"))
 def q_top_ancestor(spark, sf_dir):
     """H3: top ancestors of every key; roots map to themselves."""
@@ -178,7 +182,7 @@ roots0 AS (SELECT DISTINCT parent_key AS k FROM e WHERE parent_key NOT IN (SELEC
 roots AS (SELECT k, CAST(row_number() OVER (ORDER BY k) AS DOUBLE) AS n FROM roots0),
 t(child_key, ord, lvl) AS (SELECT e.child_key, e.co * pow(0.01, 1) + r.n, 1 FROM e JOIN roots r ON e.parent_key = r.k
   UNION ALL SELECT e.child_key, e.co * pow(0.01, t.lvl + 1) + t.ord, t.lvl + 1 FROM t JOIN e
-    ON e.parent_key = t.child_key WHERE t.lvl < 32),
+    ON e.parent_key = t.child_key),
 keep AS (SELECT key FROM w UNION SELECT child_key FROM e WHERE parent_key IN (SELECT key FROM w))
 SELECT child_key AS key, round(ord, 10) AS "order", lvl FROM t WHERE child_key IN (SELECT key FROM keep)""",
                                  "v_links"))

@@ -19,6 +19,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows of one Arrow batch: bounds what a Python worker holds of long texts
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
@@ -48,6 +49,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     for k in ("spark.sql.session.timeZone",
               "spark.sql.sources.partitionOverwriteMode",
               "spark.sql.execution.arrow.maxRecordsPerBatch",
+              "spark.sql.execution.arrow.maxBytesPerBatch",
               "spark.sql.legacy.javaCharsets"):
         try:
             spark.conf.set(k, BASE_CONF[k])
@@ -92,6 +94,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="kaiji-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -99,6 +103,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for staged tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), "kaiji-work", f"{name}-{uuid.uuid4().hex[:12]}") \
-        if base.startswith("file:") or base.startswith("/") else f"{base}/kaiji-work/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/kaiji-work/{name}-{uuid.uuid4().hex[:12]}"

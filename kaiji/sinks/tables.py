@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kaiji.fs import exists
 from kaiji.operators.audit import conform
 
 
@@ -28,27 +29,29 @@ def write_table(df: DataFrame, path: str, schema: StructType | None = None, mode
 
 
 def upsert_bins(incoming: DataFrame, table_path: str, staging_path: str, keys: list[str],
-                newest_first: list, bin_col: str = "bin") -> None:
+                newest_first: list, bin_col: str = "bin", splits: int = 16) -> None:
     """K2: merge incoming rows into the bins they touch.
 
     Only touched bins are read (partition pruning via a semi join on the bin
     list), unioned with the incoming rows, deduplicated newest-first (G2),
     staged, and then written over exactly those bins with dynamic partition
     overwrite. Staging first means a bin is never overwritten while it is
-    being read."""
+    being read. A bin is dealt to ``splits`` tasks by its row keys; the second
+    write copies the staged files without a shuffle."""
     from kaiji.operators.facts import dedupe_facts
     spark = incoming.sparkSession
     touched = incoming.select(bin_col).distinct()
     cols = incoming.columns
     merged = incoming
-    if _exists(spark, table_path):
+    if exists(spark, table_path):
         cur = spark.read.parquet(table_path).join(touched, bin_col, "left_semi").select(*cols)
         merged = cur.unionByName(incoming)
     merged = dedupe_facts(merged, [bin_col] + keys, newest_first)
-    merged.repartition(bin_col).write.mode("overwrite").option("compression", "zstd") \
+    spread = F.pmod(F.xxhash64(*keys), F.lit(splits))
+    merged.repartition(F.col(bin_col), spread).write.mode("overwrite").option("compression", "zstd") \
         .partitionBy(bin_col).parquet(staging_path)
     staged = spark.read.parquet(staging_path)
-    (staged.select(*cols).repartition(bin_col).write.mode("overwrite")
+    (staged.select(*cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy(bin_col).parquet(table_path))
 
@@ -56,11 +59,12 @@ def upsert_bins(incoming: DataFrame, table_path: str, staging_path: str, keys: l
 def write_delta_chunk(df: DataFrame, staging: str, run_id: str, chunk_id: str, source: str,
                       mark_success: bool = True) -> None:
     """K4: a staged chunk under (source, run_id, chunk_id) plus a success
-    marker row; an empty frame writes nothing."""
+    marker row; an empty frame writes nothing. A retried chunk replaces itself."""
     if df.isEmpty():
         return
     (df.withColumn("source", F.lit(source)).withColumn("run_id", F.lit(run_id)).withColumn("chunk_id", F.lit(chunk_id))
-     .write.mode("append").partitionBy("source", "run_id", "chunk_id").parquet(os.path.join(staging, "data")))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source", "run_id", "chunk_id").parquet(os.path.join(staging, "data")))
     if mark_success:
         spark = df.sparkSession
         spark.createDataFrame([(source, run_id, chunk_id)], "source string, run_id string, chunk_id string") \
@@ -75,10 +79,9 @@ def publish(tables: dict[str, DataFrame], root: str, version: int) -> DataFrame:
     spark = next(iter(tables.values())).sparkSession
     checks = []
     for name, df in tables.items():
-        d = df.persist()
-        expected = d.count()
-        write_table(d, os.path.join(root, name, f"v={version}"))
-        d.unpersist()
+        seen = Observation()
+        write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), os.path.join(root, name, f"v={version}"))
+        expected = seen.get["n"]  # rows handed to the writer, counted on the way
         got = spark.read.parquet(os.path.join(root, name, f"v={version}")).count()
         checks.append((name, expected, got, got >= expected))
     rows = spark.createDataFrame(checks, "table string, expected long, read_back long, ok boolean")
@@ -115,9 +118,3 @@ def retention_plan(runs: DataFrame, as_of_ts: str, max_age_hours: int = 24, curr
 def export_jsonl(df: DataFrame, path: str) -> None:
     """K7: JSON lines export."""
     df.write.mode("overwrite").json(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

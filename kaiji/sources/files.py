@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kaiji.functions.codes import listed_flag, percent_weight, safe_int_str, strip, yes_no_flag
+from kaiji.fs import exists, folders
+from kaiji.functions.codes import listed_flag, normalize_code, percent_weight, safe_int_str, strip, yes_no_flag
 
 # Header words of the index-weight files.
 CODE_HEADER = re.compile(r"コード|Code")
@@ -21,39 +22,33 @@ WEIGHT_HEADER = re.compile(r"ウエイト|ウエート|Weight")
 CSV_ENCODING = "windows-31j"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-
-
 def load_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table read with its declared schema; a missing table is an
     empty table of that schema."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
-MAX_VERSION_WALK = 15
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Version numbers of a table kept as folders ``v=<n>``, oldest first."""
+    return sorted(int(n[2:]) for n in folders(spark, root) if re.fullmatch(r"v=\d+", n))
+
 
+def load_version(spark: SparkSession, root: str, version: int, schema: StructType | None = None) -> DataFrame:
+    """The table as of one version."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{root}/v={version}")
 
-def latest_healthy_version(spark: SparkSession, root: str, walk: int = MAX_VERSION_WALK) -> DataFrame:
-    """Walk the versions ``v=<n>`` of a table from the second-newest down
-    (at most ``walk`` of them) and return the first one holding rows, with its
-    row count. The version list comes from the folder names (empty versions
-    included); the counts from one grouped scan."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    versions = sorted(int(n[2:]) for n in names if re.fullmatch(r"v=\d+", n))
-    candidates = list(reversed(versions))[1:1 + walk]
-    listed = spark.createDataFrame([(v,) for v in candidates], "version bigint")
-    counts = (spark.read.parquet(root).groupBy(F.col("v").cast("bigint").alias("version"))
-              .agg(F.count(F.lit(1)).alias("n_rows")))
-    ok = listed.join(counts, "version").filter(F.col("n_rows") > 0)
-    return ok.agg(F.max_by("version", "version").alias("version"), F.max_by("n_rows", "version").alias("n_rows"))
+
+def latest_healthy_version(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version, from the second-newest down, that holds rows,
+    with its row count. All older versions are candidates; the newest one is
+    filtered out by its folder before the grouped scan."""
+    found = versions(spark, root)
+    older = spark.read.parquet(root).filter(F.col("v") < found[-1]) if found else spark.createDataFrame([], "v bigint")
+    counts = older.groupBy(F.col("v").cast("bigint").alias("version")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.agg(F.max("version").alias("version"), F.max_by("n_rows", "version").alias("n_rows"))
 
 
 def read_responses(spark: SparkSession, path: str, result_schema: StructType) -> DataFrame:
@@ -84,50 +79,71 @@ def read_index_csv(spark: SparkSession, path: str, encoding: str = CSV_ENCODING)
     return out.withColumn("weight", percent_weight("w")).drop("w")
 
 
-def read_code_list(spark: SparkSession, path: str, encoding: str = CSV_ENCODING) -> DataFrame:
-    """Official code list. The preamble line and header fail the 6-char
-    code test and fall away with the invalid codes; security codes 0 / 0000 /
-    00000 are dropped; numbers become safe integer strings (P6)."""
-    raw = spark.read.option("header", False).option("encoding", encoding).csv(path)
-    c = raw.columns
-    df = raw.select(strip(c[0]).alias("edinet_code"), strip(c[1]).alias("submitter_type"),
-                    listed_flag(c[2]).alias("is_listed_edinet"), yes_no_flag(c[3]).alias("is_consolidated"),
-                    strip(c[6]).alias("company_name"), safe_int_str(c[11]).alias("sec_code"),
-                    safe_int_str(c[12]).alias("jcn"), strip(c[10]).alias("industry"))
-    df = df.filter(F.col("edinet_code").rlike("^E[0-9]{5}$"))
-    return df.withColumn("sec_code", F.when(F.col("sec_code").isin("0", "0000", "00000"), F.lit(None))
-                         .otherwise(F.col("sec_code")))
-
-
-def read_aggregation_list(spark: SparkSession, path: str, pos_col: str = "pos") -> DataFrame:
-    """(old code -> new code) from positional columns 1 and 2; blank or
-    self maps dropped; a repeated old code keeps its last row."""
-    raw = spark.read.option("header", False).csv(path)
-    c = raw.columns
-    df = raw.select(strip(c[0]).try_cast("bigint").alias(pos_col), strip(c[1]).alias("old_code"),
-                    strip(c[2]).alias("new_code"))
-    df = df.filter(F.col(pos_col).isNotNull() & (F.col("old_code") != "") & (F.col("new_code") != "")
-                   & (F.col("old_code") != F.col("new_code")))
+# Headers of the official code list and the kaiji column names.
+CODE_LIST_COLUMNS = (("ＥＤＩＮＥＴコード", "edinet_code"), ("提出者種別", "submitter_type"), ("上場区分", "is_listed_edinet"),
+                     ("連結の有無", "is_consolidated"), ("資本金", "capital"), ("決算日", "settlement_date"),
+                     ("提出者名", "company_name"), ("提出者名（英字）", "company_name_en"),
+                     ("提出者名（ヨミ）", "company_name_kana"), ("所在地", "address"), ("提出者業種", "industry"),
+                     ("証券コード", "sec_code"), ("提出者法人番号", "jcn"))
+ZERO_CODES = ("0", "0000", "00000")
+
+
+def read_code_list(spark: SparkSession, path: str, encoding: str = CSV_ENCODING,
+                   industries_en: DataFrame | None = None) -> DataFrame:
+    """Official code list, one file with a short preamble line, a header
+    and 13 columns. Columns are found by header name; codes that aren't six
+    characters long (preamble and header among them) fall away; security codes
+    0 / 0000 / 00000 are dropped and the rest normalised (``code``); numbers
+    become safe integer strings (P6). ``industries_en`` (edinet_code,
+    industry) of the English list adds ``industry_en``."""
+    n = len(CODE_LIST_COLUMNS)
+    schema = ", ".join(f"c{i} string" for i in range(n))
+    raw = spark.read.schema(schema).option("header", False).option("encoding", encoding).csv(path)
+    key = CODE_LIST_COLUMNS[0][0]
+    head = raw.filter(F.array_contains(F.array(*raw.columns), F.lit(key))).first()  # one line
+    if head is None:
+        raise ValueError(f"no header line with {key} in {path}")
+    at = {strip_text: i for i, strip_text in enumerate((v or "").strip() for v in head)}
+    df = raw.select(*[strip(f"c{at[ja]}").alias(en) if ja in at else F.lit(None).cast("string").alias(en)
+                      for ja, en in CODE_LIST_COLUMNS]).filter(F.length("edinet_code") == 6)
+    for c in ("company_name", "company_name_en", "company_name_kana", "address", "industry", "settlement_date"):
+        df = df.withColumn(c, F.nullif(F.col(c), F.lit("")))
+    df = (df.withColumn("is_listed_edinet", listed_flag("is_listed_edinet"))
+          .withColumn("is_consolidated", yes_no_flag("is_consolidated"))
+          .withColumn("capital", safe_int_str("capital")).withColumn("jcn", safe_int_str("jcn"))
+          .withColumn("sec_code", safe_int_str("sec_code")))
+    df = df.withColumn("sec_code", F.when(F.col("sec_code").isin(*ZERO_CODES), F.lit(None)).otherwise(F.col("sec_code")))
+    df = df.withColumn("code", normalize_code("sec_code", "JP"))
+    if industries_en is not None:
+        en = industries_en.groupBy("edinet_code").agg(F.max("industry").alias("industry_en"))
+        df = df.join(en, "edinet_code", "left")
+    return df
+
+
+def read_aggregation_list(spark: SparkSession, path: str, encoding: str = CSV_ENCODING) -> DataFrame:
+    """(old code -> new code) from the second and third column, whatever
+    the first holds; lines without two six-character codes (preamble, header)
+    and self maps are dropped; a repeated old code keeps its last line."""
     from kaiji.operators.catalog import latest_wins
-    return latest_wins(df, ["old_code"], [pos_col])
-
-
-# File-name patterns that name the staged table.
-DELTA_KEYS = (("catalog", r"catalog"), ("master", r"master"), ("listing", r"listing"), ("name", r"name"),
-              ("index", r"index"), ("number", r"financial_values|number"), ("text", r"qualitative_text|text"))
+    raw = spark.read.schema("c0 string, c1 string, c2 string").option("header", False).option("encoding", encoding).csv(path)
+    # lines of a file are in the order of its blocks, and within a block as read
+    df = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line"), strip("c1").alias("old_code"), strip("c2").alias("new_code"))
+    df = df.filter((F.length("old_code") == 6) & (F.length("new_code") == 6) & (F.col("old_code") != F.col("new_code")))
+    return latest_wins(df, ["old_code"], ["file", "block", "line"]).select("old_code", "new_code")
 
 
 def staged_deltas(spark: SparkSession, staging: str) -> DataFrame:
-    """Staged chunks that have a success marker; a local chunk beats a
-    remote chunk with the same id. Precedence is decided on the chunk list
+    """Staged chunks that have a success marker; a local chunk beats the
+    remote chunk with the same id of the same run. Precedence is decided on the chunk list
     (one row per chunk), then applied with a semi join."""
     data = spark.read.parquet(os.path.join(staging, "data"))
     markers = spark.read.parquet(os.path.join(staging, "markers")).distinct()
     ok = data.join(markers, ["source", "run_id", "chunk_id"], "left_semi")
     chunks = ok.select("source", "run_id", "chunk_id").distinct()
     rank = F.when(F.col("source") == "local", 0).otherwise(1)
-    best = (chunks.groupBy("chunk_id").agg(F.min(F.struct(rank.alias("r"), "source", "run_id")).alias("b"))
-            .select("chunk_id", F.col("b.source").alias("source"), F.col("b.run_id").alias("run_id")))
+    best = (chunks.groupBy("run_id", "chunk_id").agg(F.min(F.struct(rank.alias("r"), "source")).alias("b"))
+            .select("run_id", "chunk_id", F.col("b.source").alias("source")))
     return ok.join(best, ["source", "run_id", "chunk_id"], "left_semi")
 
 
@@ -153,7 +169,6 @@ EXCHANGE_CODE_COLUMNS = ("sector_33_code", "sector_17_code", "size_code")
 def read_exchange_sheet(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """Exchange master list (CSV export of the sheet): nine columns
     renamed, ``-`` in the three code columns becomes NULL, codes normalised (P1)."""
-    from kaiji.functions.codes import normalize_code
     raw = spark.read.option("header", True).option("encoding", encoding).csv(path)
     df = raw.select(*[F.col(f"`{ja}`").alias(en) for ja, en in EXCHANGE_COLUMNS])
     for c in EXCHANGE_CODE_COLUMNS:
