@@ -85,24 +85,42 @@ def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def remove_duplicates(df: DataFrame, cols: list[str], order: list[str]) -> DataFrame:
+    """G13 repair: one row per ``cols`` stays, the first by ``order``."""
+    from kaiji.operators.catalog import latest_first
+    return latest_first(df, cols, order).select(*df.columns)
+
+
+def schema_issues(df: DataFrame, schema: StructType) -> list[tuple[str, str]]:
+    """M6 / M10 detection: (column, issue) for columns that are missing, extra
+    or of another type; metadata only."""
+    missing, extra = schema_diff(df, schema)
+    types = dict(df.dtypes)
+    wrong = [f.name for f in schema.fields if f.name in types and types[f.name] != f.dataType.simpleString()]
+    return [(c, "missing") for c in missing] + [(c, "extra") for c in extra] + [(c, "type") for c in wrong]
+
+
 def drift(catalog: DataFrame, api: DataFrame, fields=DRIFT_FIELDS, id_col: str = "doc_id") -> DataFrame:
     """For ids present on both sides, each field compared as a
-    trimmed string; withdrawal status NULL / blank / 0 are equal. One row per
-    mismatch (doc_id, field, local_value, api_value)."""
-    def strings(df, suffix):
-        return df.select(id_col, *[F.coalesce(F.trim(F.col(f).cast("string")), F.lit("")).alias(f) for f in fields]) \
-            .unpivot(id_col, list(fields), "field", f"{suffix}_value")
-    lo = strings(catalog, "local")
-    ap = strings(api, "api")
-    j = lo.join(ap, [id_col, "field"])
-    equal0 = F.col("local_value").isin("", "0", "None") & F.col("api_value").isin("", "0", "None")
-    return j.filter((F.col("local_value") != F.col("api_value"))
-                    & ~((F.col("field") == "withdrawal_status") & equal0))
+    trimmed string; withdrawal status NULL / blank / 0 are equal. One join by
+    id; only the mismatches become rows (doc_id, field, local_value, api_value)."""
+    def texts(df, side):
+        return df.select(id_col, *[F.coalesce(F.trim(F.col(f).cast("string")), F.lit("")).alias(f"_{side}_{f}") for f in fields])
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_local_{f}").alias("local_value"), F.col(f"_api_{f}").alias("api_value"))
+                      for f in fields])
+
+    def differs(p):
+        none = p["local_value"].isin("", "0", "None") & p["api_value"].isin("", "0", "None")
+        return (p["local_value"] != p["api_value"]) & ~((p["field"] == "withdrawal_status") & none)
+
+    both = texts(catalog, "local").join(texts(api, "api"), id_col)
+    return both.select(id_col, F.inline(F.filter(pairs, differs)))
 
 
 def repair_drift(catalog: DataFrame, mismatches: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """M9 repair: the API value replaces the local one, per field."""
-    fixes = mismatches.groupBy(id_col).pivot("field", list(DRIFT_FIELDS)).agg(F.first("api_value"))
+    """M9 repair: the API value replaces the local one, per field (of several
+    API rows of an id, the greatest value)."""
+    fixes = mismatches.groupBy(id_col).pivot("field", list(DRIFT_FIELDS)).agg(F.max("api_value"))
     fixes = fixes.select(id_col, *[F.col(f).alias(f"_fix_{f}") for f in DRIFT_FIELDS])
     out = catalog.join(fixes, id_col, "left")
     for f in DRIFT_FIELDS:

@@ -89,20 +89,19 @@ def unlinked(facts: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def fact_table(facts: DataFrame, accounts: DataFrame, instance_label: Column | None = None) -> DataFrame:
-    """M4 core: J4 + J5 (zero drop), P15 flags and P19 label fallback."""
-    linked = role_join(facts, accounts)
-    allf = linked.unionByName(unlinked(facts, accounts))
-    allf = context_flags(allf)
+    """M4 core: J4 + J5 (zero drop) in one left join, P15 flags and P19 label fallback."""
+    allf = context_flags(facts.join(accounts, "key", "left").select(
+        *facts.columns, *[accounts[c] for c in accounts.columns if c != "key"]))
     if instance_label is not None and "label_en" in allf.columns:
         allf = allf.withColumn("label_en", F.coalesce(F.col("label_en"), instance_label))
     return allf
 
 
-def fact_quality(table: DataFrame, facts: DataFrame, doc: str = "docid",
+def fact_quality(table: DataFrame, facts: DataFrame, accounts: DataFrame, doc: str = "docid",
                  label: str = "label_en", text_flag: str = "isTextBlock_flg") -> DataFrame:
     """A5 + A6 + A7 per document: rows, label resolution rate (alert below
-    0.5), matched + unlinked = output rows against the expected count from
-    the input facts and roles, and the number/text split."""
+    0.5), matched + unlinked rows against the count expected from the input
+    facts and the roles of their keys, and the number/text split."""
     per_doc = table.groupBy(doc).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("role").isNotNull()).alias("n_matched"),
@@ -110,11 +109,13 @@ def fact_quality(table: DataFrame, facts: DataFrame, doc: str = "docid",
         F.count_if(F.col(label).isNotNull()).alias("n_labelled"),
         F.count_if(F.col(text_flag) == 1).alias("n_text"),
         F.count_if(F.col(text_flag) != 1).alias("n_number"))
-    src = facts.groupBy(doc).agg(F.count(F.lit(1)).alias("n_facts"))
+    roles = accounts.groupBy("key").agg(F.count(F.lit(1)).alias("n_roles"))
+    src = facts.join(roles, "key", "left").groupBy(doc).agg(
+        F.count(F.lit(1)).alias("n_facts"), F.sum(F.coalesce("n_roles", F.lit(1))).alias("n_expected"))
     return (per_doc.join(src, doc, "left")
             .withColumn("label_rate", F.round(F.col("n_labelled") / F.col("n_rows"), 6))
             .withColumn("label_alert", F.col("n_labelled") / F.col("n_rows") < LABEL_RATE_ALERT)
-            .withColumn("balanced", F.col("n_matched") + F.col("n_unlinked") == F.col("n_rows")))
+            .withColumn("balanced", F.col("n_matched") + F.col("n_unlinked") == F.col("n_expected")))
 
 
 def day_folder_load(paths: DataFrame, path_col: str = "zip_repo_path", limit: int = DAY_FOLDER_LIMIT) -> DataFrame:
@@ -160,14 +161,16 @@ def accounting_standard(facts: DataFrame, catalog: DataFrame, std_key: str, newe
 def taxonomy_year(heads: DataFrame, doc: str = "doc", head: str = "head") -> DataFrame:
     """Per document, the first (family priority, then date-marker order)
     schema head that carries a known date marker gives the taxonomy year;
-    otherwise ``-``. The marker table is fixed (24 rows) and broadcast."""
-    spark = heads.sparkSession
-    fam = spark.createDataFrame(list(enumerate(TAXONOMY_FAMILIES)), "fam_rank int, family string")
-    pat = spark.createDataFrame([(i, p, y) for i, (p, y) in enumerate(TAXONOMY_DATES)],
-                                "pat_rank int, marker string, year string")
-    h = heads.select(doc, head)
-    hits = (h.join(F.broadcast(fam), F.col(head).contains(F.col("family")))
-            .join(F.broadcast(pat), F.col(head).contains(F.col("marker"))))
-    best = hits.groupBy(doc).agg(F.min_by("year", F.struct("fam_rank", "pat_rank", head)).alias("taxonomy_year"))
-    docs = h.select(doc).distinct()
-    return docs.join(best, doc, "left").withColumn("taxonomy_year", F.coalesce("taxonomy_year", F.lit("-")))
+    otherwise ``-``. The fixed lists are constant expressions, so each head is
+    ranked in place and only the per-document minimum is shuffled."""
+    def first(found: list[str]) -> Column:
+        rank = F.lit(None).cast("int")
+        for i, text in reversed(list(enumerate(found))):
+            rank = F.when(F.col(head).contains(text), F.lit(i)).otherwise(rank)
+        return rank
+
+    years = F.array(*[F.lit(y) for _, y in TAXONOMY_DATES])
+    ranked = heads.select(doc, head, first(list(TAXONOMY_FAMILIES)).alias("fam"), first([p for p, _ in TAXONOMY_DATES]).alias("mark"))
+    known = F.when(F.col("fam").isNotNull() & F.col("mark").isNotNull(), F.struct("fam", "mark", head))
+    year = F.min_by(F.element_at(years, F.col("mark") + 1), known)
+    return ranked.groupBy(doc).agg(F.coalesce(F.when(F.count(known) > 0, year), F.lit("-")).alias("taxonomy_year"))

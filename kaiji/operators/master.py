@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kaiji.functions.codes import normalize_code, parent_code, strip
 from kaiji.operators.catalog import latest_first, latest_wins
+from kaiji.session import checkpoint_dir
 
 # Exchange segments that are kept without an EDINET code.
 SPECIAL_MARKET_KEYWORDS = ("ETF", "REIT", "PRO MARKET")
@@ -121,12 +122,14 @@ def identity_keys(rows: DataFrame, pos: str = "pos") -> DataFrame:
     groups by the identity itself."""
     r = rows.withColumn("identity_key", F.coalesce("edinet_code", "code", "jcn")) \
         .filter(F.col("identity_key").isNotNull())
+    checkpoint_dir(rows.sparkSession)
     for key in ("jcn", "edinet_code", "code", "identity_key"):
-        canon = (r.filter(F.col(key).isNotNull())
-                 .groupBy(F.col(key).alias("_g"))
-                 .agg(F.min_by("identity_key", F.struct(_id_rank(F.col("identity_key")), F.col(pos))).alias("_canon")))
-        r = (r.join(canon, r[key] == canon["_g"], "left")
-               .withColumn("identity_key", F.coalesce("_canon", "identity_key")).drop("_g", "_canon"))
+        r = r.checkpoint(eager=True)  # each pass reads its input twice; no pass is planned or run again
+        known = r.filter(F.col(key).isNotNull())
+        canon = known.groupBy(F.col(key).alias("_g")).agg(
+            F.min_by("identity_key", F.struct(_id_rank(F.col("identity_key")), F.col(pos))).alias("_canon"))
+        known = known.join(canon, known[key] == canon["_g"]).withColumn("identity_key", F.col("_canon")).drop("_g", "_canon")
+        r = known.unionByName(r.filter(F.col(key).isNull()))  # rows without the key never meet in one task
     return r
 
 

@@ -100,6 +100,14 @@ def q_audit_duplicates(spark, sf_dir):
     return _dups(spark, sf_dir)
 
 
+@register("audit_duplicates_repair", """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""")
+def q_audit_duplicates_repair(spark, sf_dir):
+    """G13 repair: one line per (order, line number) stays."""
+    return AU.remove_duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], [
+        "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
+
+
 def _api(f):
     s = F.col("seq_number")
     return f.select(
@@ -172,9 +180,12 @@ FROM cat""", "v_filings"))
 def q_schema_conform(spark, sf_dir):
     """M6 + U4 + X4: a damaged catalog (title missing, a stray column, the
     fiscal year stored as text) conformed back to the declared schema."""
-    bad = (_catalog(spark, sf_dir).drop("title").withColumn("stray", F.lit(1))
-           .withColumn("fiscal_year", F.col("fiscal_year").cast("string")))
-    return AU.conform(bad, catalog_schema())
+    return AU.conform(_damaged_catalog(spark, sf_dir), catalog_schema())
+
+
+def _damaged_catalog(spark, sf_dir):
+    return (_catalog(spark, sf_dir).drop("title").withColumn("stray", F.lit(1))
+            .withColumn("fiscal_year", F.col("fiscal_year").cast("string")))
 
 
 INDEX_EVENT_SCHEMA = T.StructType([
@@ -187,23 +198,28 @@ INDEX_EVENT_SCHEMA = T.StructType([
 def q_audit_index_schema(spark, sf_dir):
     """The index-event history stored with text weights and an extra
     column is conformed to the event schema."""
+    return AU.conform(_damaged_events(spark, sf_dir), INDEX_EVENT_SCHEMA)
+
+
+def _damaged_events(spark, sf_dir):
     s = view(spark, sf_dir, "v_index_snapshots").withColumnRenamed("snap_month", "snap_date")
     ev = IX.index_events(s, min_rows=24, tol=0.01)
-    bad = ev.withColumn("old_value", F.col("old_value").cast("string")).withColumn("note", F.lit("x"))
-    return AU.conform(bad, INDEX_EVENT_SCHEMA)
+    return ev.withColumn("old_value", F.col("old_value").cast("string")).withColumn("note", F.lit("x"))
 
 
 @register("audit_report", with_views(f"""WITH {ASSETS_SQL}, {BINS_SQL}, {DUP_SQL}, {DRIFT_SQL},
 an AS (SELECT 'Layer2_Physical' AS layer, doc_id AS object_id FROM assets
   UNION ALL SELECT 'Layer3_Bins', coalesce(doc_id, bin_id) FROM bins
   UNION ALL SELECT 'Layer3_Duplicates', CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR) FROM dups
-  UNION ALL SELECT 'Layer4_Catalog', doc_id FROM drift),
+  UNION ALL SELECT 'Layer4_Catalog', doc_id FROM drift
+  UNION ALL SELECT 'Layer1_Schema', unnest(['title missing', 'stray extra', 'fiscal_year type'])
+  UNION ALL SELECT 'Layer5_Index', unnest(['note extra', 'old_value type', 'date type'])),
 per AS (SELECT layer, count(*) AS n_anomalies, count(DISTINCT object_id) AS n_objects FROM an GROUP BY layer
   UNION ALL SELECT 'ALL', count(*), count(DISTINCT object_id) FROM an)
 SELECT *, CASE WHEN n_anomalies = 0 THEN 'PASSED' ELSE 'REPAIRED' END AS status, n_objects AS n_repaired FROM per""",
                                     "v_filings", "v_facts"))
 def q_audit_report(spark, sf_dir):
-    """M11 + A12: the audit layers in one report, run in repair mode. The
+    """M11 + A12: the five audit layers in one report, run in repair mode. The
     filing table every layer reads is materialised once (reliable checkpoint
     in the shared folder), so the source is scanned once for all layers."""
     checkpoint_dir(spark)
@@ -216,6 +232,11 @@ def q_audit_report(spark, sf_dir):
               F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("object_id")))
           .unionByName(_drift(spark, sf_dir, f).select(F.lit("Layer4_Catalog").alias("layer"),
                                                     F.col("doc_id").alias("object_id"))))
+    for layer, df, schema in (("Layer1_Schema", _damaged_catalog(spark, sf_dir), catalog_schema()),
+                              ("Layer5_Index", _damaged_events(spark, sf_dir), INDEX_EVENT_SCHEMA)):
+        found = AU.schema_issues(df, schema)
+        if found:
+            an = an.unionByName(spark.createDataFrame([(layer, f"{c} {issue}") for c, issue in found], "layer string, object_id string"))
     return AU.audit_report(an, repair=True)
 
 

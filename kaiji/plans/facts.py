@@ -100,12 +100,14 @@ p AS (SELECT docid, count(*) AS n_rows, count(*) FILTER (WHERE role IS NOT NULL)
   count(*) FILTER (WHERE role IS NULL) AS n_unlinked, count(*) FILTER (WHERE label_en IS NOT NULL) AS n_labelled,
   count(*) FILTER (WHERE isTextBlock_flg = 1) AS n_text, count(*) FILTER (WHERE isTextBlock_flg <> 1) AS n_number
   FROM t GROUP BY docid),
-s AS (SELECT docid, count(*) AS n_facts FROM v_facts GROUP BY docid)
-SELECT p.*, s.n_facts, round(n_labelled / n_rows, 6) AS label_rate, n_labelled / n_rows < 0.5 AS label_alert,
-  n_matched + n_unlinked = n_rows AS balanced FROM p LEFT JOIN s ON p.docid = s.docid""", "v_facts", "v_account_list"))
+r AS (SELECT key, count(*) AS n_roles FROM v_account_list GROUP BY key),
+s AS (SELECT docid, count(*) AS n_facts, sum(coalesce(n_roles, 1))::BIGINT AS n_expected
+  FROM v_facts f LEFT JOIN r ON f.key = r.key GROUP BY docid)
+SELECT p.*, s.n_facts, s.n_expected, round(n_labelled / n_rows, 6) AS label_rate, n_labelled / n_rows < 0.5 AS label_alert,
+  n_matched + n_unlinked = n_expected AS balanced FROM p LEFT JOIN s ON p.docid = s.docid""", "v_facts", "v_account_list"))
 def q_fact_quality(spark, sf_dir):
     """A5 + A6 + A7 per document."""
-    return FT.fact_quality(_fact_table(spark, sf_dir), _facts(spark, sf_dir))
+    return FT.fact_quality(_fact_table(spark, sf_dir), _facts(spark, sf_dir), _accounts(spark, sf_dir))
 
 
 @register("day_folder_load", with_views(f"""WITH c AS (SELECT {Q.repo_path('doc_id', 'submit_at')} AS p FROM v_filings)
