@@ -29,14 +29,14 @@ def write_table(df: DataFrame, path: str, schema: StructType | None = None, mode
 
 
 def upsert_bins(incoming: DataFrame, table_path: str, staging_path: str, keys: list[str],
-                newest_first: list, bin_col: str = "bin", splits: int = 16) -> None:
+                newest_first: list, bin_col: str = "bin", splits: int = 4) -> None:
     """K2: merge incoming rows into the bins they touch.
 
     Only touched bins are read (partition pruning via a semi join on the bin
     list), unioned with the incoming rows, deduplicated newest-first (G2),
     staged, and then written over exactly those bins with dynamic partition
     overwrite. Staging first means a bin is never overwritten while it is
-    being read. A bin is dealt to ``splits`` tasks by its row keys; the second
+    being read. A bin is dealt to ``splits`` tasks by its row keys (more for larger bins); the second
     write copies the staged files without a shuffle."""
     from kaiji.operators.facts import dedupe_facts
     spark = incoming.sparkSession
