@@ -40,3 +40,20 @@ def test_no_python_in_builtin_pipelines(spark, name):
 def test_name_history_window_is_split_by_time_bucket(spark):
     p = plan(spark, "name_history")
     assert "Window" in p and "_bkt" in p
+
+
+def test_facts_and_accounts_meet_in_one_join(spark):
+    p = plan(spark, "fact_table")
+    assert p.count("l_orderkey") and p.count("Join") <= 2  # facts x accounts, and the fixture's own role pairs
+    assert sum("l_orderkey" in line for line in p.splitlines() if "FileScan parquet" in line) == 1
+
+
+@pytest.mark.parametrize("name", ["taxonomy_year", "audit_drift", "identity_keys"])
+def test_no_nested_loops_over_data(spark, name):
+    p = plan(spark, name)
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_identity_passes_read_a_staged_table(spark):
+    p = plan(spark, "identity_keys")
+    assert "FileScan parquet" not in p  # only the last pass is in the plan, over a checkpoint
