@@ -11,7 +11,8 @@ The posterior of a language is the product of
     its domain's, and these towards the whole corpus's.
 A class ``und`` (undetermined) competes with a flat text model, under which every
 bucket is as likely: it wins where a text fits no language better than noise
-does, so texts of two languages stay. A row is kept if a language wins with
+does, so texts of two languages stay, and it competes only for texts of
+``NOISE_TRIGRAMS`` trigrams or more. A row is kept if a language wins with
 ``min_posterior``.
 
 Model sizes: the trigram table has languages x 2^14 entries, the declared table
@@ -43,6 +44,7 @@ from kaiji.llm.textstats import slices, text_bytes
 LANGUAGES = ("en", "de", "fr", "es")
 UND = "und"
 BUCKET_BITS = 14
+NOISE_TRIGRAMS = 50  # a text with fewer can't be told from noise, so und doesn't compete
 
 
 def _letter_table() -> np.ndarray:
@@ -116,6 +118,7 @@ class TextModel:
     def evidence(self, text: Column, most: int) -> Column:
         """array<double>: tempered log likelihood of each class; null without letters."""
         table, classes = self.loglik, len(self.loglik)
+        taught = bool((table[:-1] > table[-1] - 40).any())  # else there is no language to choose
 
         @F.arrow_udf("array<double>")
         def text_evidence(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -129,6 +132,8 @@ class TextModel:
                             out[at + row[starts], i] = np.add.reduceat(table[i][bucket], starts)
                         n[at:at + len(texts)] = np.bincount(row, minlength=len(texts))
                 out *= (np.minimum(n, most) / np.maximum(n, 1))[:, None]
+                brief = (n < NOISE_TRIGRAMS) & taught
+                out[brief, -1] = out[brief, :-1].min(1) - 50.0
                 offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, classes, 0))])
                 yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out[n > 0].ravel()), mask=pa.array(n == 0))
 
