@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kaiji.functions.codes import normalize_code, parent_code, strip
+from kaiji.functions.codes import normalize_code, null_sentinel, parent_code, strip
 from kaiji.operators.catalog import latest_first, latest_wins
 from kaiji.session import checkpoint_dir
 
@@ -24,12 +24,23 @@ GOLDEN_ATTRIBUTES = (
     "company_name_kana", "submitter_type", "address", "industry_edinet", "industry_edinet_en", "capital",
     "settlement_date", "is_consolidated",
 )
+# Text attributes of a master record in which sentinel words mean "no value".
+SENTINEL_ATTRIBUTES = (
+    "edinet_code", "code", "jcn", "company_name_en", "company_name_kana", "submitter_type", "settlement_date", "address",
+    "sector_jpx_33", "sector_33_code", "sector_jpx_17", "sector_17_code", "industry_edinet", "industry_edinet_en",
+    "market", "size_code", "size_category", "last_submitted_at", "former_edinet_codes",
+)
 # Definition types kept as slowly changing dimensions: (type, code column, name column).
 DEFINITION_TYPES = (("sector_33", "sector_33_code", "sector_jpx_33"),
                     ("sector_17", "sector_17_code", "sector_jpx_17"),
                     ("size", "size_code", "size_category"))
 
 
+def _spread(key: Column, pos: Column) -> Column:
+    """A join key whose NULLs are all different, so they match nothing and no task gets them all."""
+    return F.coalesce(key, F.concat(F.lit("\u0000"), pos.cast("string")))
+
+
 # ------------------------------------------------------------------ lookups
 def bridge_fill(rows: DataFrame, code_list: DataFrame, pos: str = "pos") -> DataFrame:
     """A row without an EDINET code takes it from the code list by its
@@ -37,7 +48,7 @@ def bridge_fill(rows: DataFrame, code_list: DataFrame, pos: str = "pos") -> Data
     rev = (code_list.select(normalize_code("code", "JP").alias("_c"), F.col("edinet_code").alias("_e"), pos)
            .filter(F.col("_c").isNotNull()))
     rev = latest_wins(rev, ["_c"], [pos]).select("_c", "_e")
-    out = rows.join(rev, rows["code"] == rev["_c"], "left")
+    out = rows.join(rev, _spread(rows["code"], rows[pos]) == rev["_c"], "left")
     return out.withColumn("edinet_code", F.coalesce(F.col("edinet_code"), F.col("_e"))).drop("_c", "_e")
 
 
@@ -71,7 +82,7 @@ def inherit_attributes(incoming: DataFrame, master: DataFrame, attrs: list[str],
     master row with the same code."""
     m = latest_first(master.select("code", pos, *attrs).filter(F.col("code").isNotNull()), ["code"], [pos])
     m = m.select(F.col("code").alias("_mc"), *[F.col(a).alias(f"_m_{a}") for a in attrs])
-    out = incoming.join(m, incoming["code"] == m["_mc"], "left")
+    out = incoming.join(m, _spread(incoming["code"], incoming[pos]) == m["_mc"], "left")
     for a in attrs:
         out = out.withColumn(a, F.coalesce(F.col(a), F.col(f"_m_{a}")))
     return out.drop("_mc", *[f"_m_{a}" for a in attrs])
@@ -235,6 +246,46 @@ def scd2_merge(existing: DataFrame, incoming: DataFrame, as_of: str) -> DataFram
     return closed.unionByName(kept_open).unionByName(opened)
 
 
+# ------------------------------------------------------------ master sync
+def sync_master(current: DataFrame, code_list: DataFrame, exchange: DataFrame, agg_map: DataFrame,
+                definitions: DataFrame, as_of: str, stage) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """M1: (master, listing events, definitions) after one run over all sources.
+
+    J17 -> U1 (code list, exchange list) -> J3 -> F10 -> P1/P14 -> J14 -> P5 -> F12 -> G6 -> G5 -> A10 -> M2 -> M3
+    -> J15 -> G10. ``current``: GOLDEN_ATTRIBUTES, code, last_submitted_at, is_listed_edinet, is_active,
+    identity_key, pos. ``code_list`` and ``exchange`` have a subset of these; ``pos`` numbers each source's rows.
+    An incoming row needs a company name and an EDINET or security code, also after it took the
+    master's values. ``stage`` writes a frame to the shared folder and reads it back."""
+    attrs = [*GOLDEN_ATTRIBUTES, "last_submitted_at", "is_listed_edinet"]
+    types = {f.name: f.dataType for f in current.schema.fields}
+
+    def shaped(rows: DataFrame, priority: int, from_exchange: bool) -> DataFrame:
+        cols = [F.col(c) if c in rows.columns else F.lit(None).cast(types[c]).alias(c) for c in ["code", *attrs]]
+        pos = F.lit((priority + int(from_exchange)) << 40) + F.col("pos")  # the master's rows, the code list's, the exchange list's
+        return rows.select(*cols, F.lit(from_exchange).alias("source_jpx"), F.lit(priority).alias("priority"), pos.alias("pos"))
+
+    master = stage(former_codes(current, agg_map))
+    listed = former_codes(shaped(code_list, 1, False), agg_map)
+    incoming = listed.unionByName(shaped(exchange, 1, True))
+    incoming = disposal(bridge_fill(incoming, code_list))
+    incoming = stage(with_parent_code(incoming))
+    run_ids = incoming.select(F.explode(F.array("jcn", "edinet_code", "code")).alias("id")).filter("id is not null")
+    incoming = inherit_attributes(incoming, master, attrs)
+    for c in SENTINEL_ATTRIBUTES:
+        incoming = incoming.withColumn(c, null_sentinel(c))
+    incoming = (incoming.withColumn("is_listed_edinet", F.coalesce("is_listed_edinet", F.lit(False)))
+                .filter(F.col("company_name").isNotNull() & F.coalesce("edinet_code", "code").isNotNull()))
+    states = stage(shaped(master, 0, False).unionByName(incoming))
+    # the passes move the three keys alone; the wide rows meet their identity once
+    ids = identity_keys(states.select("jcn", "edinet_code", "code", "pos")).select(F.col("pos").alias("_pos"), "identity_key")
+    known = states.join(ids, states["pos"] == ids["_pos"]).drop("_pos")
+    gold = stage(golden_record(known, list(GOLDEN_ATTRIBUTES)).drop("source_jpx", "priority", "pos"))
+    new = stage(disappeared(gold, master.filter(F.col("identity_key").isNotNull()), run_ids))
+    events = listing_events(new, master, as_of)
+    defs = stage(definition_collect(new.withColumn("pos", F.col("identity_key"))))
+    return name_sync(new, defs), events, scd2_merge(definitions, defs, as_of)
+
+
 def with_parent_code(rows: DataFrame) -> DataFrame:
     """P1 + P14 on incoming master rows."""
     return rows.withColumn("code", normalize_code("code", "JP")).withColumn("parent_code", parent_code("code"))

@@ -84,21 +84,6 @@ def q_activity_flags(spark, sf_dir):
     return _golden(spark, sf_dir).select("identity_key", "is_listed_edinet", "is_active", "n_rows")
 
 
-@register("master_sync", with_views(f"""WITH {IDS_SQL}, {GOLD_SQL}
-SELECT identity_key, code, company_name, is_active,
-  CASE WHEN code IS NOT NULL AND right(regexp_extract(code, '[^:]*$'), 1) <> '0'
-       THEN 'JP:' || left(regexp_extract(code, '[^:]*$'), 4) || '0' END AS parent_code FROM gold""", "v_entities"))
-def q_master_sync(spark, sf_dir):
-    """M1 (core): P1/P14 -> F12 -> G6 -> (checkpoint) -> G5 -> A10 over current
-    and incoming rows. The four identity passes are cut from the lineage by a
-    reliable checkpoint in the shared folder before the golden record."""
-    from kaiji.session import checkpoint_dir
-    checkpoint_dir(spark)
-    ids = M.identity_keys(_entities(spark, sf_dir)).checkpoint(eager=True)
-    g = M.with_parent_code(M.golden_record(ids, GOLD_ATTRS))
-    return g.select("identity_key", "code", "company_name", "is_active", "parent_code")
-
-
 def _code_list(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return c.select(F.concat(F.lit("E"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("edinet_code"),

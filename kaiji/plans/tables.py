@@ -93,6 +93,64 @@ FROM customer WHERE c_custkey % 10 <> 0""",
     "v_master_in": """
 SELECT concat('E', lpad(CAST(c_custkey AS STRING), 5, '0')) AS identity_key, c_name AS company_name, (c_acctbal >= 500 OR c_acctbal < -500) AS is_active
 FROM customer WHERE c_custkey % 10 <> 1""",
+    "v_sync_master": """
+SELECT c_custkey AS pos,
+  CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('E', lpad(CAST(c_custkey AS STRING), 5, '0')) END AS edinet_code,
+  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('JP:', lpad(CAST(c_custkey % 4000 AS STRING), 4, '0'), '0') END AS code,
+  CASE WHEN c_custkey % 5 <> 0 THEN NULL ELSE CAST(1000000000000 + c_custkey % 300 AS STRING) END AS jcn,
+  c_name AS company_name, concat('Old ', c_name) AS company_name_en,
+  CASE WHEN c_custkey % 2 = 0 THEN concat('kana ', c_name) END AS company_name_kana, c_mktsegment AS market,
+  concat('Sector ', CAST(c_nationkey AS STRING)) AS sector_jpx_33,
+  CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_nationkey AS STRING) END AS sector_33_code,
+  concat('S17-', CAST(c_nationkey % 17 AS STRING)) AS sector_jpx_17, CAST(c_nationkey % 17 AS STRING) AS sector_17_code,
+  CASE WHEN c_custkey % 6 = 0 THEN CAST(c_custkey % 5 AS STRING) END AS size_code,
+  CASE WHEN c_custkey % 6 = 0 THEN concat('Size ', CAST(c_custkey % 5 AS STRING)) END AS size_category,
+  concat('Industry ', CAST(c_nationkey AS STRING)) AS industry_edinet, CAST(NULL AS STRING) AS industry_edinet_en,
+  CAST(NULL AS STRING) AS parent_code,
+  CASE WHEN c_custkey % 8 = 1 THEN 'E90001, E90002' WHEN c_custkey % 8 = 2 THEN 'nan' END AS former_edinet_codes,
+  CASE WHEN c_custkey % 9 <> 0 THEN 'company' END AS submitter_type, c_custkey % 2 = 0 AS is_consolidated,
+  CASE WHEN c_custkey % 3 = 1 THEN CAST(c_custkey AS DOUBLE) END AS capital,
+  CASE WHEN c_custkey % 4 = 1 THEN '03-31' END AS settlement_date, concat('Street ', CAST(c_custkey % 97 AS STRING)) AS address,
+  CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE concat('2024-0', CAST(c_custkey % 9 AS STRING), '-01 09:00') END AS last_submitted_at,
+  c_acctbal >= 0 AS is_listed_edinet, c_acctbal >= 0 AS is_active, c_custkey % 23 = 0 AS is_disappeared,
+  CASE WHEN c_custkey % 5 = 0 THEN CAST(1000000000000 + c_custkey % 300 AS STRING)
+       WHEN c_custkey % 4 <> 0 THEN concat('E', lpad(CAST(c_custkey AS STRING), 5, '0'))
+       WHEN c_custkey % 3 <> 0 THEN concat('JP:', lpad(CAST(c_custkey % 4000 AS STRING), 4, '0'), '0') END AS identity_key
+FROM customer WHERE c_custkey % 10 <> 0""",
+    "v_sync_list": """
+SELECT c_custkey AS pos, concat('E', lpad(CAST(c_custkey AS STRING), 5, '0')) AS edinet_code,
+  CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN lpad(CAST(c_custkey % 4000 AS STRING), 4, '0')
+       ELSE concat(lpad(CAST(c_custkey % 4000 AS STRING), 4, '0'), '0') END AS code,
+  CASE WHEN c_custkey % 5 = 0 THEN CAST(1000000000000 + c_custkey % 300 AS STRING) WHEN c_custkey % 5 = 1 THEN '-' END AS jcn,
+  CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE upper(c_name) END AS company_name,
+  CASE WHEN c_custkey % 4 = 0 THEN 'nan' WHEN c_custkey % 4 = 1 THEN concat(' ', c_name, ' Inc ') END AS company_name_en,
+  CASE WHEN c_custkey % 3 = 0 THEN 'None' WHEN c_custkey % 3 = 1 THEN lower(c_name) END AS company_name_kana,
+  CASE WHEN c_custkey % 8 = 2 THEN 'E90003' END AS former_edinet_codes,
+  CASE WHEN c_custkey % 2 = 0 THEN 'foreign company' END AS submitter_type,
+  CASE c_custkey % 4 WHEN 0 THEN '有' WHEN 1 THEN '無' WHEN 2 THEN '-' END AS consolidated_mark,
+  CASE c_custkey % 3 WHEN 0 THEN '上場' WHEN 1 THEN '非上場' END AS listed_mark,
+  CASE WHEN c_custkey % 2 = 1 THEN CAST(c_acctbal AS DOUBLE) END AS capital,
+  CASE WHEN c_custkey % 5 = 2 THEN '12-31' END AS settlement_date, CASE WHEN c_custkey % 3 = 2 THEN concat('Road ', CAST(c_custkey % 89 AS STRING)) END AS address,
+  CASE WHEN c_custkey % 4 = 2 THEN concat('Industry ', CAST(c_nationkey AS STRING)) END AS industry_edinet,
+  CASE WHEN c_custkey % 4 <> 3 THEN concat('industry ', CAST(c_nationkey AS STRING)) END AS industry_edinet_en
+FROM customer WHERE c_custkey % 10 <> 1""",
+    "v_sync_exchange": """
+SELECT p_partkey AS pos,
+  concat('JP:', lpad(CAST(p_partkey % 4000 AS STRING), 4, '0'), CASE WHEN p_partkey % 7 = 0 THEN '1' ELSE '0' END) AS code,
+  CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_name END AS company_name,
+  CASE WHEN p_size % 10 = 0 THEN 'ETF' WHEN p_size % 10 = 1 THEN 'PRO Market' WHEN p_partkey % 4 = 0 THEN NULL
+       ELSE 'Prime' END AS market,
+  concat('Sector ', CAST(p_size % 29 AS STRING), CASE WHEN p_partkey % 11 = 0 THEN ' new' ELSE '' END) AS sector_jpx_33,
+  CASE WHEN p_partkey % 6 = 0 THEN '-' ELSE CAST(p_size % 29 AS STRING) END AS sector_33_code,
+  concat('S17-', CAST(p_size % 17 AS STRING)) AS sector_jpx_17,
+  CASE WHEN p_partkey % 8 = 0 THEN '-' ELSE CAST(p_size % 17 AS STRING) END AS sector_17_code,
+  CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size % 5 AS STRING) END AS size_code,
+  concat('Size ', CAST(p_size % 5 AS STRING), CASE WHEN p_partkey % 3 = 0 THEN 'b' ELSE 'a' END) AS size_category
+FROM part""",
+    "v_sync_agg": """
+SELECT c_custkey AS pos, concat('E8', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) AS old_code,
+  concat('E', lpad(CAST(c_custkey - c_custkey % 3 AS STRING), 5, '0')) AS new_code
+FROM customer WHERE c_custkey % 4 = 0""",
 }
 
 VIEW_INPUTS = {
@@ -105,6 +163,10 @@ VIEW_INPUTS = {
     "v_entities": ("customer",),
     "v_master_prev": ("customer",),
     "v_master_in": ("customer",),
+    "v_sync_master": ("customer",),
+    "v_sync_list": ("customer",),
+    "v_sync_exchange": ("part",),
+    "v_sync_agg": ("customer",),
 }
 
 
