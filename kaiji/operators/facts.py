@@ -126,6 +126,12 @@ def day_folder_load(paths: DataFrame, path_col: str = "zip_repo_path", limit: in
             .filter(F.col("n_files") > limit))
 
 
+# Columns carried forward within a document, then within a key.
+FILL_BY_DOCUMENT = ("decimals", "precision", "context_ref", "unit", "period_start", "period_end", "instant_date", "order",
+                    "non_consolidated_flg", "current_flg", "prior_flg", "role", "filer_name", "sector_label_33")
+FILL_BY_KEY = ("element_name", "isTextBlock_flg", "abstract_flg", "label_jp")
+
+
 def fill_forward(df: DataFrame, key: str, order: list[str], cols: list[str], bucket: Column) -> DataFrame:
     """G7 (D12 fixed: per key, not global): carry the last non-NULL value of
     each column forward in ``order`` within ``key``.
@@ -133,7 +139,7 @@ def fill_forward(df: DataFrame, key: str, order: list[str], cols: list[str], buc
     ``bucket`` must be non-decreasing in ``order``. The fill runs inside
     (key, bucket) partitions; values carried across buckets come from a
     per-bucket summary (partial aggregate), so a huge key is split across
-    tasks instead of sorted in one."""
+    tasks instead of sorted in one. ``order`` sees the values before the fill."""
     b = "_fb"
     d = df.withColumn(b, bucket)
     w_in = Window.partitionBy(key, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -143,10 +149,15 @@ def fill_forward(df: DataFrame, key: str, order: list[str], cols: list[str], buc
     w_b = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(key, b, *[F.last(f"_last_{c}", ignorenulls=True).over(w_b).alias(f"_carry_{c}")
                                        for c in cols])
-    d = d.join(summary, [key, b], "left")
-    for c in cols:
-        d = d.withColumn(c, F.coalesce(F.last(F.col(c), ignorenulls=True).over(w_in), F.col(f"_carry_{c}")))
-    return d.drop(b, *[f"_carry_{c}" for c in cols])
+    filled = {c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(w_in), F.col(f"_carry_{c}")).alias(c) for c in cols}
+    return d.join(summary, [key, b], "left").select(*[filled.get(c, F.col(c)) for c in df.columns])
+
+
+def fill_forward_ranges(df: DataFrame, key: str, order: list[str], cols: list[str], stage) -> DataFrame:
+    """G7 for keys of any size and values: the buckets are the ranges of a sampled range partitioning on
+    (key, order). ``stage`` writes the ranges to the shared folder, so that a lost task can't move a row."""
+    ranged = stage(df.repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id()))
+    return fill_forward(ranged, key, order, cols, F.col("_range")).drop("_range")
 
 
 def accounting_standard(facts: DataFrame, catalog: DataFrame, std_key: str, newest: list[Column],

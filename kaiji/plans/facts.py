@@ -11,6 +11,8 @@ from kaiji.operators.catalog import catalog_record
 from kaiji.plans import sqlfrag as Q
 from kaiji.plans.registry import register
 from kaiji.plans.tables import table, view, with_views
+from kaiji.session import work_dir
+from kaiji.sinks.tables import write_table
 
 def newest_first():
     """Total order of fact rows, newest submission first."""
@@ -145,22 +147,56 @@ def q_fact_impute(spark, sf_dir):
         "docid", "key", "context_ref", "data_str", "decimals", "data", "context_ref_len", "data_imputed")
 
 
-@register("fact_ffill", with_views(f"""WITH t AS (SELECT *, TRY_CAST(data_str AS DOUBLE) AS data FROM ({TABLE_SQL})),
-a AS (SELECT * REPLACE (
-  last_value(role IGNORE NULLS) OVER (PARTITION BY docid ORDER BY data NULLS LAST, key, context_ref, src_part, src_supp,
-    role NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS role,
-  last_value(ord IGNORE NULLS) OVER (PARTITION BY docid ORDER BY data NULLS LAST, key, context_ref, src_part, src_supp,
-    role NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ord) FROM t)
-SELECT docid, key, context_ref, src_part, src_supp, data, role, ord FROM a""", "v_facts", "v_account_list"))
+# Fixture columns with gaps, in the same text for both engines.
+GAPS = {
+    "decimals": "CASE WHEN src_part % 4 <> 0 THEN CAST(src_part % 4 AS STRING) END",
+    "precision": "CASE WHEN src_supp % 3 <> 0 THEN CAST(src_supp % 5 AS STRING) END",
+    "context_ref": "CASE WHEN src_part % 6 <> 0 THEN context_ref END",
+    "unit": "CASE WHEN src_supp % 2 <> 0 THEN concat('U', CAST(src_part % 3 AS STRING)) END",
+    "period_start": "CASE WHEN src_part % 5 <> 0 THEN concat(CAST(2000 + src_part % 20 AS STRING), '-04-01') END",
+    "period_end": "CASE WHEN src_part % 7 <> 0 THEN concat(CAST(2001 + src_part % 20 AS STRING), '-03-31') END",
+    "instant_date": "CASE WHEN src_part % 5 = 0 THEN concat(CAST(2001 + src_part % 20 AS STRING), '-03-31') END",
+    "non_consolidated_flg": "CASE WHEN src_part % 6 <> 0 THEN non_consolidated_flg END",
+    "current_flg": "CASE WHEN src_part % 6 <> 0 THEN current_flg END",
+    "prior_flg": "CASE WHEN src_part % 6 <> 0 THEN prior_flg END",
+    "filer_name": "CASE WHEN src_supp % 4 <> 0 THEN concat('Filer ', CAST(src_supp % 10 AS STRING)) END",
+    "sector_label_33": "CASE WHEN src_supp % 4 = 1 THEN concat('Sector ', CAST(src_supp % 33 AS STRING)) END",
+    "element_name": "CASE WHEN src_part % 3 <> 0 THEN concat('El', CAST(src_part % 9 AS STRING)) END",
+    "isTextBlock_flg": "CASE WHEN src_supp % 5 <> 0 THEN isTextBlock_flg END",
+    "abstract_flg": "CASE WHEN src_part % 8 <> 0 THEN src_part % 2 END",
+    "label_jp": "CASE WHEN src_part % 2 <> 0 THEN concat('Label ', CAST(src_part % 12 AS STRING)) END",
+}
+GAPS_SQL = ", ".join(f'{e} AS "{c}"' for c, e in GAPS.items())
+
+
+def _last(cols, by: str) -> str:
+    return ", ".join(f'last_value("{c}" IGNORE NULLS) OVER {by} AS "{c}"' for c in cols)
+
+
+@register("fact_ffill", with_views(f"""WITH g AS (SELECT docid, key, src_part, src_supp, loaded_at, context_ref AS ctx, role,
+  role AS r0, ord AS "order", TRY_CAST(data_str AS DOUBLE) AS data, {GAPS_SQL} FROM ({TABLE_SQL})),
+a AS (SELECT docid, key, src_part, src_supp, loaded_at, ctx, r0, data, {_last(FT.FILL_BY_DOCUMENT, "w")},
+  {", ".join(FT.FILL_BY_KEY)} FROM g WINDOW w AS (PARTITION BY docid ORDER BY data NULLS LAST, key, ctx, src_part, src_supp, loaded_at,
+  r0 NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT docid, key, src_part, src_supp, data, {", ".join(f'"{c}"' for c in FT.FILL_BY_DOCUMENT)}, {_last(FT.FILL_BY_KEY, "w")} FROM a
+  WINDOW w AS (PARTITION BY key ORDER BY data NULLS LAST, docid, ctx, src_part, src_supp, loaded_at, r0 NULLS LAST
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", "v_facts", "v_account_list"))
 def q_fact_ffill(spark, sf_dir):
-    """G7 per document (D12): role and display order carried forward in value order."""
-    t = _fact_table(spark, sf_dir).withColumn("data", F.col("data_str").try_cast("double"))
-    t = t.withColumn("_dn", F.col("data").isNull()).withColumn("_rn", F.col("role").isNull()) \
-        .withColumn("_role0", F.col("role"))
-    order = ["_dn", "data", "key", "context_ref", "src_part", "src_supp", "_rn", "_role0"]
-    bucket = F.when(F.col("_dn"), F.lit(1 << 40)).otherwise(F.floor(F.col("data") / 10))
-    out = FT.fill_forward(t, "docid", order, ["role", "ord"], bucket)
-    return out.select("docid", "key", "context_ref", "src_part", "src_supp", "data", "role", "ord")
+    """Fourteen columns carried forward in value order within a document (D12), then four within a key."""
+    def stage(df):
+        path = work_dir(spark, "ffill")
+        write_table(df, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    t = _fact_table(spark, sf_dir)
+    t = t.select("docid", "key", "src_part", "src_supp", "loaded_at", F.col("context_ref").alias("ctx"), "role", F.col("role").alias("r0"),
+                 F.col("ord").alias("order"), F.col("data_str").try_cast("double").alias("data"),
+                 *[F.expr(e).alias(c) for c, e in GAPS.items()])
+    t = t.withColumn("_dn", F.col("data").isNull()).withColumn("_rn", F.col("r0").isNull())
+    rest = ["ctx", "src_part", "src_supp", "loaded_at", "_rn", "r0"]
+    t = FT.fill_forward_ranges(t, "docid", ["_dn", "data", "key", *rest], list(FT.FILL_BY_DOCUMENT), stage)
+    t = FT.fill_forward_ranges(t, "key", ["_dn", "data", "docid", *rest], list(FT.FILL_BY_KEY), stage)
+    return t.select("docid", "key", "src_part", "src_supp", "data", *FT.FILL_BY_DOCUMENT, *FT.FILL_BY_KEY)
 
 
 STD_KEY = "jppfs_cor:Acct7"
