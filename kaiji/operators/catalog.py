@@ -72,34 +72,66 @@ def promote_parsed(catalog: DataFrame, failed_bins: DataFrame, bin_col: str = "b
 
 
 def catalog_record(filings: DataFrame) -> DataFrame:
-    """Filing-list rows to catalog records (plus P2, P10-P12)."""
-    def blank_null(c):
-        s = strip(c)
-        return F.when(s != "", s)
+    """Filing-list rows to catalog records of 41 fields (plus P2, P10-P12) and the path of the archive.
+
+    Fields that the list lacks are NULL (flags false). ``processed_status`` is the first status of a decided
+    row (F1): retracted if withdrawn, else the anomaly found while saving, else success; NULL without a verdict.
+    ``accounting_standard`` is filled after parsing (J18)."""
+    def raw(c):
+        return F.col(c) if c in filings.columns else F.lit(None).cast("string")
+
+    def blank_null(c, out=None):
+        s = strip(raw(c))
+        return F.when(s != "", s).alias(out or c)
+
+    def flag(c, out=None):
+        return F.coalesce(raw(c) == "1", F.lit(False)).alias(out or c)
+
+    status = F.when(F.col("verdict") == "skip_withdrawn", "retracted").otherwise(F.coalesce(raw("anomaly_status"), F.lit("success"))) \
+        if "verdict" in filings.columns else F.lit(None).cast("string")
     return filings.select(
         "doc_id",
-        blank_null("jcn").alias("jcn"),
+        blank_null("jcn"),
         normalize_code("sec_code", "JP").alias("code"),
         F.coalesce(blank_null("filer_name"), F.lit(DEFAULT_FILER)).alias("company_name"),
-        blank_null("edinet_code").alias("edinet_code"),
+        blank_null("filer_name_en", "company_name_en"),
+        blank_null("filer_name_kana", "company_name_kana"),
+        blank_null("edinet_code"),
+        blank_null("issuer_edinet_code"),
+        blank_null("subject_edinet_code"),
+        blank_null("subsidiary_edinet_code"),
+        blank_null("fund_code"),
         parse_datetime("submit_at").alias("submit_at"),
         F.col("seq_number"),
         fiscal_year("period_end").alias("fiscal_year"),
-        blank_null("period_start").alias("period_start"),
-        blank_null("period_end").alias("period_end"),
+        blank_null("period_start"),
+        blank_null("period_end"),
         num_months("period_start", "period_end").alias("num_months"),
+        F.lit(None).cast("string").alias("accounting_standard"),
         F.coalesce(F.col("doc_type"), F.lit("")).alias("doc_type"),
-        blank_null("title").alias("title"),
-        blank_null("form_code").alias("form_code"),
-        blank_null("ordinance_code").alias("ordinance_code"),
+        blank_null("title"),
+        blank_null("form_code"),
+        blank_null("ordinance_code"),
         is_amendment("parent_doc_id", "doc_type", "title").alias("is_amendment"),
-        blank_null("parent_doc_id").alias("parent_doc_id"),
-        blank_null("withdrawal_status").alias("withdrawal_status"),
-        blank_null("doc_info_edit_status").alias("doc_info_edit_status"),
-        F.coalesce(F.col("xbrl_flag") == "1", F.lit(False)).alias("xbrl_flag"),
-        blank_null("raw_zip_path").alias("raw_zip_path"),
-        repo_path("doc_id", "submit_at", "zip").alias("zip_repo_path"),
+        blank_null("parent_doc_id"),
+        blank_null("withdrawal_status"),
+        blank_null("doc_info_edit_status"),
+        blank_null("disclosure_status"),
+        blank_null("legal_status"),
+        blank_null("current_report_reason"),
+        flag("xbrl_flag"),
+        flag("pdf_flag"),
+        flag("csv_flag"),
+        flag("english_flag"),
+        flag("attach_flag", "attachment_flag"),
+        blank_null("raw_zip_path"),
+        blank_null("pdf_path"),
+        blank_null("english_path"),
+        blank_null("attach_path"),
+        status.alias("processed_status"),
         F.lit(SOURCE_NAME).alias("source"),
+        blank_null("ope_date_time"),
+        repo_path("doc_id", "submit_at", "zip").alias("zip_repo_path"),
     )
 
 

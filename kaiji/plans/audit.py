@@ -164,14 +164,15 @@ def q_audit_drift_repair(spark, sf_dir):
 
 
 def catalog_schema() -> T.StructType:
-    s = T.StringType()
-    return T.StructType([T.StructField(n, t) for n, t in [
-        ("doc_id", s), ("jcn", s), ("code", s), ("company_name", s), ("edinet_code", s),
-        ("submit_at", T.TimestampNTZType()), ("seq_number", T.LongType()), ("fiscal_year", T.LongType()),
-        ("period_start", s), ("period_end", s), ("num_months", T.LongType()), ("doc_type", s), ("title", s),
-        ("form_code", s), ("ordinance_code", s), ("is_amendment", T.BooleanType()), ("parent_doc_id", s),
-        ("withdrawal_status", s), ("doc_info_edit_status", s), ("xbrl_flag", T.BooleanType()),
-        ("raw_zip_path", s), ("zip_repo_path", s), ("source", s)]])
+    """The declared types of a catalog record."""
+    other = {"submit_at": T.TimestampNTZType(), "seq_number": T.LongType(), "fiscal_year": T.LongType(), "num_months": T.LongType(),
+             "is_amendment": T.BooleanType()}
+    names = """doc_id jcn code company_name company_name_en company_name_kana edinet_code issuer_edinet_code subject_edinet_code
+        subsidiary_edinet_code fund_code submit_at seq_number fiscal_year period_start period_end num_months accounting_standard
+        doc_type title form_code ordinance_code is_amendment parent_doc_id withdrawal_status doc_info_edit_status disclosure_status
+        legal_status current_report_reason xbrl_flag pdf_flag csv_flag english_flag attachment_flag raw_zip_path pdf_path
+        english_path attach_path processed_status source ope_date_time zip_repo_path""".split()
+    return T.StructType([T.StructField(n, T.BooleanType() if n.endswith("_flag") else other.get(n, T.StringType())) for n in names])
 
 
 @register("schema_conform", with_views(f"""WITH {CATALOG_CTE}

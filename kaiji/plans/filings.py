@@ -93,6 +93,16 @@ def q_catalog_project(spark, sf_dir):
     return C.catalog_record(view(spark, sf_dir, "v_filings"))
 
 
+@register("catalog_decided", with_views(f"""WITH {KNOWN_STATUS_SQL},
+{_verdict_sql("All")}, {CATALOG_CTE}
+SELECT cat.* REPLACE (CASE WHEN d.verdict = 'skip_withdrawn' THEN 'retracted' ELSE 'success' END AS processed_status), d.verdict
+FROM cat JOIN d ON cat.doc_id = d.doc_id WHERE d.verdict IN ('parse', 'save_raw', 'skip_withdrawn')""", "v_filings"))
+def q_catalog_decided(spark, sf_dir):
+    """F1 -> P13: the records of saved and withdrawn filings with their first status."""
+    d = decided_filings(spark, sf_dir, "All").filter(F.col("verdict").isin("parse", "save_raw", "skip_withdrawn"))
+    return C.catalog_record(d).join(d.select("doc_id", "verdict"), "doc_id")
+
+
 @register("catalog_cleanup", with_views(
     f"WITH {CATALOG_CTE} SELECT * REPLACE (CASE WHEN {Q.strip('code')} = 'JP:' THEN NULL ELSE code END AS code) "
     "FROM cat WHERE submit_at IS NOT NULL", "v_filings"))
@@ -111,11 +121,11 @@ def q_catalog_cleanup_strict(spark, sf_dir):
 def _catalog_with_status(spark, sf_dir):
     f = view(spark, sf_dir, "v_filings")
     st = known_status(f)
-    return C.catalog_record(f).join(st, "doc_id", "left").withColumn(
+    return C.catalog_record(f).drop("processed_status").join(st, "doc_id", "left").withColumn(
         "processed_status", F.coalesce("processed_status", F.lit("pending")))
 
 
-CAT_STATUS_CTE = (f"{CATALOG_CTE}, {KNOWN_STATUS_SQL}, cs AS (SELECT cat.*, coalesce(known.processed_status, 'pending') "
+CAT_STATUS_CTE = (f"{CATALOG_CTE}, {KNOWN_STATUS_SQL}, cs AS (SELECT cat.* EXCLUDE (processed_status), coalesce(known.processed_status, 'pending') "
                   "AS processed_status FROM cat LEFT JOIN known ON cat.doc_id = known.doc_id)")
 
 
@@ -191,10 +201,11 @@ def q_master_freshness(spark, sf_dir):
     return C.master_freshness(m, cat).select("ordinal", "code", "updated", "last_submitted_at")
 
 
-@register("high_water_mark", with_views("""SELECT max(submit_at) AS max_ope,
-  max(submit_at) - INTERVAL 1 HOUR AS fetch_from FROM v_filings""", "v_filings"))
+@register("high_water_mark", with_views("""SELECT max(try_strptime(ope_date_time, '%Y-%m-%d %H:%M')) AS max_ope,
+  max_ope - INTERVAL 1 HOUR AS fetch_from FROM v_filings""", "v_filings"))
 def q_high_water_mark(spark, sf_dir):
-    return C.high_water_mark(view(spark, sf_dir, "v_filings"), col="submit_at")
+    """A2: the catalog's latest operation time, an hour back."""
+    return C.high_water_mark(C.catalog_record(view(spark, sf_dir, "v_filings")))
 
 
 # Fixture mapping of event types onto processing statuses.

@@ -73,6 +73,13 @@ def status_rank(x: str) -> str:
             f"WHEN 'attachment_empty' THEN 4 WHEN 'parsed' THEN 5 WHEN 'success' THEN 6 ELSE 99 END")
 
 
+MORE_TEXT = {"filer_name_en": "company_name_en", "filer_name_kana": "company_name_kana", "issuer_edinet_code": "issuer_x",
+             "subject_edinet_code": "subject_x", "subsidiary_edinet_code": "subsidiary_x", "fund_code": "fund_x",
+             "disclosure_status": "disclosure_x", "legal_status": "legal_x", "current_report_reason": "reason_x",
+             "pdf_path": "pdf_path_x", "english_path": "english_path_x", "attach_path": "attach_path_x", "ope_date_time": "ope_x"}
+MORE_FLAGS = {"pdf_flag": "pdf_flag_x", "csv_flag": "csv_flag_x", "english_flag": "english_flag_x", "attach_flag": "attachment_flag"}
+
+
 def catalog_record_select(src: str = "v_filings") -> str:
     """P13 projection in DuckDB (columns as kaiji.operators.catalog.catalog_record)."""
     return f"""SELECT doc_id, {blank_null('jcn')} AS jcn,
@@ -100,6 +107,9 @@ def catalog_record_select(src: str = "v_filings") -> str:
   coalesce(xbrl_flag = '1', false) AS xbrl_flag_b,
   {blank_null('raw_zip_path')} AS raw_zip_path_s,
   {repo_path('doc_id', 'submit_at')} AS zip_repo_path,
+  {", ".join(f"{blank_null(c)} AS {o}" for c, o in MORE_TEXT.items())},
+  {", ".join(f"coalesce({c} = '1', false) AS {o}" for c, o in MORE_FLAGS.items())},
+  CAST(NULL AS VARCHAR) AS accounting_standard, CAST(NULL AS VARCHAR) AS processed_status,
   'EDINET' AS source
 FROM {src}"""
 
@@ -109,4 +119,5 @@ CATALOG_COLS = ("doc_id, jcn, code, company_name, edinet_code, submit_at_ts AS s
                 "title_s AS title, form_code_s AS form_code, ordinance_code_s AS ordinance_code, is_amendment, "
                 "parent_doc_id_s AS parent_doc_id, withdrawal_status_s AS withdrawal_status, "
                 "doc_info_edit_status_s AS doc_info_edit_status, xbrl_flag_b AS xbrl_flag, "
-                "raw_zip_path_s AS raw_zip_path, zip_repo_path, source")
+                "raw_zip_path_s AS raw_zip_path, zip_repo_path, source, accounting_standard, processed_status, "
+                + ", ".join(o if not o.endswith("_x") else f"{o} AS {c}" for c, o in (MORE_TEXT | MORE_FLAGS).items()))

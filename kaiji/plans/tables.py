@@ -43,6 +43,21 @@ SELECT o_orderkey AS seq_number,
   CAST(o_orderkey % 2 AS STRING) AS xbrl_flag,
   CASE o_orderstatus WHEN 'P' THEN '1' ELSE '0' END AS withdrawal_status,
   CASE WHEN o_orderkey % 13 = 0 THEN '2' ELSE '0' END AS doc_info_edit_status,
+  CASE WHEN o_orderkey % 5 = 0 THEN ' ' ELSE concat(c_name, ' Inc.') END AS filer_name_en,
+  CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE lower(c_name) END AS filer_name_kana,
+  CASE WHEN o_orderkey % 8 = 0 THEN concat(' E', lpad(CAST(o_custkey + 1 AS STRING), 5, '0')) END AS issuer_edinet_code,
+  CASE WHEN o_orderkey % 8 = 1 THEN concat('E', lpad(CAST(o_custkey + 2 AS STRING), 5, '0')) ELSE '' END AS subject_edinet_code,
+  CASE WHEN o_orderkey % 8 = 2 THEN concat('E', lpad(CAST(o_custkey + 3 AS STRING), 5, '0')) END AS subsidiary_edinet_code,
+  CASE WHEN o_orderkey % 9 = 1 THEN concat('G', lpad(CAST(o_custkey AS STRING), 5, '0')) END AS fund_code,
+  CAST(o_orderkey % 3 AS STRING) AS disclosure_status, CAST(o_orderkey % 4 AS STRING) AS legal_status,
+  CASE WHEN o_orderkey % 12 = 0 THEN 'reason' ELSE ' ' END AS current_report_reason,
+  CASE WHEN o_orderkey % 16 = 5 THEN NULL ELSE CAST(o_orderkey % 3 % 2 AS STRING) END AS pdf_flag,
+  CAST(o_orderkey % 5 % 2 AS STRING) AS csv_flag, CAST(o_orderkey % 7 % 2 AS STRING) AS english_flag,
+  CAST(o_orderkey % 11 % 2 AS STRING) AS attach_flag,
+  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('raw/', CAST(o_orderkey AS STRING), '.pdf') END AS pdf_path,
+  CASE WHEN o_orderkey % 14 = 1 THEN concat('raw/', CAST(o_orderkey AS STRING), '_en.zip') END AS english_path,
+  CASE WHEN o_orderkey % 14 = 2 THEN concat('raw/', CAST(o_orderkey AS STRING), '_at.zip') END AS attach_path,
+  CASE WHEN o_orderkey % 10 = 3 THEN ' ' ELSE concat(substr(CAST(o_orderdate AS STRING), 1, 10), ' 15:30') END AS ope_date_time,
   o_orderdate AS submit_at
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "v_facts": """
