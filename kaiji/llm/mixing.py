@@ -24,9 +24,13 @@ from pyspark.sql import functions as F
 
 from kaiji.llm.common import WORD_RE, fresh, row_hash, running_totals, stage
 
+WHITE = " \t\n\x0b\x0c\r"  # what WORD_RE leaves out
+
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
+    """Words of the whole text: each becomes one letter, so no array of the words of a long text is built."""
+    marks = F.regexp_replace(F.ltrim(text, F.lit(WHITE)), f"{WORD_RE}[{WHITE}]*", "w")
+    return F.coalesce(F.length(marks), F.lit(0)).cast("long")
 
 
 def targets(rows: DataFrame, weights: tuple[float, ...], share: Fraction, max_repeats: int) -> tuple[DataFrame, int]:
