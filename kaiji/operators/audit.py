@@ -6,7 +6,7 @@ repairs, the repaired rows); the report is one aggregate over their union.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +15,7 @@ from kaiji.functions.dates import repo_path
 # API fields compared by the drift layer (local name).
 DRIFT_FIELDS = ("submit_at", "doc_type", "ordinance_code", "form_code", "withdrawal_status")
 ASSET_LIMIT_YEARS = 10
+NO_BIN = "No"  # fixed value: the bin of documents without an identifier, which need not exist
 
 
 def schema_diff(df: DataFrame, schema: StructType) -> tuple[list[str], list[str]]:
@@ -74,11 +75,56 @@ def bin_audit(expected: DataFrame, actual: DataFrame) -> DataFrame:
     docs = j.withColumn("kind", kind).filter(F.col("kind").isNotNull()).select("bin_id", "doc_id", "kind")
     gone = (j.groupBy("bin_id").agg(F.bool_or(F.coalesce("_e", F.lit(False))).alias("_has_e"),
                                     F.bool_or(F.coalesce("_a", F.lit(False))).alias("_has_a"))
-            .filter(F.col("_has_e") & ~F.col("_has_a"))
+            .filter(F.col("_has_e") & ~F.col("_has_a") & (F.col("bin_id") != NO_BIN))
             .select("bin_id", F.lit(None).cast("string").alias("doc_id"), F.lit("missing_bin").alias("kind")))
     return docs.unionByName(gone)
 
 
+def _past_limit(as_of: str, limit_years: int) -> Column:
+    return F.to_date("submit_at") < F.add_months(F.to_date(F.lit(as_of)), -12 * limit_years)
+
+
+def repair_assets(catalog: DataFrame, listing: DataFrame, as_of: str, limit_years: int = ASSET_LIMIT_YEARS) -> DataFrame:
+    """M7 / J12 over archives and PDFs: (doc_id, raw_zip_path, pdf_path, processed_status, issues).
+
+    A flag demands its file at the repository path (an unknown flag does if a path is stored). A path without
+    its flag is a ghost and goes; an archive ghost makes the row ``invalid``. A missing file makes it ``pending``,
+    or ``unrecoverable`` beyond the history limit. Rows without a submission time demand nothing. The listing is
+    reduced to the documents' files before the join, so each kind of file costs one equi-join."""
+    lst = listing.select(F.col("path").alias("_listed")).distinct()
+    out, issues = catalog, []
+    for kind, flag, path in (("zip", "xbrl_flag", "raw_zip_path"), ("pdf", "pdf_flag", "pdf_path")):
+        wanted = F.coalesce(F.col(flag), F.col(path).isNotNull()) & F.col("submit_at").isNotNull()
+        place = F.when(wanted, repo_path("doc_id", "submit_at", kind))
+        out = out.withColumn("_want", place)
+        # rows that demand nothing get keys of their own: they match nothing and don't meet in one task
+        key = F.coalesce("_want", F.concat(F.lit("\u0000"), "doc_id"))
+        out = out.join(lst, key == F.col("_listed"), "left").withColumn(f"_{kind}_missing", F.col("_want").isNotNull() & F.col("_listed").isNull())
+        out = out.withColumn(f"_{kind}_ghost", F.coalesce(~F.col(flag), F.lit(False)) & F.col(path).isNotNull()).drop("_want", "_listed")
+        out = out.withColumn(path, F.when(F.col(f"_{kind}_ghost"), F.lit(None).cast("string")).otherwise(F.col(path)))
+        issues += [F.when(F.col(f"_{kind}_{what}"), f"{what} {kind}") for what in ("missing", "ghost")]
+    missing = F.col("_zip_missing") | F.col("_pdf_missing")
+    status = (F.when(missing & _past_limit(as_of, limit_years), "unrecoverable").when(missing, "pending")
+              .when(F.col("_zip_ghost"), "invalid").otherwise(F.col("processed_status")))
+    return out.select("doc_id", "raw_zip_path", "pdf_path", status.alias("processed_status"), F.concat_ws(", ", *issues).alias("issues"))
+
+
+def repair_bin_status(catalog: DataFrame, audit: DataFrame, as_of: str, limit_years: int = ASSET_LIMIT_YEARS) -> DataFrame:
+    """M8 repair of the catalog: a document missing from its bin becomes ``pending``, or ``unrecoverable`` beyond the
+    history limit; all documents of a bin that is wholly gone become ``pending``. ``audit``: as of ``bin_audit``."""
+    gone = audit.filter("kind = 'missing_bin'").select(F.col("bin_id").alias("_gone"))
+    lost = (audit.filter("kind = 'missing'").join(gone, F.col("bin_id") == F.col("_gone"), "left")
+            .groupBy(F.col("doc_id").alias("_lost")).agg(F.bool_or(F.col("_gone").isNotNull()).alias("_whole")))
+    status = (F.when(F.col("_whole"), "pending").when(F.col("_lost").isNull() | F.col("submit_at").isNull(), F.col("processed_status"))
+              .when(_past_limit(as_of, limit_years), "unrecoverable").otherwise("pending"))
+    return catalog.join(lost, F.col("doc_id") == F.col("_lost"), "left").withColumn("processed_status", status).drop("_lost", "_whole")
+
+
+def purge_orphans(facts: DataFrame, audit: DataFrame) -> DataFrame:
+    """M8 repair of the bins: the rows (bin_id, doc_id, ...) of documents that don't belong to their bin go."""
+    return facts.join(audit.filter("kind = 'orphan'").select("bin_id", "doc_id"), ["bin_id", "doc_id"], "left_anti")
+
+
 def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
     """Groups of rows that repeat on ``cols`` with their count (report);
     partial aggregation keeps hot groups cheap."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kaiji.functions.codes import bin_id, normalize_code
+from kaiji.functions.dates import repo_path
 from kaiji.operators import audit as AU
 from kaiji.operators import indices as IX
 from kaiji.operators.catalog import catalog_record
@@ -63,7 +64,7 @@ act AS (SELECT DISTINCT fb.bin_id, fb.doc_id FROM (SELECT DISTINCT docid FROM v_
 bins AS (SELECT bin_id, doc_id, 'missing' AS kind FROM exp WHERE (bin_id, doc_id) NOT IN (SELECT (bin_id, doc_id) FROM act)
   UNION ALL SELECT bin_id, doc_id, 'orphan' FROM act WHERE (bin_id, doc_id) NOT IN (SELECT (bin_id, doc_id) FROM exp)
   UNION ALL SELECT DISTINCT bin_id, CAST(NULL AS VARCHAR), 'missing_bin' FROM exp
-    WHERE bin_id NOT IN (SELECT bin_id FROM act))"""
+    WHERE bin_id <> 'No' AND bin_id NOT IN (SELECT bin_id FROM act))"""
 
 
 def _filing_bins(spark, sf_dir, filings=None):
@@ -87,6 +88,59 @@ def q_audit_bins(spark, sf_dir):
     return _bins(spark, sf_dir)
 
 
+REPO_SQL = """repo AS (SELECT DISTINCT {path} AS p FROM v_filings, (VALUES ('zip', 3), ('pdf', 4)) k(kind, n)
+  WHERE seq_number % n <> 0)"""
+REPO_PATH_SQL = f"CASE WHEN kind = 'zip' THEN {Q.repo_path('doc_id', 'submit_at')} ELSE {Q.repo_path('doc_id', 'submit_at', 'pdf')} END"
+
+
+def _repository(spark, sf_dir):
+    """Files of the repository: some archives and PDFs are lost."""
+    f = view(spark, sf_dir, "v_filings")
+    kinds = [f.filter(F.col("seq_number") % n != 0).select(repo_path("doc_id", "submit_at", kind).alias("path"))
+             for kind, n in (("zip", 3), ("pdf", 4))]
+    return kinds[0].union(kinds[1])
+
+
+@register("audit_assets_repair", with_views(f"""WITH {CATALOG_CTE}, {KNOWN_STATUS_SQL}, {REPO_SQL.format(path=REPO_PATH_SQL)},
+c AS (SELECT cat.doc_id, submit_at, raw_zip_path, pdf_path, known.processed_status AS st,
+  xbrl_flag AND zip_repo_path NOT IN (SELECT p FROM repo) AS zm, NOT xbrl_flag AND raw_zip_path IS NOT NULL AS zg,
+  pdf_flag AND {Q.repo_path('cat.doc_id', 'submit_at', 'pdf')} NOT IN (SELECT p FROM repo) AS pm,
+  NOT pdf_flag AND pdf_path IS NOT NULL AS pg FROM cat LEFT JOIN known ON cat.doc_id = known.doc_id)
+SELECT doc_id, CASE WHEN NOT zg THEN raw_zip_path END AS raw_zip_path, CASE WHEN NOT pg THEN pdf_path END AS pdf_path,
+  CASE WHEN (zm OR pm) AND CAST(submit_at AS DATE) < DATE '1998-06-01' THEN 'unrecoverable' WHEN zm OR pm THEN 'pending'
+       WHEN zg THEN 'invalid' ELSE st END AS processed_status,
+  concat_ws(', ', CASE WHEN zm THEN 'missing zip' END, CASE WHEN zg THEN 'ghost zip' END, CASE WHEN pm THEN 'missing pdf' END,
+    CASE WHEN pg THEN 'ghost pdf' END) AS issues FROM c""", "v_filings"))
+def q_audit_assets_repair(spark, sf_dir):
+    """M7 repair: archives and PDFs against the repository; paths and statuses of every catalog row."""
+    f = view(spark, sf_dir, "v_filings")
+    cat = _catalog(spark, sf_dir, f).drop("processed_status").join(known_status(f), "doc_id", "left")
+    return AU.repair_assets(cat, _repository(spark, sf_dir), AS_OF)
+
+
+@register("audit_bins_repair_status", with_views(f"""WITH {BINS_SQL},
+l AS (SELECT m.doc_id, bool_or(g.bin_id IS NOT NULL) AS whole FROM bins m LEFT JOIN (SELECT bin_id FROM bins WHERE kind = 'missing_bin') g
+  ON m.bin_id = g.bin_id WHERE m.kind = 'missing' GROUP BY m.doc_id)
+SELECT v.doc_id, CASE WHEN whole THEN 'pending' WHEN l.doc_id IS NULL OR submit_at IS NULL THEN known.processed_status
+  WHEN CAST(submit_at AS DATE) < DATE '1998-06-01' THEN 'unrecoverable' ELSE 'pending' END AS processed_status
+FROM v_filings v LEFT JOIN known ON v.doc_id = known.doc_id LEFT JOIN l ON v.doc_id = l.doc_id""", "v_filings", "v_facts"))
+def q_audit_bins_repair_status(spark, sf_dir):
+    """M8 repair: the status of every document after the bins were audited."""
+    f = view(spark, sf_dir, "v_filings")
+    cat = f.select("doc_id", "submit_at").join(known_status(f), "doc_id", "left")
+    return AU.repair_bin_status(cat, _bins(spark, sf_dir, f), AS_OF).select("doc_id", "processed_status")
+
+
+@register("audit_bins_repair_facts", with_views(f"""WITH {BINS_SQL}
+SELECT fb.bin_id, f.docid AS doc_id, f.key, f.context_ref, f.src_part, f.src_supp FROM v_facts f JOIN fb ON f.docid = fb.doc_id
+WHERE (fb.bin_id, fb.doc_id) IN (SELECT (bin_id, doc_id) FROM exp)""", "v_filings", "v_facts"))
+def q_audit_bins_repair_facts(spark, sf_dir):
+    """M8 repair: the facts that stay once documents foreign to their bin are purged."""
+    f, fb = _filing_bins(spark, sf_dir)
+    facts = view(spark, sf_dir, "v_facts").withColumnRenamed("docid", "doc_id").join(fb, "doc_id")
+    return AU.purge_orphans(facts, _bins(spark, sf_dir, f)).select("bin_id", "doc_id", "key", "context_ref", "src_part", "src_supp")
+
+
 DUP_SQL = """dups AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)"""
 
 
