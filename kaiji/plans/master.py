@@ -51,7 +51,7 @@ def q_null_identity(spark, sf_dir):
     return M.null_identity_count(_entities(spark, sf_dir))
 
 
-GOLD_ATTRS = ["company_name", "market", "jcn", "edinet_code"]
+GOLD_ATTRS = list(M.GOLDEN_ATTRIBUTES)
 ORDER_SQL = "(last_submitted_at IS NOT NULL, last_submitted_at, priority, -pos)"
 GOLD_SQL = f"""gold AS (SELECT ik AS identity_key,
   arg_max_null(ordinal, {ORDER_SQL}) AS ordinal, arg_max_null(code, {ORDER_SQL}) AS code,
@@ -62,8 +62,7 @@ GOLD_SQL = f"""gold AS (SELECT ik AS identity_key,
        AND NOT bool_or(coalesce(is_listed_edinet, false)) THEN false
        ELSE bool_or(coalesce(is_listed_edinet, false)) OR bool_or(coalesce(source_jpx, false)) END AS is_active,
   count(*) AS n_rows FROM ids GROUP BY ik)"""
-GOLD_COLS = ["identity_key", "ordinal", "code", "company_name", "market", "jcn", "edinet_code",
-             "last_submitted_at", "is_listed_edinet", "is_active", "n_rows"]
+GOLD_COLS = ["identity_key", "ordinal", "code", *GOLD_ATTRS, "last_submitted_at", "is_listed_edinet", "is_active", "n_rows"]
 
 
 def _golden(spark, sf_dir):
@@ -73,7 +72,7 @@ def _golden(spark, sf_dir):
 @register("golden_record", with_views(f"WITH {IDS_SQL}, {GOLD_SQL} SELECT {', '.join(GOLD_COLS)} FROM gold",
                                       "v_entities"))
 def q_golden_record(spark, sf_dir):
-    """G6 -> G5 -> A10: one master row per identity."""
+    """G6 -> G5 -> A10: one master row per identity with all 21 attributes."""
     return _golden(spark, sf_dir).select(*GOLD_COLS)
 
 

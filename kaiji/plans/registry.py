@@ -13,7 +13,7 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
 _HEADLINE: list[str] = []
 
-_MODULES = ("filings", "history", "facts", "hierarchy", "master", "sync", "audit", "text", "files", "archives", "streams")
+_MODULES = ("filings", "history", "facts", "hierarchy", "master", "sync", "audit", "text", "files", "merge", "archives", "streams")
 
 
 def register(name: str, oracle: str | None = None, headline: bool = False):

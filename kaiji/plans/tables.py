@@ -100,6 +100,23 @@ SELECT CAST(c_custkey % 2 AS INT) AS priority, c_custkey AS ordinal,
   c_name AS company_name,
   CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_mktsegment END AS market,
   CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE concat('2024-0', CAST(c_custkey % 9 AS STRING), '-01 09:00') END AS last_submitted_at,
+  CASE WHEN c_custkey % 7 <> 0 THEN concat('Sector ', CAST(c_nationkey AS STRING)) END AS sector_jpx_33,
+  CASE WHEN c_custkey % 8 <> 0 THEN CAST(c_nationkey AS STRING) END AS sector_33_code,
+  CASE WHEN c_custkey % 9 <> 1 THEN concat('S17-', CAST(c_nationkey % 17 AS STRING)) END AS sector_jpx_17,
+  CASE WHEN c_custkey % 10 <> 1 THEN CAST(c_nationkey % 17 AS STRING) END AS sector_17_code,
+  CASE WHEN c_custkey % 6 = 1 THEN CAST(c_custkey % 5 AS STRING) END AS size_code,
+  CASE WHEN c_custkey % 6 = 2 THEN concat('Size ', CAST(c_custkey % 5 AS STRING)) END AS size_category,
+  CASE WHEN c_custkey % 13 = 0 THEN concat('JP:', lpad(CAST(c_custkey % 700 AS STRING), 4, '0'), '0') END AS parent_code,
+  CASE WHEN c_custkey % 8 = 1 THEN concat('E9', lpad(CAST(c_custkey % 7000 AS STRING), 4, '0')) END AS former_edinet_codes,
+  CASE WHEN c_custkey % 3 <> 2 THEN concat('The ', c_name) END AS company_name_en,
+  CASE WHEN c_custkey % 3 <> 1 THEN lower(c_name) END AS company_name_kana,
+  CASE WHEN c_custkey % 4 = 3 THEN 'company' END AS submitter_type,
+  CASE WHEN c_custkey % 2 = 0 THEN concat('Street ', CAST(c_custkey % 97 AS STRING)) END AS address,
+  CASE WHEN c_custkey % 5 <> 3 THEN concat('Industry ', CAST(c_nationkey AS STRING)) END AS industry_edinet,
+  CASE WHEN c_custkey % 5 = 2 THEN concat('Trade ', CAST(c_nationkey AS STRING)) END AS industry_edinet_en,
+  CASE WHEN c_custkey % 3 = 1 THEN CAST(c_custkey AS DOUBLE) END AS capital,
+  CASE WHEN c_custkey % 4 = 1 THEN '03-31' WHEN c_custkey % 4 = 2 THEN '12-31' END AS settlement_date,
+  CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 8 < 4 END AS is_consolidated,
   c_acctbal >= 0 AS is_listed_edinet, c_custkey % 2 = 1 AS source_jpx
 FROM customer""",
     "v_master_prev": """

@@ -83,6 +83,44 @@ def test_new_and_replaced_archives_are_parsed(spark, tmp_path):
     assert facts() == [("S1", "seven", "2024-01-01"), ("S2", "2", "2024-01-01")]
 
 
+def test_only_wanted_archives_are_parsed(spark, tmp_path):
+    folder = tmp_path / "zips"
+    folder.mkdir()
+    for i in (1, 2, 3):
+        _zip(folder / f"S{i}.zip", **{"a.xbrl": _instance(i), "a.xsd": XSD, "a_def.xml": "<a/>"})
+
+    def parsed(docs=None):
+        wanted = None if docs is None else spark.createDataFrame([(d,) for d in docs], "doc_id string")
+        X.archive_rows(spark, str(folder), docs=wanted).count()
+        return {r["path"].split("/")[-1] for r in spark.read.parquet(f"{folder}-rows/parsed").collect()}
+
+    assert parsed([]) == set()
+    assert parsed(["S2", "S2", "S9"]) == {"S2.zip"}
+    assert {r["doc_id"] for r in X.archive_rows(spark, str(folder), docs=spark.createDataFrame([("S2",)], "doc_id string")).collect()} == {"S2"}
+    assert parsed() == {"S1.zip", "S2.zip", "S3.zip"}
+
+
+LABELS = ('<l:linkbase xmlns:l="http://www.xbrl.org/2003/linkbase" xmlns:xlink="http://www.w3.org/1999/xlink"><l:labelLink>'
+          '<l:loc xlink:href="x.xsd#t_A" xlink:label="a"/><l:label xlink:label="la" xlink:role="r/label" xml:lang="ja">{}</l:label>'
+          '<l:labelArc xlink:from="a" xlink:to="la"/></l:labelLink></l:linkbase>')
+
+
+def test_shared_labels_fill_what_a_filing_lacks(spark, tmp_path):
+    (tmp_path / "f1_lab.xml").write_text(LABELS.format("first"))
+    (tmp_path / "f2_lab.xml").write_text(LABELS.format("second"))
+    (tmp_path / "f2_pre_x.xml").write_text(LABELS.format("").replace("labelLink", "presentationLink"))
+    (tmp_path / "f3_lab.xml").write_text("<broken")
+    rows = X.taxonomy_rows(spark, str(tmp_path))
+    assert [r["doc_id"] for r in rows.filter("kind = 'error'").collect()] == ["f3_lab.xml"]
+    shared = X.shared_labels(rows)
+    assert [(r["key"], r["label_jp"]) for r in shared.collect()] == [("t:A", "first")]
+    own = spark.createDataFrame([("D1", "t:A", None, None, "mine", None)],
+                                "doc_id string, key string, label_jp string, label_jp_long string, label_en string, label_en_long string")
+    accounts = spark.createDataFrame([("D1", "t:A"), ("D2", "t:A"), ("D2", "t:B")], "doc_id string, key string")
+    got = {(r["doc_id"], r["key"]): (r["label_jp"], r["label_en"], r["label_source"]) for r in X.account_labels(accounts, own, shared).collect()}
+    assert got == {("D1", "t:A"): (None, "mine", "own"), ("D2", "t:A"): ("first", None, "shared"), ("D2", "t:B"): (None, None, None)}
+
+
 def test_files_of_one_archive_dont_multiply_facts(spark, tmp_path):
     _zip(tmp_path / "S3.zip", **{"a.xbrl": _instance(1), "b.xbrl": _instance(2).replace("2024", "2025"), "a.xsd": XSD, "b.xsd": XSD, "a_def.xml": "<a/>"})
     got = sorted((r["data_str"], r["instant_date"]) for r in X.instance_facts(X.archive_rows(spark, str(tmp_path))).collect())
@@ -114,6 +152,17 @@ def test_late_events_that_arent_repeats_are_kept(spark):
     assert sorted(r["event_id"] for r in out.collect()) == list(range(40))
 
 
+def test_upsert_stream_writes_only_touched_buckets(spark):
+    folder = work_dir(spark, "t-upserts")
+    for ids, value in ((range(200), 1), ([7], 2), ([7, 300], 3)):
+        rows = spark.createDataFrame([(i, value) for i in ids], "id long, value long")
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    out = J.upsert_batches(J.file_stream(spark, folder, "events"), ["id"], ["value"], "t-upsert", n_buckets=16)
+    assert {r["id"]: r["value"] for r in out.collect()} == {i: 1 for i in range(200)} | {7: 3, 300: 3}
+    read = {f.split("/v=")[1].split("/")[0] for f in out.inputFiles()}
+    assert len(read) > 1  # untouched buckets are still those of the first batch
+
+
 def test_versions_are_read_and_walked_without_limit(spark):
     root = work_dir(spark, "t-versions")
     spark.range(4).write.parquet(f"{root}/v=1")
