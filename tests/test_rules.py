@@ -163,6 +163,24 @@ def test_upsert_stream_writes_only_touched_buckets(spark):
     assert len(read) > 1  # untouched buckets are still those of the first batch
 
 
+def test_a_poll_updates_catalog_master_and_names(spark):
+    """Late records change the history of their code; a corrected record takes its change away."""
+    folder = work_dir(spark, "t-polls")
+    polls = [[("d1", "JP:1", 1, 1, "A"), ("d3", "JP:1", 5, 3, "C"), ("d4", "JP:2", 2, 4, "X"), ("d5", "JP:2", 3, 5, "Y"), ("d6", None, 9, 6, "N")],
+             [("d2", "JP:1", 3, 2, "B"), ("d1", "JP:1", 1, 1, "A")],  # late, and a repeat
+             [("d4", "JP:2", 2, 4, "X"), ("d5", "JP:2", 4, 5, "X")]]  # d5 comes again, corrected
+    for i, rows in enumerate(polls):
+        df = spark.createDataFrame(rows, "doc_id string, code string, day int, seq_number long, company_name string")
+        df = df.withColumn("submit_at", F.make_timestamp_ntz(F.lit(2024), F.lit(1), "day", F.lit(0), F.lit(0), F.lit(0))).drop("day")
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/polls.parquet")
+    master = spark.createDataFrame([(0, "1", "2024-01-02"), (1, "JP:2", "2025-01-01"), (2, None, None)], "ordinal long, code string, last_submitted_at string")
+    catalog, fresh, names = J.poll_batches(J.file_stream(spark, folder, "polls"), master, "t-poll", n_buckets=4)
+    assert {(r["doc_id"], r["company_name"]) for r in catalog.collect()} == {
+        ("d1", "A"), ("d2", "B"), ("d3", "C"), ("d4", "X"), ("d5", "X"), ("d6", "N")}
+    assert {r["ordinal"]: r["last_submitted_at"] for r in fresh.collect()} == {0: "2024-01-05 00:00:00", 1: "2025-01-01", 2: None}
+    assert sorted(tuple(r) for r in names.collect()) == [("JP:1", "A", "B", "2024-01-03"), ("JP:1", "B", "C", "2024-01-05")]
+
+
 def test_versions_are_read_and_walked_without_limit(spark):
     root = work_dir(spark, "t-versions")
     spark.range(4).write.parquet(f"{root}/v=1")
