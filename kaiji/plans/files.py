@@ -204,10 +204,32 @@ def q_retention_plan(spark, sf_dir):
     return K.retention_plan(runs, "1998-06-01 00:00:00")
 
 
-def _fact_bins_numbers(spark, sf_dir):
+FACT_KINDS = {"numbers": (0, ["docid", "key", "context_ref"]), "texts": (1, ["docid", "key"])}  # flag, row key in a bin
+
+
+def fact_bins(spark, sf_dir, kind: str):
+    """The facts of one kind with the bin of their filing."""
     fb = (view(spark, sf_dir, "v_filings").withColumn("code", normalize_code("sec_code", "JP"))
           .select(F.col("doc_id").alias("docid"), bin_id("edinet_code", "code", "jcn").alias("bin")))
-    return view(spark, sf_dir, "v_facts").filter(F.col("isTextBlock_flg") == 0).join(fb, "docid")
+    return view(spark, sf_dir, "v_facts").filter(F.col("isTextBlock_flg") == FACT_KINDS[kind][0]).join(fb, "docid")
+
+
+def _upserted_bins(spark, sf_dir, kind: str):
+    """Facts loaded before 1999 form the bin table of their kind; then every
+    fact arrives and is upserted into the touched bins only."""
+    facts, keys = fact_bins(spark, sf_dir, kind), FACT_KINDS[kind][1]
+    root = work_dir(spark, f"bins-{kind}")
+    tbl, stage = os.path.join(root, "table"), os.path.join(root, "stage")
+    first = facts.filter(F.col("loaded_at") < F.to_timestamp(F.lit("1999-01-01")))
+    K.upsert_bins(first, tbl, stage + "-1", keys, newest_first())
+    K.upsert_bins(facts, tbl, stage + "-2", keys, newest_first())
+    return spark.read.parquet(tbl).select(*facts.columns)
+
+
+def _listed_bins(spark, sf_dir, kind: str):
+    root = work_dir(spark, f"listing-{kind}")
+    K.write_table(fact_bins(spark, sf_dir, kind), root, partition_by=["bin"])
+    return S.repo_listing(spark, root).select("bin").distinct()
 
 
 @register("bin_upsert", with_views(f"""WITH b AS (SELECT doc_id, {Q.norm_code_cols('sec_code', 'n')},
@@ -216,16 +238,18 @@ SELECT f.*, b.bin FROM v_facts f JOIN b ON f.docid = b.doc_id WHERE isTextBlock_
 QUALIFY row_number() OVER (PARTITION BY b.bin, docid, key, context_ref ORDER BY {NEWEST_SQL}) = 1""",
                                    "v_facts", "v_filings"))
 def q_bin_upsert(spark, sf_dir):
-    """K2 (+G2): facts loaded before 1999 form the bin table; then every fact
-    arrives and is upserted into the touched bins only."""
-    facts = _fact_bins_numbers(spark, sf_dir)
-    root = work_dir(spark, "bins")
-    tbl, stage = os.path.join(root, "table"), os.path.join(root, "stage")
-    keys = ["docid", "key", "context_ref"]
-    first = facts.filter(F.col("loaded_at") < F.to_timestamp(F.lit("1999-01-01")))
-    K.upsert_bins(first, tbl, stage + "-1", keys, newest_first())
-    K.upsert_bins(facts, tbl, stage + "-2", keys, newest_first())
-    return spark.read.parquet(tbl).select(*facts.columns)
+    """K2 (+G2), number facts: one per (docid, key, context_ref) in a bin."""
+    return _upserted_bins(spark, sf_dir, "numbers")
+
+
+@register("bin_upsert_text", with_views(f"""WITH b AS (SELECT doc_id, {Q.norm_code_cols('sec_code', 'n')},
+  {Q.bin_id('edinet_code', 'n_code', 'jcn')} AS bin FROM v_filings)
+SELECT f.*, b.bin FROM v_facts f JOIN b ON f.docid = b.doc_id WHERE isTextBlock_flg = 1
+QUALIFY row_number() OVER (PARTITION BY b.bin, docid, key ORDER BY {NEWEST_SQL}) = 1""",
+                                        "v_facts", "v_filings"))
+def q_bin_upsert_text(spark, sf_dir):
+    """K2 (+G2), text facts: one per (docid, key) in a bin."""
+    return _upserted_bins(spark, sf_dir, "texts")
 
 
 @register("repo_listing", with_views(f"""WITH b AS (SELECT doc_id, {Q.norm_code_cols('sec_code', 'n')},
@@ -233,11 +257,17 @@ def q_bin_upsert(spark, sf_dir):
 SELECT DISTINCT b.bin FROM v_facts f JOIN b ON f.docid = b.doc_id WHERE isTextBlock_flg = 0""",
                                      "v_facts", "v_filings"))
 def q_repo_listing(spark, sf_dir):
-    """The bin table's files listed as a table; bins parsed from paths."""
-    facts = _fact_bins_numbers(spark, sf_dir)
-    root = work_dir(spark, "listing")
-    K.write_table(facts, root, partition_by=["bin"])
-    return S.repo_listing(spark, root).select("bin").distinct()
+    """The number bin table's files listed as a table; bins parsed from paths."""
+    return _listed_bins(spark, sf_dir, "numbers")
+
+
+@register("repo_listing_text", with_views(f"""WITH b AS (SELECT doc_id, {Q.norm_code_cols('sec_code', 'n')},
+  {Q.bin_id('edinet_code', 'n_code', 'jcn')} AS bin FROM v_filings)
+SELECT DISTINCT b.bin FROM v_facts f JOIN b ON f.docid = b.doc_id WHERE isTextBlock_flg = 1""",
+                                          "v_facts", "v_filings"))
+def q_repo_listing_text(spark, sf_dir):
+    """The text bin table's files, listed in the same way."""
+    return _listed_bins(spark, sf_dir, "texts")
 
 
 @register("table_roundtrip", with_views(f"WITH {CATALOG_CTE} SELECT * FROM cat", "v_filings"))

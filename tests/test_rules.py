@@ -7,8 +7,11 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from kaiji import fs
 from kaiji.operators import hierarchy as H
+from kaiji.plans import registry
+from kaiji.plans.tables import view
 from kaiji.session import work_dir
 from kaiji.sinks import tables as K
 from kaiji.sources import files as S
@@ -210,3 +213,10 @@ def test_file_helpers(spark, tmp_path):
         f.write(b"abc")
     assert fs.exists(spark, f"{tmp_path}/x/y.bin") and fs.is_dir(spark, f"{tmp_path}/x") and not fs.is_dir(spark, f"{tmp_path}/x/y.bin")
     assert fs.folders(spark, str(tmp_path)) == ["x"] and fs.folders(spark, f"{tmp_path}/none") == []
+
+
+def test_a_release_holds_the_bins_of_both_fact_kinds(spark):
+    rows = {r["table"]: r["read_back"] for r in registry.queries()["delta_merge_release_all"](spark, SF_SMALL).collect()}
+    facts = view(spark, SF_SMALL, "v_facts")
+    for name, flag, keys in (("facts", 0, ["docid", "key", "context_ref"]), ("texts", 1, ["docid", "key"])):
+        assert rows[name] == facts.filter(F.col("isTextBlock_flg") == flag).select(*keys).distinct().count() > 0
