@@ -184,6 +184,26 @@ def test_a_poll_updates_catalog_master_and_names(spark):
     assert sorted(tuple(r) for r in names.collect()) == [("JP:1", "A", "B", "2024-01-03"), ("JP:1", "B", "C", "2024-01-05")]
 
 
+def test_late_states_change_the_names_of_their_code(spark):
+    """Files overlap in time, a code holds a third of the states, and a state comes again, corrected."""
+    folder = work_dir(spark, "t-changes")
+    names = {(1 if i % 3 == 0 else i % 7 + 2, i): "ABC"[i * i % 5 % 3] for i in range(120)}
+    for poll in range(4):
+        rows = [(c, i, n if poll else "B") for (c, i), n in names.items() if i % 4 == poll or poll == 3 and i % 8 == 0]
+        df = spark.createDataFrame(rows, "code long, seq_number long, company_name string")
+        late = F.when(F.lit(poll == 3) & (F.col("seq_number") % 8 == 0), 1).otherwise(0)  # the correction's own second
+        df = df.withColumn("submit_at", F.timestamp_seconds(1_700_000_000 + F.col("seq_number") * 1800 + late))
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    want, last = [], {}
+    for (c, i), n in sorted(names.items(), key=lambda kv: kv[0][1]):
+        n = "B" if i % 8 == 4 else n  # the first poll's states that weren't corrected
+        if last.get(c, n) != n:
+            want.append((c, last[c], n))
+        last[c] = n
+    got = J.change_batches(J.file_stream(spark, folder, "events"), "t-changes", n_buckets=4)
+    assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(want) and len(want) > 20
+
+
 def test_versions_are_read_and_walked_without_limit(spark):
     root = work_dir(spark, "t-versions")
     spark.range(4).write.parquet(f"{root}/v=1")
