@@ -64,8 +64,16 @@ def _system_prompt_sql() -> str:
 FROM conversations WHERE role = 'user'""")
 def q_text_prompts(spark, sf_dir):
     """Prompt pair for every user turn."""
-    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
-    return TX.prompts(c, "text", **PROMPT_ARGS).select("conv_id", "turn", "system_prompt", "user_prompt")
+    return q_text_prompts_all(spark, sf_dir).filter(F.col("role") == "user").drop("role")
+
+
+@register("text_prompts_all", f"""SELECT conv_id, turn, role, {_system_prompt_sql()} AS system_prompt,
+  '{TX.H_TEXT}' || chr(10) || text || chr(10) || chr(10) || '{TX.H_ANSWER}' || chr(10) AS user_prompt
+FROM conversations""")
+def q_text_prompts_all(spark, sf_dir):
+    """Prompt pair for every turn, whatever its role."""
+    c = table(spark, sf_dir, "conversations")
+    return TX.prompts(c, "text", **PROMPT_ARGS).select("conv_id", "turn", "role", "system_prompt", "user_prompt")
 
 
 @register("json_extract", r"""SELECT event_id, len(o) AS n_objects,

@@ -240,3 +240,9 @@ def test_a_release_holds_the_bins_of_both_fact_kinds(spark):
     facts = view(spark, SF_SMALL, "v_facts")
     for name, flag, keys in (("facts", 0, ["docid", "key", "context_ref"]), ("texts", 1, ["docid", "key"])):
         assert rows[name] == facts.filter(F.col("isTextBlock_flg") == flag).select(*keys).distinct().count() > 0
+
+
+def test_every_turn_gets_a_prompt(spark):
+    turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").groupBy("role").count().collect()
+    got = registry.queries()["text_prompts_all"](spark, SF_SMALL).groupBy("role").count().collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, turns)) and len(turns) > 1
