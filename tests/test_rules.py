@@ -155,6 +155,15 @@ def test_late_events_that_arent_repeats_are_kept(spark):
     assert sorted(r["event_id"] for r in out.collect()) == list(range(40))
 
 
+def test_a_repeat_with_another_time_is_absorbed(spark):
+    folder = work_dir(spark, "t-repeats")
+    for hour, ids in ((10, range(0, 10)), (20, [3, 4, 50]), (20, [50]), (1, [4, 60])):
+        rows = spark.createDataFrame([(i,) for i in ids], "event_id long").withColumn("ts", F.to_timestamp(F.lit(f"2024-01-01 {hour:02d}:00:00")))
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    out = J.dedup_batches(J.file_stream(spark, folder, "events"), ["event_id"], "ts", "t-repeat")
+    assert sorted(r["event_id"] for r in out.collect()) == [*range(10), 50, 60]
+
+
 def test_upsert_stream_writes_only_touched_buckets(spark):
     folder = work_dir(spark, "t-upserts")
     for ids, value in ((range(200), 1), ([7], 2), ([7, 300], 3)):
