@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaiji.llm import bpe, langid, mixing, quality, ranking, sharding, simhash, urlrules, vafile, warc
+from kaiji.llm import (bpe, convtrie, langid, mixing, negatives, quality, ranking, setjoin, sharding, simhash, urlrules, vafile,
+                       warc)
 from kaiji.llm.common import read_table, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +205,85 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from preference pairs of labels that aren't held out."""
     scored = ranking.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return scored.withColumnRenamed("id", "doc_id")
+
+
+SET_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS s FROM w),
+c AS (SELECT min(doc_id) AS c, s, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT c, n, unnest(s) AS e FROM c),
+o AS (SELECT a.c AS a, b.c AS b FROM e a JOIN e b ON a.e = b.e AND a.c <> b.c GROUP BY a.c, b.c, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r(a, b) AS (SELECT a, b FROM o UNION SELECT r.a, o.b FROM r JOIN o ON o.a = r.b),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(coalesce(c.c, s.doc_id), coalesce(m.b, c.c, s.doc_id)) AS component_id
+FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN m ON m.a = c.c
+"""
+
+
+@register("op11_size_aware_join", SET_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document: 4-word shingles, Jaccard similarity of 85 % or more."""
+    return setjoin.similar_sets(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+NEGATIVE_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+    list_sum(list_transform(range(1, len(c.vec) + 1), lambda i: c.vec[i] * q.vec[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.vec) = len(q.vec)),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@register("op12_hard_negatives", NEGATIVE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives for each of the five positives of every vector whose id 100 divides."""
+    rows = read_table(spark, sf_dir, "embeddings").filter(vafile.finite(F.col("embedding")) & F.col("label").isNotNull())
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).cast("long")
+    vectors = rows.select(F.col("vec_id").cast("long").alias("id"), label.alias("label"),
+                          F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("long")).alias("vec"))
+    return negatives.hard_negatives(vectors, vectors.filter("id % 100 = 0"), n_positives=5, n_negatives=5, low=80, high=100)
+
+
+TRIE_SQL = """
+WITH RECURSIVE o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, count(*) AS size, xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda d, z: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END)), 4294967295) % 9 AS h FROM o GROUP BY conv_id),
+p AS (SELECT c.conv_id, c.h, b.conv_id AS base, least(c.h, coalesce(b.size, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 5),
+t AS (SELECT p.conv_id, o.pos, o.role, o.text FROM p JOIN o ON o.conv_id = p.base AND o.pos <= p.h
+  UNION ALL SELECT p.conv_id, o.pos - p.h + p.taken, o.role, o.text FROM p JOIN o ON o.conv_id = p.conv_id AND o.pos > p.h),
+l AS (SELECT p.conv_id, coalesce(list({'role': t.role, 'text': t.text} ORDER BY t.pos) FILTER (t.pos IS NOT NULL), []) AS turns
+  FROM p LEFT JOIN t ON t.conv_id = p.conv_id GROUP BY p.conv_id),
+d AS (SELECT conv_id, len(turns) AS size, unnest(range(len(turns) + 1)) AS depth, turns FROM l),
+n AS (SELECT depth, turns[:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '') AS ends,
+    CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(turns[:depth][-1].text)) END AS bytes
+  FROM d GROUP BY depth, turns[:depth]),
+k AS (SELECT u.depth, u.conv_id, count(*) AS n_children FROM n u JOIN n v ON v.depth = u.depth + 1 AND v.path[:u.depth] = u.path GROUP BY ALL),
+x AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, conv_id)),
+y AS (SELECT u.depth, u.conv_id, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.bytes) AS saved_tokens
+  FROM x u JOIN x v ON v.depth >= u.depth AND v.path[:u.depth] = u.path GROUP BY ALL)
+SELECT x.conv_id, x.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, x.n_convs, x.n_children, y.n_leaves::BIGINT AS n_leaves,
+  y.saved_tokens::BIGINT AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM x JOIN y USING (depth, conv_id) LEFT JOIN n q ON q.depth = x.depth - 1 AND q.path = x.path[:x.depth - 1]
+"""
+
+
+@register("op13_prefix_trie", TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt on shared heads."""
+    return convtrie.trie(*convtrie.rebuilt(convtrie.positioned(read_table(spark, sf_dir, "conversations"))))
