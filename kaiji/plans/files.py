@@ -219,10 +219,10 @@ def _upserted_bins(spark, sf_dir, kind: str):
     fact arrives and is upserted into the touched bins only."""
     facts, keys = fact_bins(spark, sf_dir, kind), FACT_KINDS[kind][1]
     root = work_dir(spark, f"bins-{kind}")
-    tbl, stage = os.path.join(root, "table"), os.path.join(root, "stage")
+    tbl = os.path.join(root, "table")
     first = facts.filter(F.col("loaded_at") < F.to_timestamp(F.lit("1999-01-01")))
-    K.upsert_bins(first, tbl, stage + "-1", keys, newest_first())
-    K.upsert_bins(facts, tbl, stage + "-2", keys, newest_first())
+    K.upsert_bins(first, tbl, keys, newest_first())
+    K.upsert_bins(facts, tbl, keys, newest_first())
     return spark.read.parquet(tbl).select(*facts.columns)
 
 

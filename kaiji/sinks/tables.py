@@ -9,14 +9,17 @@ newest verified entry is the published version.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from kaiji.fs import exists
 from kaiji.operators.audit import conform
 
+FILE_ROWS = 1_000_000  # rows of one file of a partition
+
 
 def write_table(df: DataFrame, path: str, schema: StructType | None = None, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
@@ -28,32 +31,41 @@ def write_table(df: DataFrame, path: str, schema: StructType | None = None, mode
     w.parquet(path)
 
 
-def upsert_bins(incoming: DataFrame, table_path: str, staging_path: str, keys: list[str],
-                newest_first: list, bin_col: str = "bin", splits: int = 4) -> None:
-    """K2: merge incoming rows into the bins they touch.
+def replace_partitions(incoming: DataFrame, path: str, part: str, merged: Callable[[DataFrame], DataFrame],
+                       file_rows: int = FILE_ROWS, spread: list[str] | None = None) -> None:
+    """Merge rows into the partitions of a plain Parquet table that they touch, with one write.
 
-    Only touched bins are read (partition pruning via a semi join on the bin
-    list), unioned with the incoming rows, deduplicated newest-first (G2),
-    staged, and then written over exactly those bins with dynamic partition
-    overwrite. Staging first means a bin is never overwritten while it is
-    being read. A bin is dealt to ``splits`` tasks by its row keys (more for larger bins); the second
-    write copies the staged files without a shuffle."""
-    from kaiji.operators.facts import dedupe_facts
+    Only touched partitions are read (pruned at planning time by their list) and united with the
+    incoming rows; ``merged`` makes of both what the partitions shall hold. Dynamic partition
+    overwrite writes new files beside the old ones and swaps each partition after the job, so the old
+    files may be read by the same job, and a failed job leaves them. A histogram of the
+    rows of each partition sets its number of tasks and files: one for each ``file_rows``, dealt
+    by the hash of ``spread`` (else of all columns), so a hot partition isn't one task."""
     spark = incoming.sparkSession
-    touched = incoming.select(bin_col).distinct()
-    cols = incoming.columns
-    merged = incoming
-    if exists(spark, table_path):
-        cur = spark.read.parquet(table_path).join(touched, bin_col, "left_semi").select(*cols)
-        merged = cur.unionByName(incoming)
-    merged = dedupe_facts(merged, [bin_col] + keys, newest_first)
-    spread = F.pmod(F.xxhash64(*keys), F.lit(splits))
-    merged.repartition(F.col(bin_col), spread).write.mode("overwrite").option("compression", "zstd") \
-        .partitionBy(bin_col).parquet(staging_path)
-    staged = spark.read.parquet(staging_path)
-    (staged.select(*cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-     .partitionBy(bin_col).parquet(table_path))
+    cols, rows = incoming.columns, incoming
+    sizes = dict(incoming.groupBy(part).count().collect())  # one row per touched partition
+    if exists(spark, path):
+        here = F.col(part).isin([t for t in sizes if t is not None]) | (F.col(part).isNull() if None in sizes else F.lit(False))
+        cur = spark.read.schema(incoming.schema).parquet(path).filter(here).select(*cols)
+        rows = cur.unionByName(incoming)
+        for value, n in cur.groupBy(part).count().collect():
+            sizes[value] += n
+    large = [(value, -(-n // file_rows)) for value, n in sizes.items() if n > file_rows]
+    done = merged(rows).select(*cols)
+    if large:  # a row for each partition over the size of a file
+        large = spark.createDataFrame(large, StructType([incoming.schema[part], StructField("_files", IntegerType())]))
+        split = F.pmod(F.xxhash64(*(spread or [c for c in cols if c != part])), F.coalesce("_files", F.lit(1)))
+        done = done.join(large, part, "left").withColumn("_split", split).repartition(part, "_split").select(*cols)
+    else:
+        done = done.repartition(part)
+    (done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd").partitionBy(part).parquet(path))
+
+
+def upsert_bins(incoming: DataFrame, table_path: str, keys: list[str], newest_first: list, bin_col: str = "bin") -> None:
+    """K2: merge incoming rows into the bins they touch, newest first (G2), with one write of those bins."""
+    from kaiji.operators.facts import dedupe_facts
+    replace_partitions(incoming, table_path, bin_col, lambda rows: dedupe_facts(rows, [bin_col, *keys], newest_first), spread=keys)
 
 
 def write_delta_chunk(df: DataFrame, staging: str, run_id: str, chunk_id: str, source: str,

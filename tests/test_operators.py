@@ -134,8 +134,8 @@ def test_upsert_bins_twice_is_once(spark, tmp_path):
                                 ("b2", "d2", "k", "c", 1, "z")],
                                "bin string, docid string, key string, context_ref string, ts int, v string")
     order = [-F.col("ts")]
-    K.upsert_bins(df, str(tmp_path / "t"), str(tmp_path / "s1"), ["docid", "key", "context_ref"], order)
-    K.upsert_bins(df, str(tmp_path / "t"), str(tmp_path / "s2"), ["docid", "key", "context_ref"], order)
+    K.upsert_bins(df, str(tmp_path / "t"), ["docid", "key", "context_ref"], order)
+    K.upsert_bins(df, str(tmp_path / "t"), ["docid", "key", "context_ref"], order)
     got = rows(spark.read.parquet(str(tmp_path / "t")), "bin", "docid", "v")
     assert got == [("b1", "d1", "y"), ("b2", "d2", "z")]
 

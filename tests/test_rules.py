@@ -16,6 +16,7 @@ from kaiji.session import work_dir
 from kaiji.sinks import tables as K
 from kaiji.sources import files as S
 from kaiji.sources import xbrl as X
+from kaiji.streaming import changes as C
 from kaiji.streaming import jobs as J
 
 CHAIN = [(f"k{i:02d}", f"k{i + 1:02d}", "r", 1.0) for i in range(40)]
@@ -171,8 +172,11 @@ def test_upsert_stream_writes_only_touched_buckets(spark):
         rows.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
     out = J.upsert_batches(J.file_stream(spark, folder, "events"), ["id"], ["value"], "t-upsert", n_buckets=16)
     assert {r["id"]: r["value"] for r in out.collect()} == {i: 1 for i in range(200)} | {7: 3, 300: 3}
-    read = {f.split("/v=")[1].split("/")[0] for f in out.inputFiles()}
-    assert len(read) > 1  # untouched buckets are still those of the first batch
+    written = {}
+    for f in out.inputFiles():
+        written.setdefault(f.split("/part=")[1].split("/")[0], set()).add(f.rsplit("/", 1)[1].split("-", 2)[2])
+    jobs = {j.split(".")[0].rsplit("-", 1)[0] for js in written.values() for j in js}
+    assert len(jobs) > 1  # untouched partitions are still those of the first batch
 
 
 def test_a_poll_updates_catalog_master_and_names(spark):
@@ -209,7 +213,7 @@ def test_late_states_change_the_names_of_their_code(spark):
         if last.get(c, n) != n:
             want.append((c, last[c], n))
         last[c] = n
-    got = J.change_batches(J.file_stream(spark, folder, "events"), "t-changes", n_buckets=4)
+    got = C.change_batches(J.file_stream(spark, folder, "events"), "t-changes")
     assert sorted(tuple(r)[:3] for r in got.collect()) == sorted(want) and len(want) > 20
 
 
