@@ -132,20 +132,21 @@ FILL_BY_DOCUMENT = ("decimals", "precision", "context_ref", "unit", "period_star
 FILL_BY_KEY = ("element_name", "isTextBlock_flg", "abstract_flg", "label_jp")
 
 
-def fill_forward(df: DataFrame, key: str, order: list[str], cols: list[str], bucket: Column) -> DataFrame:
+def fill_forward(df: DataFrame, key: str, order: list[str], cols: list[str], bucket: Column, split: DataFrame | None = None) -> DataFrame:
     """G7 (D12 fixed: per key, not global): carry the last non-NULL value of
     each column forward in ``order`` within ``key``.
 
     ``bucket`` must be non-decreasing in ``order``. The fill runs inside
     (key, bucket) partitions; values carried across buckets come from a
     per-bucket summary (partial aggregate), so a huge key is split across
-    tasks instead of sorted in one. ``order`` sees the values before the fill."""
+    tasks instead of sorted in one. ``order`` sees the values before the fill.
+    ``split`` lists the keys that lie in several buckets, if that is known: only they carry."""
     b = "_fb"
     d = df.withColumn(b, bucket)
     w_in = Window.partitionBy(key, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ordk = F.struct(*[F.col(c) for c in order])
     summ_aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordk)).alias(f"_last_{c}") for c in cols]
-    summary = d.groupBy(key, b).agg(*summ_aggs)
+    summary = (d if split is None else d.join(split, key, "left_semi")).groupBy(key, b).agg(*summ_aggs)
     w_b = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(key, b, *[F.last(f"_last_{c}", ignorenulls=True).over(w_b).alias(f"_carry_{c}")
                                        for c in cols])
@@ -157,7 +158,9 @@ def fill_forward_ranges(df: DataFrame, key: str, order: list[str], cols: list[st
     """G7 for keys of any size and values: the buckets are the ranges of a sampled range partitioning on
     (key, order). ``stage`` writes the ranges to the shared folder, so that a lost task can't move a row."""
     ranged = stage(df.repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id()))
-    return fill_forward(ranged, key, order, cols, F.col("_range")).drop("_range")
+    spans = ranged.groupBy(key).agg(F.min("_range").alias("lo"), F.max("_range").alias("hi")).filter("lo < hi")
+    split = stage(spans.select(key))  # at most one key for each border of two ranges
+    return fill_forward(ranged, key, order, cols, F.col("_range"), split).drop("_range")
 
 
 def accounting_standard(facts: DataFrame, catalog: DataFrame, std_key: str, newest: list[Column],
