@@ -35,13 +35,6 @@ def strip(c) -> Column:
     return F.trim(col_(c).cast("string"), F.lit(PY_WHITESPACE))
 
 
-def strip_solid(c) -> Column:
-    """``strip`` that leaves texts alone whose first and last characters are printable ASCII: most are."""
-    s = col_(c)
-    solid = lambda x: (x >= "!") & (x < "\x7f")  # noqa: E731  by its first byte
-    return F.when(solid(s) & solid(F.substring(s, -1, 1)), s).otherwise(strip(s))
-
-
 def _after(s: Column, sep: str) -> Column:
     """Substring after the first ``sep`` (whole string when absent)."""
     return s.substr(F.instr(s, sep) + F.lit(1), F.lit(1 << 30))

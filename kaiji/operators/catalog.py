@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kaiji.functions.codes import normalize_code, strip, strip_solid
+from kaiji.functions.codes import normalize_code, strip
 from kaiji.functions.dates import fiscal_year, is_amendment, num_months, parse_datetime, repo_path
 
 # Status precedence (lower wins); unknown statuses rank 99.
@@ -71,13 +71,6 @@ def promote_parsed(catalog: DataFrame, failed_bins: DataFrame, bin_col: str = "b
         .otherwise(st)).drop("_fb")
 
 
-#: Text fields of a record in which blank means NULL.
-BLANK_NULL = ("jcn", "filer_name", "filer_name_en", "filer_name_kana", "edinet_code", "issuer_edinet_code", "subject_edinet_code",
-              "subsidiary_edinet_code", "fund_code", "period_start", "period_end", "title", "form_code", "ordinance_code", "parent_doc_id",
-              "withdrawal_status", "doc_info_edit_status", "disclosure_status", "legal_status", "current_report_reason", "raw_zip_path",
-              "pdf_path", "english_path", "attach_path", "ope_date_time")
-
-
 def catalog_record(filings: DataFrame) -> DataFrame:
     """Filing-list rows to catalog records of 41 fields (plus P2, P10-P12) and the path of the archive.
 
@@ -87,13 +80,9 @@ def catalog_record(filings: DataFrame) -> DataFrame:
     def raw(c):
         return F.col(c) if c in filings.columns else F.lit(None).cast("string")
 
-    # One lambda over all texts: a trim for each column would make a method too long for the JIT compiler.
-    texts = [c for c in dict.fromkeys(BLANK_NULL) if c in filings.columns]
-    trimmed = F.transform(F.array(*[F.col(c).cast("string") for c in texts]), lambda x: F.nullif(strip_solid(x), F.lit("")))
-    filings = filings.withColumn("_texts", trimmed)
-
     def blank_null(c, out=None):
-        return (F.col("_texts")[texts.index(c)] if c in texts else F.lit(None).cast("string")).alias(out or c)
+        s = strip(raw(c))
+        return F.when(s != "", s).alias(out or c)
 
     def flag(c, out=None):
         return F.coalesce(raw(c) == "1", F.lit(False)).alias(out or c)

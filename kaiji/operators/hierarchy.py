@@ -89,8 +89,12 @@ def display_order_grouped(edges: DataFrame, wanted: DataFrame, group: tuple[str,
 
     The top ancestors of the wanted keys are numbered 1..n by key (D18);
     a child's order is its parent's order + child_order * 0.01^depth. Rows are
-    kept for the wanted keys and their direct children; a node reachable by
-    several paths keeps one row per path; a path ends where a cycle closes."""
+    kept for the wanted keys and their direct children.
+
+    Relaxation by levels over states (tree, root, key, depth): a key that a root reaches by
+    several paths of one length keeps the smallest order of them, so the paths aren't
+    enumerated; in a tree each key has one state a root. Edges of a cycle that lead back, to a key that a
+    walk by levels from the roots meets no later than their parent, are cut, so every walk ends."""
     from pyspark.sql import Window
     g = list(group)
     e = _cut(edges.select(*g, "parent_key", "child_key", F.coalesce("child_order", F.lit(1.0)).alias("co"))
@@ -99,20 +103,20 @@ def display_order_grouped(edges: DataFrame, wanted: DataFrame, group: tuple[str,
     tops = top_ancestors(edges, group)
     roots = (tops.join(w, g + ["key"], "left_semi").select(*g, F.col("top_key").alias("parent_key")).distinct())
     # Roots per tree are few (a taxonomy has a handful per role).
-    roots = roots.withColumn("ord", F.row_number().over(Window.partitionBy(*g).orderBy("parent_key"))
-                             .cast("double"))
+    roots = roots.withColumn("root", F.row_number().over(Window.partitionBy(*g).orderBy("parent_key")))
     keep = w.unionByName(e.join(w.withColumnRenamed("key", "parent_key"), g + ["parent_key"], "left_semi")
                          .select(*g, F.col("child_key").alias("key"))).distinct()
-    out = frontier = (roots.join(e, g + ["parent_key"])
-                      .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(1)) + F.col("ord")).alias("ord"),
-                              F.lit(1).alias("lvl"), F.array("parent_key", "child_key").alias("path")))
+    looped = _on_cycles(e.select(*g, "parent_key", "child_key"), group)
+    if looped is not None:
+        e = _cut(_without_back_edges(e, looped, roots, g))
+    out = frontier = (roots.join(e, g + ["parent_key"]).groupBy(*g, "root", "child_key")
+                      .agg(F.min(F.col("co") * F.pow(F.lit(0.01), F.lit(1)) + F.col("root")).alias("ord")).withColumn("lvl", F.lit(1)))
     depth = 1
     while True:
         depth += 1
-        step = (frontier.select(*g, F.col("child_key").alias("parent_key"), "ord", "path").join(e, g + ["parent_key"])
-                .filter(~F.array_contains("path", F.col("child_key")))
-                .select(*g, "child_key", (F.col("co") * F.pow(F.lit(0.01), F.lit(depth)) + F.col("ord")).alias("ord"),
-                        F.lit(depth).alias("lvl"), F.concat("path", F.array("child_key")).alias("path")))
+        step = (frontier.select(*g, "root", F.col("child_key").alias("parent_key"), "ord").join(e, g + ["parent_key"])
+                .groupBy(*g, "root", "child_key").agg(F.min(F.col("co") * F.pow(F.lit(0.01), F.lit(depth)) + F.col("ord")).alias("ord"))
+                .withColumn("lvl", F.lit(depth)))
         step = _cut(step)
         if step.isEmpty():
             break
@@ -122,6 +126,40 @@ def display_order_grouped(edges: DataFrame, wanted: DataFrame, group: tuple[str,
             .select(*g, F.col("child_key").alias("key"), F.round("ord", 10).alias("order"), "lvl"))
 
 
+def _on_cycles(edges: DataFrame, group: tuple[str, ...]) -> DataFrame | None:
+    """The edges that lie on a cycle, None without any. Edges to keys without children and from keys
+    without parents go round by round; only what is left, if anything, is walked for its cycles."""
+    g, left, n = list(group), edges.distinct(), -1
+    while True:
+        left = _cut(left.join(left.select(*g, F.col("parent_key").alias("child_key")).distinct(), g + ["child_key"], "left_semi"))
+        left = _cut(left.join(left.select(*g, F.col("child_key").alias("parent_key")).distinct(), g + ["parent_key"], "left_semi"))
+        was, n = n, left.count()
+        if n == 0:
+            return None
+        if n == was:
+            back = descendants(left, group).select(*g, F.col("key").alias("child_key"), F.col("descendant").alias("parent_key"))
+            return _cut(left.join(back, g + ["parent_key", "child_key"], "left_semi"))
+
+
+def _without_back_edges(edges: DataFrame, looped: DataFrame, roots: DataFrame, g: list[str]) -> DataFrame:
+    """``edges`` without those of cycles (``looped``) that don't lead away from the roots: a key's first level
+    comes from a walk by levels, and an edge on a cycle stays if its child's first level is the greater."""
+    first = frontier = _cut(roots.select(*g, F.col("parent_key").alias("key"), F.lit(0).alias("lvl")).distinct())
+    depth = 0
+    while True:
+        depth += 1
+        step = (frontier.select(*g, F.col("key").alias("parent_key")).join(edges, g + ["parent_key"])
+                .select(*g, F.col("child_key").alias("key"), F.lit(depth).alias("lvl")).distinct())
+        step = _cut(step.join(first, g + ["key"], "left_anti"))
+        if step.isEmpty():
+            break
+        first, frontier = first.unionByName(step), step
+    at = lambda name: first.select(*g, F.col("key").alias(f"{name}_key"), F.col("lvl").alias(f"{name}_lvl"))
+    back = (looped.join(at("parent"), g + ["parent_key"]).join(at("child"), g + ["child_key"])
+            .filter("child_lvl <= parent_lvl").select(*g, "parent_key", "child_key"))
+    return edges.join(back, g + ["parent_key", "child_key"], "left_anti")
+
+
 def first_calc_edges(calc: DataFrame) -> DataFrame:
     """H6: one weighted calculation edge per (parent, child); the first arc stays."""
     return calc.groupBy("parent_key", "child_key").agg(

@@ -97,12 +97,26 @@ def json_objects_valid(objs: Column) -> Column:
     return F.forall(objs, lambda x: F.from_json(x, "map<string,string>").isNotNull())
 
 
+def dimension_item(dim_ja, mem_ja, dim_en, mem_en, dim_id, mem_id) -> Column:
+    """One dimension of a scenario: its axis and member in Japanese, English and as ids."""
+    return F.struct(F.array(col_(dim_ja), col_(mem_ja)).alias("ja"), F.array(col_(dim_en), col_(mem_en)).alias("en"),
+                    F.array(col_(dim_id), col_(mem_id)).alias("id"))
+
+
 def dimension_json(dim_ja, mem_ja, dim_en, mem_en, dim_id, mem_id) -> Column:
     """P20: one-dimension scenario as compact JSON ``[{"ja":[..],"en":[..],"id":[..]}]``;
     NULL when there is no member."""
-    item = F.struct(F.array(col_(dim_ja), col_(mem_ja)).alias("ja"), F.array(col_(dim_en), col_(mem_en)).alias("en"),
-                    F.array(col_(dim_id), col_(mem_id)).alias("id"))
-    return F.when(col_(mem_id).isNotNull(), F.to_json(F.array(item)))
+    return F.when(col_(mem_id).isNotNull(), F.to_json(F.array(dimension_item(dim_ja, mem_ja, dim_en, mem_en, dim_id, mem_id))))
+
+
+def dimension_members(scenario) -> Column:
+    """P20 backwards: a scenario as an array of (dimension from 1, axis and member in each language and as id).
+
+    Read through VARIANT, so an item may lack a language or hold other types (NULL there); a text that
+    isn't a JSON array gives no dimension."""
+    items = F.coalesce(F.try_variant_get(F.try_parse_json(col_(scenario)), "$", "array<variant>"), F.array().cast("array<variant>"))
+    part = lambda x, name, at: F.try_variant_get(x, f"$.{name}[{at}]", "string").alias(f"{'member' if at else 'axis'}_{name}")
+    return F.transform(items, lambda x, i: F.struct((i + 1).alias("dimension"), *[part(x, n, at) for n in ("ja", "en", "id") for at in (0, 1)]))
 
 
 def anomaly_status(docs: DataFrame, entries: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -84,7 +84,7 @@ def q_json_extract(spark, sf_dir):
     """P27 over every event payload."""
     e = table(spark, sf_dir, "events").select("event_id", TX.json_objects("props").alias("o"))
     return e.select("event_id", F.size("o").cast("bigint").alias("n_objects"), TX.json_objects_valid(F.col("o")).alias("all_valid"),
-                    F.get_json_object(F.col("o")[0], "$.k").try_cast("bigint").alias("k"))
+                    F.get_json_object(F.get("o", F.lit(0)), "$.k").try_cast("bigint").alias("k"))
 
 
 @register("dimension_json", with_views("""SELECT docid, key, context_ref,
@@ -101,6 +101,22 @@ def q_dimension_json(spark, sf_dir):
     return f.select("docid", "key", "context_ref", js.alias("scenario"))
 
 
+@register("dimension_members", with_views("""SELECT docid, key, context_ref, n AS dimension, CASE n WHEN 1 THEN '連結個別' ELSE '項目' END AS axis_ja,
+  CASE n WHEN 1 THEN m ELSE 'Acct' END AS member_ja, CASE n WHEN 1 THEN 'ConsolidatedOrNonConsolidatedAxis' ELSE 'AccountAxis' END AS axis_en,
+  CASE n WHEN 1 THEN m ELSE key END AS member_en, CASE n WHEN 1 THEN 'jppfs_cor_' || m ELSE key END AS member_id
+FROM (SELECT docid, key, context_ref, regexp_extract(context_ref, '_([A-Za-z]+Member)$', 1) AS m FROM v_facts) f, (VALUES (1), (2)) d(n)
+WHERE m <> ''""", "v_facts"))
+def q_dimension_members(spark, sf_dir):
+    """P20 both ways: scenario JSON of two dimensions for each fact's member, parsed back to a row per dimension."""
+    f = view(spark, sf_dir, "v_facts").withColumn("m", F.regexp_extract("context_ref", "_([A-Za-z]+Member)$", 1)).filter("m <> ''")
+    one = TX.dimension_item(F.lit("連結個別"), F.col("m"), F.lit("ConsolidatedOrNonConsolidatedAxis"), F.col("m"),
+                            F.lit("jppfs_cor_ConsolidatedOrNonConsolidatedAxis"), F.concat(F.lit("jppfs_cor_"), F.col("m")))
+    two = TX.dimension_item(F.lit("項目"), F.lit("Acct"), F.lit("AccountAxis"), F.col("key"), F.lit("AccountAxis"), F.col("key"))
+    f = f.withColumn("scenario", F.to_json(F.array(one, two)))
+    return f.select("docid", "key", "context_ref", F.inline(TX.dimension_members(F.col("scenario")))).select(
+        "docid", "key", "context_ref", "dimension", "axis_ja", "member_ja", "axis_en", "member_en", "member_id")
+
+
 def _entries(spark, sf_dir):
     """Archive listing per document from its line items (fixture)."""
     li = table(spark, sf_dir, "lineitem")

@@ -39,8 +39,8 @@ def replace_partitions(incoming: DataFrame, path: str, part: str, merged: Callab
     incoming rows; ``merged`` makes of both what the partitions shall hold. Dynamic partition
     overwrite writes new files beside the old ones and swaps each partition after the job, so the old
     files may be read by the same job, and a failed job leaves them. A histogram of the
-    rows of each partition sets its number of tasks and files: one for each ``file_rows``, dealt
-    by the hash of ``spread`` (else of all columns), so a hot partition isn't one task."""
+    rows of each partition sets into how many parts it is dealt, one for each ``file_rows``, by the hash of
+    ``spread`` (else of all columns), so a hot partition isn't one task; no file has more than ``file_rows``."""
     spark = incoming.sparkSession
     cols, rows = incoming.columns, incoming
     sizes = dict(incoming.groupBy(part).count().collect())  # one row per touched partition
@@ -59,7 +59,7 @@ def replace_partitions(incoming: DataFrame, path: str, part: str, merged: Callab
     else:
         done = done.repartition(part)
     (done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "zstd").partitionBy(part).parquet(path))
+     .option("maxRecordsPerFile", file_rows).option("compression", "zstd").partitionBy(part).parquet(path))
 
 
 def upsert_bins(incoming: DataFrame, table_path: str, keys: list[str], newest_first: list, bin_col: str = "bin") -> None:

@@ -259,3 +259,86 @@ def test_every_turn_gets_a_prompt(spark):
     turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").groupBy("role").count().collect()
     got = registry.queries()["text_prompts_all"](spark, SF_SMALL).groupBy("role").count().collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, turns)) and len(turns) > 1
+
+
+def test_display_order_of_shared_subtrees_has_one_row_a_state(spark):
+    """A ladder of diamonds has 2^20 paths, and twenty states of its ends."""
+    edges, want = [], []
+    for i in range(20):
+        for side, order in (("a", 1.0), ("b", 2.0)):
+            edges += [(f"n{i}", f"{side}{i}", "r", order), (f"{side}{i}", f"n{i + 1}", "r", order)]
+        want.append(f"n{i + 1}")
+    df = spark.createDataFrame(edges, "parent_key string, child_key string, role string, child_order double")
+    rows = H.display_order(df, spark.createDataFrame([(k,) for k in want], "key string"), "r").collect()
+    ends = {r["key"]: r["lvl"] for r in rows if r["key"] in want}
+    assert ends == {f"n{i + 1}": 2 * (i + 1) for i in range(20)} and len(rows) == 20 + 2 * 19
+    low = next(r["order"] for r in rows if r["key"] == "n1")
+    assert low == round(1 + 1.0 * 0.01 + 1.0 * 0.0001, 10)  # the smaller of the two ways
+
+
+def test_payloads_without_an_object(spark):
+    from kaiji.operators import text as TX
+    rows = spark.createDataFrame([('{"k": 1} {"k": 2}',), ("",), ("no object",), (None,)], "p string")
+    o = TX.json_objects("p")
+    got = rows.select(F.size(o), F.get_json_object(F.get(o, F.lit(0)), "$.k")).collect()
+    assert [tuple(r)[1] for r in got] == ["1", None, None, None]
+
+
+def test_scenarios_are_read_back(spark):
+    from kaiji.operators import text as TX
+    rows = [(1, '[{"ja":["軸","員"],"en":["Axis","M"],"id":["a","m"]},{"en":["B","N"]}]'), (2, "no json"), (3, None), (4, "{}"), (5, "[]"),
+            (6, '[{"id":[1,{"x":2}]},7]')]
+    df = spark.createDataFrame(rows, "i int, s string")
+    got = [tuple(r) for r in df.select("i", F.inline(TX.dimension_members("s"))).collect()]
+    assert got[:2] == [(1, 1, "軸", "員", "Axis", "M", "a", "m"), (1, 2, None, None, "B", "N", None, None)]
+    assert [r[:2] for r in got[2:]] == [(6, 1), (6, 2)] and got[2][6] == "1"
+
+
+def test_the_first_of_differing_repeats_stays(spark):
+    folder = work_dir(spark, "t-first")
+    for rows in ([(1, 5, "b"), (1, 5, "a"), (2, 9, "x")], [(1, 4, "z"), (2, 9, "x"), (2, 30, "w")]):
+        df = spark.createDataFrame(rows, "event_id long, minute int, v string")
+        df = df.withColumn("ts", F.timestamp_seconds(F.col("minute") * 60 + 1_700_000_000)).drop("minute")
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    out = J.dedup_batches(J.file_stream(spark, folder, "events"), ["event_id"], "ts", "t-first")
+    assert sorted((r["event_id"], r["v"]) for r in out.collect()) == [(1, "z"), (2, "x")]
+
+
+def test_late_observations_are_settled_like_the_batch(spark):
+    """Three kinds of one hot code and others; rows come in time, a poll late, and far behind the watermark."""
+    import random
+    rnd = random.Random(4)
+    rows = [("k" + str(i % 3), 1 if i % 3 else i % 7, i * 700, i, rnd.choice(["A", "B"]), rnd.choice([0.0, 1.0, None])) for i in range(300)]
+    folder = work_dir(spark, "t-observed")
+    poll = lambda r: min(3, r[3] // 75 + (3 if r[3] % 20 == 0 else 1 if r[3] % 10 == 0 else 0))
+    for p in range(4):
+        df = spark.createDataFrame([r for r in rows if poll(r) == p], "kind string, code long, s long, seq long, text string, number double")
+        df = df.withColumn("ts", F.timestamp_seconds(F.col("s") + 1_700_000_000)).withColumn("kind", F.expr(
+            "CASE kind WHEN 'k0' THEN 'name' WHEN 'k1' THEN 'listing' ELSE 'weight' END"))
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/seen.parquet")
+    got = C.state_changes(J.file_stream(spark, folder, "seen"), "t-states", "14 hours")
+    kinds, last, want = {"k0": "name", "k1": "listing", "k2": "weight"}, {}, []
+    for k, code, _, _, text, number in sorted(rows, key=lambda r: r[2]):
+        old, kind = last.get((k, code)), kinds[k]
+        last[k, code] = (text, number)
+        if kind == "name":
+            kind = "NAME" if old and old[0] != text else None
+        elif kind == "listing":
+            was = old[1] if old else None
+            kind = ("LISTING" if number == 1 else None) if not old else "DELISTING" if (was, number) == (1, 0) else "LISTING" if (was, number) == (0, 1) else None
+        else:
+            kind = None if not old or old[1] == number else "ADD" if old[1] is None else "REMOVE" if number is None else "UPDATE"
+        if kind:
+            want.append((kinds[k], str(code), kind, number if kinds[k] != "name" else text))
+    have = [(r["kind"], r["code"], r["type"], r["new_text"] if r["kind"] == "name" else r["new_number"]) for r in got.collect()]
+    assert sorted(have, key=repr) == sorted(want, key=repr) and len(want) > 60
+
+
+def test_a_large_partition_is_several_files(spark):
+    from kaiji.sinks import tables as K
+    root = work_dir(spark, "t-files")
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 40)).alias("part"))
+    for _ in range(2):
+        K.replace_partitions(rows, root, "part", lambda r: r.distinct(), file_rows=250)
+    files = [f.split("part=")[1].split("/")[0] for f in spark.read.parquet(root).inputFiles()]
+    assert spark.read.parquet(root).count() == 3000 and files.count("hot") >= 3 and max(files.count(x) for x in files if x != "hot") == 1
