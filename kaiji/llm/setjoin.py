@@ -119,16 +119,16 @@ def _set_rows(words: int, percent: int):
 
 # ---- pruning and order ----------------------------------------------------
 
-def _shared(rows: DataFrame, by: str) -> DataFrame:
-    """Elements ``h`` that two sets hold."""
-    return rows.groupBy("h").agg(F.min(by).alias("lo"), F.max(by).alias("hi")).filter("lo <> hi").select("h")
+def _shared(rows: DataFrame) -> DataFrame:
+    """Elements ``h`` of more than one row. Rows of equal sets count apart, which only keeps more sets."""
+    return rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select("h")
 
 
 def _survivors(sets: DataFrame, percent: int) -> DataFrame:
     """One row (num, n, items) for each distinct set that the pruning can't rule out."""
     share = F.ceil(need(F.col("n"), percent) * FIRST_SHARE / 100).cast("int")  # also of the smallest partner's part
     rows = sets.filter("n > 0").select("mark", share.alias("least"), F.explode("first").alias("h"))
-    seen = rows.join(_shared(rows, "mark"), "h").groupBy("mark", "least").count()
+    seen = rows.join(_shared(rows), "h").groupBy("mark", "least").count()
     marks = stage(seen.filter("count >= least").select("mark").distinct(), "sets-marks")
     if marks.count() <= BROADCAST_SETS:
         marks = F.broadcast(marks)
@@ -137,7 +137,7 @@ def _survivors(sets: DataFrame, percent: int) -> DataFrame:
     n = alive.count()
     while n:
         rows = alive.select("num", "n", F.explode("items").alias("h"))
-        held = rows.join(_shared(rows, "num"), "h").groupBy("num", "n").count()
+        held = rows.join(_shared(rows), "h").groupBy("num", "n").count()
         nums = stage(held.filter(F.col("count") >= need(F.col("n"), percent)).select("num"), "sets-nums")
         was, n = n, nums.count()
         if n < was:
