@@ -111,37 +111,58 @@ def _set_rows(words: int, percent: int):
                 sides = [_sums(_mix(elements ^ np.uint64(salt)), sizes) for salt in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)]
                 key = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(sizes), [None, pa.py_buffer(np.column_stack(sides).tobytes())])
                 yield pa.record_batch([batch.column("id").slice(at, len(texts)), pa.array(sizes.astype(np.int32)), key.cast(pa.binary()),
-                                       pa.array(sides[0].view(np.int64)), _lists(elements[in_first], first),
-                                       _lists(elements[~in_first], sizes - first)], names=["id", "n", "key", "mark", "first", "rest"])
+                                       _lists(elements[in_first], first), _lists(elements[~in_first], sizes - first)],
+                                      names=["id", "n", "key", "first", "rest"])
 
     return run
 
 
 # ---- pruning and order ----------------------------------------------------
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Elements ``h`` of more than one row. Rows of equal sets count apart, which only keeps more sets."""
-    return rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select("h")
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, sorted by ``h``, whose ``h`` stands in a row beside them; both ends of the task's range count as such."""
+    held, alike = [np.zeros(0, np.int64)] * 3, True  # the last row, whose successor isn't known yet; whether its predecessor is alike
+    for batch in batches:
+        num, least, h = (np.concatenate([a, batch.column(c).to_numpy()]) for a, c in zip(held, ("num", "least", "h")))
+        if not len(h):
+            continue
+        same = h[1:] == h[:-1]
+        shared = np.concatenate([[alike], same])
+        alike = bool(shared[-1])
+        shared[:-1] |= same
+        out = np.flatnonzero(shared[:-1])
+        yield pa.record_batch([pa.array(num[out], pa.int64()), pa.array(least[out].astype(np.int32))], names=["num", "least"])
+        held = [num[-1:], least[-1:], h[-1:]]
+    if len(held[0]):
+        yield pa.record_batch([pa.array(held[0], pa.int64()), pa.array(held[1].astype(np.int32))], names=["num", "least"])
+
+
+def _sharing(rows: DataFrame) -> DataFrame:
+    """Sets ``num`` that share ``least`` of their elements ``h`` with others.
+
+    Rows move once, in ranges of (h, num), so an element of many sets lies in many tasks.
+    An element at an end of a range counts as shared, which only keeps more sets.
+    """
+    shared = rows.repartitionByRange("h", "num").sortWithinPartitions("h").mapInArrow(_alike, "num long, least int")
+    return shared.groupBy("num", "least").count().filter("count >= least").select("num")
+
+
+def _only(sets: DataFrame, nums: DataFrame) -> DataFrame:
+    return sets.join(F.broadcast(nums) if nums.count() <= BROADCAST_SETS else nums, "num", "left_semi")
 
 
 def _survivors(sets: DataFrame, percent: int) -> DataFrame:
-    """One row (num, n, items) for each distinct set that the pruning can't rule out."""
+    """One row (num, key, n, items) for each distinct set that the pruning can't rule out."""
+    one = stage(sets.filter("n > 0").groupBy("key").agg(F.min("num").alias("num")).select("num"), "sets-nums")  # of equal sets
     share = F.ceil(need(F.col("n"), percent) * FIRST_SHARE / 100).cast("int")  # also of the smallest partner's part
-    rows = sets.filter("n > 0").select("mark", share.alias("least"), F.explode("first").alias("h"))
-    seen = rows.join(_shared(rows), "h").groupBy("mark", "least").count()
-    marks = stage(seen.filter("count >= least").select("mark").distinct(), "sets-marks")
-    if marks.count() <= BROADCAST_SETS:
-        marks = F.broadcast(marks)
-    kept = sets.join(marks, "mark", "left_semi").filter("n > 0").dropDuplicates(["key"])
-    alive = stage(kept.select(F.monotonically_increasing_id().alias("num"), "key", "n", F.concat("first", "rest").alias("items")), "sets-kept")
-    n = alive.count()
+    nums = stage(_sharing(_only(sets, one).select("num", share.alias("least"), F.explode("first").alias("h"))), "sets-nums")
+    alive = stage(_only(sets, nums).select("num", "key", "n", F.concat("first", "rest").alias("items")), "sets-kept")
+    n = nums.count()
     while n:
-        rows = alive.select("num", "n", F.explode("items").alias("h"))
-        held = rows.join(_shared(rows), "h").groupBy("num", "n").count()
-        nums = stage(held.filter(F.col("count") >= need(F.col("n"), percent)).select("num"), "sets-nums")
+        nums = stage(_sharing(alive.select("num", need(F.col("n"), percent).alias("least"), F.explode("items").alias("h"))), "sets-nums")
         was, n = n, nums.count()
         if n < was:
-            alive = stage(alive.join(F.broadcast(nums) if n <= BROADCAST_SETS else nums, "num", "left_semi"), "sets-kept")
+            alive = stage(_only(alive, nums), "sets-kept")
         if n >= 0.9 * was:
             break
     return alive
@@ -300,7 +321,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  light_upto: int | None = None, unit_elements: int = UNIT_ELEMENTS) -> DataFrame:
     """(id, n_shingles, component_id) for each row; ``light_upto`` sets the boundary instead of its cost."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = stage(rows.mapInArrow(_set_rows(words, percent), "id long, n int, key binary, mark long, first array<long>, rest array<long>"), "sets")
+    sets = rows.mapInArrow(_set_rows(words, percent), "id long, n int, key binary, first array<long>, rest array<long>")
+    sets = stage(sets.withColumn("num", F.monotonically_increasing_id()), "sets")  # numbered once, by the written rows
     alive = _survivors(sets, percent)
     ordered = stage(_ordered(alive, percent), "sets-ordered")
     edges = _checked(alive, ordered, boundary(ordered) if light_upto is None else light_upto, percent, unit_elements)
