@@ -6,7 +6,7 @@ reference's per-row decision function; counts are one grouped aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kaiji.functions.codes import code_core, col_, normalize_code
@@ -26,6 +26,22 @@ R_NO_CODE, R_BAD_LEN, R_HAS_CODE, R_BAD_META = \
 SCOPES = ("All", "Listed", "Unlisted")
 # Annual-report filter (F4): doc type, ordinance, form.
 ANNUAL_REPORT = ("120", "010", "030000")
+# Allowed values (F13): column, values, whether null passes.
+FILING_RULES = (("withdrawal_status", ("0", "1", "2"), False),
+                ("doc_info_edit_status", ("0", "1", "2"), False),
+                ("disclosure_status", ("0", "1", "2", "3"), False),
+                ("xbrl_flag", ("0", "1"), False),
+                ("pdf_flag", ("0", "1"), False),
+                ("attach_flag", ("0", "1"), False),
+                ("english_flag", ("0", "1"), False),
+                ("csv_flag", ("0", "1"), False),
+                ("legal_status", ("0", "1", "2"), False))
+FACT_RULES = (("current_flg", ("0", "1"), True),
+              ("non_consolidated_flg", ("0", "1"), True),
+              ("prior_flg", ("0", "1"), True),
+              ("isTextBlock_flg", ("0", "1"), True),
+              ("abstract_flg", ("0", "1"), True),
+              ("period_type", ("instant", "duration"), False))
 
 
 def _vr(v: str, r: str) -> Column:
@@ -174,3 +190,32 @@ def domain_checks(df: DataFrame, rules: dict[str, tuple]) -> DataFrame:
         bad = ~F.coalesce(F.col(c).cast("string").isin(*[str(a) for a in allowed]), F.lit(False))
         reason = F.when(bad, F.lit(f"bad_{c}")) if reason is None else reason.when(bad, F.lit(f"bad_{c}"))
     return df.withColumn("reject_reason", reason).withColumn("is_valid", F.col("reject_reason").isNull())
+
+
+def broken_rules(rules) -> Column:
+    """names of the columns that break their rule, in the order of ``rules``: array<string>, empty if none does."""
+    def bad(column, values, null_passes):
+        return ~F.coalesce(F.col(column).cast("string").isin(*values), F.lit(null_passes))
+    return F.filter(F.array(*[F.when(bad(*rule), F.lit(rule[0])) for rule in rules]), lambda x: x.isNotNull())
+
+
+def split_by_rules(df: DataFrame, rules, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(good rows, rejects with ``broken_rules``, metrics), in one pass over ``df``.
+
+    ``rules`` holds (column, allowed values, whether null passes). The rows are written to
+    ``path`` once, in a folder for either side; the metrics (``rows``, ``rejects`` and the
+    breaks of each rule by its column) are observed by that write, so nothing is read
+    again to count. Repeated rows stay; an empty table gives two empty ones and zeros.
+    ``df`` may have no column named ``broken_rules`` or ``is_valid``.
+    """
+    if taken := {"broken_rules", "is_valid"} & {c.lower() for c in df.columns}:
+        raise ValueError(f"columns of the input have reserved names: {sorted(taken)}")
+    checked = df.withColumn("broken_rules", broken_rules(rules)).withColumn("is_valid", F.size("broken_rules") == 0)
+    seen = Observation()
+    counts = [F.count_if(F.array_contains("broken_rules", c)).alias(f"rule_{i}") for i, (c, _, _) in enumerate(rules)]
+    observed = checked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("is_valid")).alias("rejects"), *counts)
+    observed.write.partitionBy("is_valid").parquet(path)
+    got = seen.get
+    both = df.sparkSession.read.schema(checked.schema).parquet(path)
+    metrics = {"rows": got["rows"], "rejects": got["rejects"]} | {c: got[f"rule_{i}"] for i, (c, _, _) in enumerate(rules)}
+    return (both.filter("is_valid").drop("broken_rules", "is_valid"), both.filter("not is_valid").drop("is_valid"), metrics)

@@ -137,6 +137,81 @@ def q_domain_checks(spark, sf_dir):
     return d.groupBy("reject_reason", "is_valid").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _rule_sql(column, values, null_passes):
+    allowed = ", ".join(f"'{v}'" for v in values)
+    return f"NOT coalesce(CAST({column} AS VARCHAR) IN ({allowed}), {null_passes})"
+
+
+def _reasons_sql(rules) -> str:
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {_rule_sql(*r)} THEN '{r[0]}' END" for r in rules) + ")"
+
+
+def _rule_counts_sql(rules, src: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{r[0]}' AS rule, count(*) AS n_rows, count(*) FILTER (WHERE {_rule_sql(*r)}) AS n_broken FROM {src}"
+                              for r in rules)
+
+
+def _rule_counts(spark, rules, metrics):
+    return spark.createDataFrame([(c, metrics["rows"], metrics[c]) for c, _, _ in rules], "rule string, n_rows long, n_broken long")
+
+
+FILING_CHECKED = ["doc_id", *[c for c, _, _ in V.FILING_RULES]]
+FACT_CHECKED = ["docid", "key", "context_ref", "src_part", "src_supp", *[c for c, _, _ in V.FACT_RULES]]
+# Fixture flags, some out of their domain, in the same text for both engines.
+FACT_FLAGS = {"current_flg": "CASE WHEN src_supp % 31 = 0 THEN 2 WHEN src_supp % 7 = 0 THEN NULL ELSE src_supp % 2 END",
+              "non_consolidated_flg": "CASE WHEN src_part % 37 = 0 THEN -1 ELSE src_part % 2 END",
+              "prior_flg": "CASE WHEN src_supp % 7 = 0 THEN NULL ELSE src_part % 2 END",
+              "abstract_flg": "CASE WHEN src_part % 41 = 0 THEN 10 ELSE 0 END",
+              "period_type": "CASE WHEN src_part % 23 = 0 THEN 'forever' WHEN src_part % 29 = 0 THEN NULL "
+                             "WHEN src_part % 2 = 0 THEN 'instant' ELSE 'duration' END"}
+FACT_FLAGS_SQL = ("SELECT docid, key, context_ref, src_part, src_supp, isTextBlock_flg, "
+                  + ", ".join(f"{e} AS {c}" for c, e in FACT_FLAGS.items()) + " FROM v_facts")
+
+
+def _split_filings(spark, sf_dir):
+    return V.split_by_rules(view(spark, sf_dir, "v_filings").select(*FILING_CHECKED), V.FILING_RULES, work_dir(spark, "filing-rules"))
+
+
+def _split_facts(spark, sf_dir):
+    facts = _facts(spark, sf_dir).select("docid", "key", "context_ref", "src_part", "src_supp", "isTextBlock_flg",
+                                         *[F.expr(e).alias(c) for c, e in FACT_FLAGS.items()])
+    return V.split_by_rules(facts.select(*FACT_CHECKED), V.FACT_RULES, work_dir(spark, "fact-rules"))
+
+
+def _sides_sql(src: str, rules, columns) -> str:
+    return f"SELECT {', '.join(columns)}, {_reasons_sql(rules)} AS broken_rules FROM {src}"
+
+
+def _sides(good, rejects):
+    return good.withColumn("broken_rules", F.lit("")).unionByName(rejects.withColumn("broken_rules", F.concat_ws(",", "broken_rules")))
+
+
+@register("filing_rules", with_views(_sides_sql("v_filings", V.FILING_RULES, FILING_CHECKED), "v_filings"))
+def q_filing_rules(spark, sf_dir):
+    """good filings, and rejects with every rule that they break."""
+    good, rejects, _ = _split_filings(spark, sf_dir)
+    return _sides(good, rejects)
+
+
+@register("filing_rule_counts", with_views(_rule_counts_sql(V.FILING_RULES, "v_filings"), "v_filings"))
+def q_filing_rule_counts(spark, sf_dir):
+    """breaks of each rule, observed by the write that splits the filings."""
+    return _rule_counts(spark, V.FILING_RULES, _split_filings(spark, sf_dir)[2])
+
+
+@register("fact_rules", with_views(_sides_sql(f"({FACT_FLAGS_SQL})", V.FACT_RULES, FACT_CHECKED), "v_facts"))
+def q_fact_rules(spark, sf_dir):
+    """F13 over fact flags and period type: good facts, and rejects with every rule that they break."""
+    good, rejects, _ = _split_facts(spark, sf_dir)
+    return _sides(good, rejects)
+
+
+@register("fact_rule_counts", with_views(_rule_counts_sql(V.FACT_RULES, f"({FACT_FLAGS_SQL})"), "v_facts"))
+def q_fact_rule_counts(spark, sf_dir):
+    """breaks of each fact rule, observed by the write that splits the facts."""
+    return _rule_counts(spark, V.FACT_RULES, _split_facts(spark, sf_dir)[2])
+
+
 @register("fact_impute", with_views("""SELECT docid, key, context_ref, data_str, decimals,
   TRY_CAST(data_str AS DOUBLE) AS data, len(string_split(context_ref, '_')) AS context_ref_len,
   CASE WHEN data IS NULL THEN 0.0 WHEN data = 0 THEN 0.5 * pow(10.0, -TRY_CAST(decimals AS DOUBLE)) ELSE data END

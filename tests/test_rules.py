@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from kaiji import fs
 from kaiji.operators import hierarchy as H
+from kaiji.operators import verdict as V
 from kaiji.plans import registry
 from kaiji.plans.tables import view
 from kaiji.session import work_dir
@@ -342,3 +343,19 @@ def test_a_large_partition_is_several_files(spark):
         K.replace_partitions(rows, root, "part", lambda r: r.distinct(), file_rows=250)
     files = [f.split("part=")[1].split("/")[0] for f in spark.read.parquet(root).inputFiles()]
     assert spark.read.parquet(root).count() == 3000 and files.count("hot") >= 3 and max(files.count(x) for x in files if x != "hot") == 1
+
+
+def test_rules_split_rows_and_count_breaks(spark):
+    rules = (("a", ("0", "1"), False), ("b", ("x",), True))
+    rows = [(1, "0", "x"), (2, None, None), (3, "2", "y"), (3, "2", "y"), (4, "1", None), (None, "", "X")]
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    good, rejects, metrics = V.split_by_rules(df, rules, work_dir(spark, "rules"))
+    assert good.columns == df.columns
+    assert sorted(r["id"] for r in good.collect()) == [1, 4]
+    got = sorted(((r["id"], tuple(r["broken_rules"])) for r in rejects.collect()), key=repr)
+    assert got == [(2, ("a",)), (3, ("a", "b")), (3, ("a", "b")), (None, ("a", "b"))]
+    assert metrics == {"rows": 6, "rejects": 4, "a": 4, "b": 3}
+    good, rejects, metrics = V.split_by_rules(df.limit(0), rules, work_dir(spark, "rules"))
+    assert (good.count(), rejects.count(), metrics) == (0, 0, {"rows": 0, "rejects": 0, "a": 0, "b": 0})
+    with pytest.raises(ValueError):
+        V.split_by_rules(df.withColumn("Is_Valid", F.lit(1)), rules, work_dir(spark, "rules"))
