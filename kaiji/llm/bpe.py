@@ -8,6 +8,9 @@ over a binary tree. ``join`` re-encodes only a window at the boundary:
   two pattern matches, and no match looks across it (white space only leads a
   match; the only lookahead is over a run of white space). So the window reaches
   from the last such place left of the boundary to the first one right of it.
+* Matches of the window are found on stand-ins: each non-ASCII character is replaced by
+  one of its class, and the library itself is asked for that class, so its Unicode
+  version counts. The pattern may tell non-ASCII characters apart only as letters, numbers, white space and others.
 * Inside the window, matches that begin and end alike in the halves and in the
   whole keep their tokens.
 * One match cut in two joins token by token: the window of re-encoded tokens
@@ -41,6 +44,28 @@ from pyspark.sql import functions as F
 CUT = re.compile(r"\S[ \t-\r]")  # a match ends inside, after the visible character
 
 
+class Classes(dict):
+    """Table for ``str.translate``: any non-ASCII code point to one stand-in of its class, as the library classes it.
+
+    A code point is a letter, a number or another visible character if the library puts it
+    into one match with ``a``, ``1`` or ``!``; the probing vocabulary merges just that pair of bytes.
+    """
+
+    STAND_INS = {"a": "\u00e9", "1": "\u0663", "!": "\u3002"}
+    WHITE = "\u3000"
+
+    def __init__(self, pattern: str):
+        super().__init__((i, i) for i in range(128))
+        ranks = {bytes([i]): i for i in range(256)}
+        ranks |= {p.encode() + bytes([i]): 256 * k + i for k, p in enumerate(self.STAND_INS, 1) for i in range(256)}
+        self.probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def __missing__(self, code: int) -> str:
+        joins = (s for p, s in self.STAND_INS.items() if self.probe.encode_ordinary(p + chr(code))[0] >= 256)
+        self[code] = found = next(joins, self.WHITE)
+        return found
+
+
 class TreeTokenizer:
     """Encoder and decoder for one rank file. ``leaf_chars``: longest text encoded in one go."""
 
@@ -49,7 +74,7 @@ class TreeTokenizer:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bytes_of = {i: b for b, i in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.classes = regex.compile(pattern), Classes(pattern)
         self.leaf_chars = max(1, leaf_chars)
         self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.stable = lru_cache(1 << 16)(self._stable)
@@ -106,9 +131,10 @@ class TreeTokenizer:
 
     def _window(self, text: str, mid: int, left: list[int], right: list[int]) -> list[int]:
         """Ids of ``text``, given those of its parts before and after ``mid``."""
-        spans = [m.span() for m in self.pattern.finditer(text)]
-        spans_l = [m.span() for m in self.pattern.finditer(text[:mid])]
-        spans_r = [(s + mid, e + mid) for s, e in (m.span() for m in self.pattern.finditer(text[mid:]))]
+        plain = text.translate(self.classes)
+        spans = [m.span() for m in self.pattern.finditer(plain)]
+        spans_l = [m.span() for m in self.pattern.finditer(plain[:mid])]
+        spans_r = [(s + mid, e + mid) for s, e in (m.span() for m in self.pattern.finditer(plain[mid:]))]
         a = 0
         while a < min(len(spans), len(spans_l)) and spans[a] == spans_l[a]:
             a += 1

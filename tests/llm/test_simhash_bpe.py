@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -127,6 +128,28 @@ def test_long_runs_join_by_windows(tokenizers):
         assert tokenizers[3].encode(text).tolist() == tokenizers[3].bpe.encode_ordinary(text)
 
 
+def test_joins_class_every_code_point_as_the_library_does():
+    """Code points that the ``regex`` package and the library class differently, at joins of any offset."""
+    classes = bpe.Classes(public_tokenizers.PATTERN)
+    kind = {c: k for k, c in enumerate((*classes.STAND_INS.values(), classes.WHITE))}
+    points = [c for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000]
+    theirs = bytes(kind[classes[c]] for c in points)
+    text = "".join(map(chr, points))
+    ours = bytearray(b"\x02" * len(points))
+    for k, p in ((0, r"\p{L}"), (1, r"\p{N}"), (3, r"\s")):
+        for m in regex.finditer(p, text):
+            ours[m.start()] = k
+    odd = [chr(c) for c, a, b in zip(points, theirs, ours) if a != b]
+    assert odd and theirs.count(0) > 100_000
+    rng = random.Random(8)
+    for leaf in (1, 2, 3, 7, 16, 64):
+        tok = bpe.TreeTokenizer(RANKS, public_tokenizers.PATTERN, leaf)
+        for at in range(0, len(odd), 60):
+            part = [rng.choice(("", "a", "1", "!", "é", "'s", " ", "")) + c for c in odd[at:at + 60]]
+            text = "x" * rng.randrange(5) + "".join(part)
+            assert tok.encode(text).tolist() == tok.bpe.encode_ordinary(text), (leaf, at)
+
+
 def test_unreachable_tokens_stay_exact(tmp_path):
     """A vocabulary whose longest token no merge makes: only a whole match becomes it."""
     import base64
