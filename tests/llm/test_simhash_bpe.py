@@ -1,6 +1,8 @@
 """SimHash groups against all pairs, and tree BPE against the library on whole texts."""
 
+import base64
 import hashlib
+import itertools
 import random
 
 import brute
@@ -128,7 +130,7 @@ def test_long_runs_join_by_windows(tokenizers):
         assert tokenizers[3].encode(text).tolist() == tokenizers[3].bpe.encode_ordinary(text)
 
 
-def test_joins_class_every_code_point_as_the_library_does():
+def test_joins_class_every_code_point_as_the_library_does(tmp_path):
     """Code points that the ``regex`` package and the library class differently, at joins of any offset."""
     classes = bpe.Classes(public_tokenizers.PATTERN)
     kind = {c: k for k, c in enumerate((*classes.STAND_INS.values(), classes.WHITE))}
@@ -141,9 +143,12 @@ def test_joins_class_every_code_point_as_the_library_does():
             ours[m.start()] = k
     odd = [chr(c) for c, a, b in zip(points, theirs, ours) if a != b]
     assert odd and theirs.count(0) > 100_000
+    pairs = [bytes([i]) for i in range(256)] + [bytes([a, i]) for a in b"a1!" for i in range(256)]  # merges that show where a match ends
+    path = tmp_path / "pairs"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" " + str(i).encode() for i, t in enumerate(pairs)))
     rng = random.Random(8)
-    for leaf in (1, 2, 3, 7, 16, 64):
-        tok = bpe.TreeTokenizer(RANKS, public_tokenizers.PATTERN, leaf)
+    for ranks, leaf in itertools.product((RANKS, str(path)), (1, 2, 3, 7, 16, 64)):
+        tok = bpe.TreeTokenizer(ranks, public_tokenizers.PATTERN, leaf)
         for at in range(0, len(odd), 60):
             part = [rng.choice(("", "a", "1", "!", "é", "'s", " ", "")) + c for c in odd[at:at + 60]]
             text = "x" * rng.randrange(5) + "".join(part)
@@ -152,7 +157,6 @@ def test_joins_class_every_code_point_as_the_library_does():
 
 def test_unreachable_tokens_stay_exact(tmp_path):
     """A vocabulary whose longest token no merge makes: only a whole match becomes it."""
-    import base64
     ranks = [bytes([i]) for i in range(256)] + [b"ab", b"xyz"]
     path = tmp_path / "ranks"
     path.write_bytes(b"\n".join(base64.b64encode(t) + b" " + str(i).encode() for i, t in enumerate(ranks)))
