@@ -27,11 +27,28 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+def _arrow(path: str) -> tuple[pafs.FileSystem, str]:
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
+def files(path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the data files under ``path`` in order, without hidden ones and markers; none if it doesn't exist."""
+    fs, at = _arrow(path)
+    found = fs.get_file_info(pafs.FileSelector(at, recursive=True, allow_not_found=True))
+    prefix = path.rstrip("/").removesuffix(at.rstrip("/"))
+    return sorted((prefix + f.path, f.size) for f in found if f.type == pafs.FileType.File and not f.base_name.startswith(("_", ".")))
+
+
+def open_input(path: str):
+    """A binary input stream for a task; ``path`` may have a scheme."""
+    fs, at = _arrow(path)
+    return fs.open_input_stream(at)
+
+
 def open_output(path: str):
     """A binary output stream for a task; ``path`` may have a scheme."""
-    if path.startswith("file:"):
-        fs, at = pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    else:
-        fs, at = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    fs, at = _arrow(path)
     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
     return fs.open_output_stream(at)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from kaiji.functions.codes import bin_id, normalize_code
 from kaiji.functions.dates import repo_path
 from kaiji.operators import audit as AU
+from kaiji.operators import digest as D
 from kaiji.operators import indices as IX
 from kaiji.operators.catalog import catalog_record
 from kaiji.plans import sqlfrag as Q
@@ -73,13 +74,16 @@ def _filing_bins(spark, sf_dir, filings=None):
                .select("doc_id", bin_id("edinet_code", "code", "jcn").alias("bin_id")))
 
 
-def _bins(spark, sf_dir, filings=None):
+def _bin_sides(spark, sf_dir, filings=None):
     f, fb = _filing_bins(spark, sf_dir, filings)
     ok = known_status(f).filter(F.col("processed_status") == "success").select("doc_id")
     expected = fb.join(ok, "doc_id")
     docs = view(spark, sf_dir, "v_facts").select(F.col("docid").alias("doc_id")).distinct()
-    actual = fb.join(docs, "doc_id")
-    return AU.bin_audit(expected, actual)
+    return expected, fb.join(docs, "doc_id")
+
+
+def _bins(spark, sf_dir, filings=None):
+    return AU.bin_audit(*_bin_sides(spark, sf_dir, filings))
 
 
 @register("audit_bins", with_views(f"WITH {BINS_SQL} SELECT * FROM bins", "v_filings", "v_facts"))
@@ -88,6 +92,12 @@ def q_audit_bins(spark, sf_dir):
     return _bins(spark, sf_dir)
 
 
+@register("audit_bins_digest", with_views(f"WITH {BINS_SQL} SELECT * FROM bins", "v_filings", "v_facts"))
+def q_audit_bins_digest(spark, sf_dir):
+    """M8 + J11 by digests: bins whose documents agree never reach the join."""
+    return D.bin_audit_by_digest(*_bin_sides(spark, sf_dir))
+
+
 REPO_SQL = """repo AS (SELECT DISTINCT {path} AS p FROM v_filings, (VALUES ('zip', 3), ('pdf', 4)) k(kind, n)
   WHERE seq_number % n <> 0)"""
 REPO_PATH_SQL = f"CASE WHEN kind = 'zip' THEN {Q.repo_path('doc_id', 'submit_at')} ELSE {Q.repo_path('doc_id', 'submit_at', 'pdf')} END"
@@ -206,6 +216,14 @@ def q_audit_drift(spark, sf_dir):
     return _drift(spark, sf_dir)
 
 
+@register("audit_drift_digest", with_views(f"WITH {DRIFT_SQL} SELECT * FROM drift", "v_filings"))
+def q_audit_drift_digest(spark, sf_dir):
+    """M9 + J10 by digests of each day: days on which catalog and API agree are not joined."""
+    f = view(spark, sf_dir, "v_filings")
+    catalog, api = (d.withColumn("day", F.to_date("submit_at")) for d in (f, _api(f)))
+    return D.drift_by_digest(catalog, api, "day")
+
+
 @register("audit_drift_repair", with_views(f"""WITH {DRIFT_SQL},
 fx AS (SELECT doc_id, {", ".join(f"max(CASE WHEN field = '{f}' THEN api_value END) AS fx_{f}" for f in AU.DRIFT_FIELDS)}
   FROM drift GROUP BY doc_id)

@@ -20,6 +20,7 @@ from kaiji.plans.tables import table, view, with_views
 from kaiji.session import work_dir
 from kaiji.sinks import tables as K
 from kaiji.sources import files as S
+from kaiji.sources import indices as X3
 
 
 RESPONSE_SIZE = 1000
@@ -82,6 +83,33 @@ def q_index_csv(spark, sf_dir):
     return out.withColumn("snap_key", F.col("snap_key").cast("string"))
 
 
+_INDEX_NO = "(length(index_name) + ascii(right(index_name, 1))) % 5"
+_INDEX_HEADERS = (("コード", "ウエイト"), ("コード", "ウエート"), ("Code", "Weight"), ("銘柄コード", "ウェイト"),
+                  ("コード", "TOPIXに占める個別銘柄のウエイト"))
+
+
+@register("index_sources", with_views(f"""SELECT ['{"', '".join(X3.INDICES)}'][{_INDEX_NO} + 1] AS index_name,
+  CAST(CAST(snap_month AS DATE) AS VARCHAR) AS snap_key, 'JP:13' || lpad(regexp_replace(code, '[^0-9]', '', 'g'), 2, '0') || '0' AS code,
+  CAST(printf('%.4f', weight * 100) AS DOUBLE) AS weight FROM v_index_snapshots""", "v_index_snapshots"))
+def q_index_sources(spark, sf_dir):
+    """X3 + S5: files of five indices, each with its own header words, read back by the registered reader of each."""
+    s = view(spark, sf_dir, "v_index_snapshots").withColumn("snap_key", F.to_date("snap_month").cast("string"))
+    code = F.concat(F.lit("13"), F.lpad(F.regexp_replace("code", "[^0-9]", ""), 2, "0"))
+    base, out = work_dir(spark, "index-sources"), None
+    for no, (index, (code_head, weight_head)) in enumerate(zip(X3.INDICES, _INDEX_HEADERS)):
+        part = s.filter(F.expr(_INDEX_NO) == no)
+        mark = F.when((F.length("index_name") % 2 == 0) & F.lit(X3.INDICES[index].decimal_codes), ".0").otherwise("")
+        rows = part.select("snap_key", F.col("snap_key").alias("日付"), F.lit("銘柄").alias("銘柄名"), F.concat(code, mark).alias(code_head),
+                           F.format_string("%.4f%%", F.col("weight") * 100).alias(weight_head))
+        notes = part.select("snap_key").distinct().select("snap_key", F.lit("※ 注記").alias("日付"),
+                                                          *[F.lit(None).cast("string").alias(c) for c in ("銘柄名", code_head, weight_head)])
+        (rows.unionByName(notes).write.mode("overwrite").option("header", True).option("encoding", S.CSV_ENCODING)
+         .partitionBy("snap_key").csv(f"{base}/{index}"))
+        got = X3.read_index(spark, index, f"{base}/{index}")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def _code_list_lines(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kaiji.functions.codes import normalize_code
 from kaiji.operators import master as M
+from kaiji.operators.graph import split_identities
 from kaiji.plans import sqlfrag as Q
 from kaiji.plans.registry import register
 from kaiji.plans.tables import table, view, with_views
@@ -44,6 +45,19 @@ def q_identity_keys(spark, sf_dir):
     return M.identity_keys(_entities(spark, sf_dir)).select("ordinal", "priority", "identity_key")
 
 
+@register("split_identities", with_views(f"""WITH RECURSIVE {IDS_SQL},
+n AS (SELECT ik, list_filter(['0:' || jcn, '1:' || edinet_code, '2:' || code], lambda x: x IS NOT NULL) AS ks FROM ids),
+e AS (SELECT DISTINCT ks[1] AS u, unnest(ks) AS v FROM n), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+reach AS (SELECT DISTINCT u AS node, u AS root FROM b UNION
+  SELECT b.v, reach.root FROM reach JOIN b ON reach.node = b.u WHERE reach.root < b.v),
+g AS (SELECT r.root AS group_key, n.ik AS identity_key, count(*) AS n_records FROM n
+  JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON n.ks[1] = r.node GROUP BY 1, 2)
+SELECT *, count(*) OVER (PARTITION BY group_key) AS n_identities FROM g QUALIFY n_identities > 1""", "v_entities"))
+def q_split_identities(spark, sf_dir):
+    """M1 check: records that their keys connect, over any chain, but that the ordered passes of G6 leave apart."""
+    return split_identities(M.identity_keys(_entities(spark, sf_dir)))
+
+
 @register("null_identity", with_views("""SELECT count(*) FILTER (WHERE coalesce(edinet_code, code, jcn) IS NULL)
   AS n_without_identity FROM v_entities""", "v_entities"))
 def q_null_identity(spark, sf_dir):
