@@ -103,8 +103,8 @@ def q_index_sources(spark, sf_dir):
                            F.format_string("%.4f%%", F.col("weight") * 100).alias(weight_head))
         notes = part.select("snap_key").distinct().select("snap_key", F.lit("※ 注記").alias("日付"),
                                                           *[F.lit(None).cast("string").alias(c) for c in ("銘柄名", code_head, weight_head)])
-        (rows.unionByName(notes).write.mode("overwrite").option("header", True).option("encoding", S.CSV_ENCODING)
-         .partitionBy("snap_key").csv(f"{base}/{index}"))
+        (rows.unionByName(notes).repartition("snap_key").write.mode("overwrite").option("header", True)
+         .option("encoding", S.CSV_ENCODING).partitionBy("snap_key").csv(f"{base}/{index}"))
         got = X3.read_index(spark, index, f"{base}/{index}")
         out = got if out is None else out.unionByName(got)
     return out
@@ -127,7 +127,7 @@ def _code_list_lines(spark, sf_dir):
     head = spark.createDataFrame([("ダウンロード実行日,2024年06月01日,件数,1",),
                                   ("ＥＤＩＮＥＴコード,提出者種別,上場区分,連結の有無,資本金,決算日,提出者名,"
                                    "提出者名（英字）,提出者名（ヨミ）,所在地,提出者業種,証券コード,提出者法人番号",)], "value string")
-    return head.coalesce(1).unionByName(data).coalesce(1)  # one file: preamble, header, data
+    return head.coalesce(1), data
 
 
 @register("code_list", """SELECT edinet_code, '内国法人' AS submitter_type,
@@ -149,34 +149,37 @@ def q_code_list(spark, sf_dir):
     """S7 + P6: the official code list (preamble line, 13 columns) read back:
     short codes dropped, zero security codes blanked, numbers as safe integers."""
     path = work_dir(spark, "code-list")
-    _code_list_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    head, data = _code_list_lines(spark, sf_dir)
+    data.write.mode("overwrite").text(path)
+    head.write.mode("append").text(path)  # a file of its own, so the data are written by many tasks
     return S.read_code_list(spark, path, encoding="UTF-8").select(
         "edinet_code", "submitter_type", "is_listed_edinet", "is_consolidated", "capital", "settlement_date", "company_name",
         "company_name_en", "address", "sec_code", "jcn", "industry")
 
 
 @register("aggregation_list", """WITH a AS (
-  SELECT CAST(n_nationkey * 10 AS BIGINT) AS pos, 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS old_code,
-    CASE WHEN n_nationkey % 5 = 0 THEN 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0')
-         ELSE 'E' || lpad(CAST(n_regionkey AS VARCHAR), 5, '0') END AS new_code FROM nation
-  UNION ALL SELECT CAST(n_nationkey * 10 + 5 AS BIGINT), 'E1' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0'), 'E99999'
-    FROM nation WHERE n_nationkey % 4 = 0)
+  SELECT CAST(c_custkey * 10 AS BIGINT) AS pos, 'E' || CAST(c_custkey % 90000 + 10000 AS VARCHAR) AS old_code,
+    CASE WHEN c_custkey % 5 = 0 THEN 'E' || CAST(c_custkey % 90000 + 10000 AS VARCHAR)
+         ELSE 'E' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS new_code FROM customer
+  UNION ALL SELECT CAST(c_custkey * 10 + 5 AS BIGINT), 'E' || CAST(c_custkey % 90000 + 10000 AS VARCHAR), 'E99999'
+    FROM customer WHERE c_custkey % 4 = 0)
 SELECT old_code, arg_max(new_code, pos) AS new_code FROM a
 WHERE old_code <> new_code GROUP BY old_code""")
 def q_aggregation_list(spark, sf_dir):
     """Code aggregation list (preamble, positional columns); self maps
-    dropped, a repeated old code keeps its last row."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
-    old = F.concat(F.lit("E1"), F.lpad(k.cast("string"), 4, "0"))
-    new = F.when(k % 5 == 0, old).otherwise(F.concat(F.lit("E"), F.lpad(F.col("n_regionkey").cast("string"), 5, "0")))
+    dropped, a repeated old code keeps its last row. The lines are sorted by ranges
+    into many files, whose names keep the order."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    old = F.concat(F.lit("E"), (k % 90000 + 10000).cast("string"))
+    new = F.when(k % 5 == 0, old).otherwise(F.concat(F.lit("E"), F.lpad(F.col("c_nationkey").cast("string"), 5, "0")))
     day = F.lit("2024年06月01日")
-    rows = n.select((k * 10).alias("pos"), day.alias("a"), old.alias("b"), new.alias("c")).unionByName(
-        n.filter(k % 4 == 0).select((k * 10 + 5).alias("pos"), day.alias("a"), old.alias("b"), F.lit("E99999").alias("c")))
+    rows = c.select((k * 10).alias("pos"), day.alias("a"), old.alias("b"), new.alias("c")).unionByName(
+        c.filter(k % 4 == 0).select((k * 10 + 5).alias("pos"), day.alias("a"), old.alias("b"), F.lit("E99999").alias("c")))
     head = spark.createDataFrame([("集約一覧", "2024年06月01日", None), ("集約日", "旧コード", "新コード")], "a string, b string, c string")
-    path = work_dir(spark, "agg-list")  # one file in the legacy encoding: preamble, header, lines in order
-    (head.coalesce(1).unionByName(rows.orderBy("pos").drop("pos").coalesce(1)).coalesce(1)
-     .write.mode("overwrite").option("encoding", S.CSV_ENCODING).csv(path))
+    path = work_dir(spark, "agg-list")
+    rows.orderBy("pos").drop("pos").write.mode("overwrite").option("encoding", S.CSV_ENCODING).csv(path)
+    head.coalesce(1).write.mode("append").option("encoding", S.CSV_ENCODING).csv(path)  # preamble and header: a file of their own
     return S.read_aggregation_list(spark, path)
 
 
@@ -388,6 +391,21 @@ def q_index_pipeline(spark, sf_dir):
     return IX.append_history(earlier, IX.index_events(stored, min_rows=24, tol=1.0))
 
 
+@register("version_read", """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_totalprice FROM orders
+WHERE year(o_orderdate) <= (SELECT max(year(o_orderdate)) - 2 FROM orders)""")
+def q_version_read(spark, sf_dir):
+    """A table of which every year's run stored a whole new version, read as of two versions before the newest."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").cast("string").alias("o_orderdate"), "o_totalprice")
+    year = F.year("o_orderdate")
+    newest = o.agg(F.max(year)).first()[0]
+    if newest is None:
+        return o
+    root = work_dir(spark, "revisions")
+    for v in range(newest - 3, newest + 1):
+        o.filter(year <= v).write.mode("overwrite").parquet(f"{root}/v={v}")
+    return S.load_version(spark, root, S.versions(spark, root)[-3], o.schema)
+
+
 @register("latest_healthy_version", """SELECT year(o_orderdate) - 1994 AS version, count(*) AS n_rows FROM orders
 WHERE year(o_orderdate) - 1994 = (SELECT max(year(o_orderdate) - 1994) FROM orders) GROUP BY 1""")
 def q_latest_healthy_version(spark, sf_dir):

@@ -286,9 +286,20 @@ def q_worker_balance(spark, sf_dir):
 WHERE r.doc_id NOT IN (SELECT doc_id FROM v_filings)""", "v_filings"))
 def q_requested_not_found(spark, sf_dir):
     """F8: requested ids (every even id up to twice the range) missing from the list."""
+    return _requested(spark, sf_dir)[1]
+
+
+def _requested(spark, sf_dir):
     req = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("S"), F.lpad((F.col("o_orderkey") * 2).cast("string"), 7, "0")).alias("doc_id"))
-    return V.requested_docs(view(spark, sf_dir, "v_filings"), req)[1]
+    return V.requested_docs(view(spark, sf_dir, "v_filings"), req)
+
+
+@register("requested_found", with_views("""SELECT doc_id, sec_code, filer_name, doc_type FROM v_filings
+WHERE doc_id IN (SELECT concat('S', lpad(CAST(o_orderkey * 2 AS VARCHAR), 7, '0')) FROM orders)""", "v_filings"))
+def q_requested_found(spark, sf_dir):
+    """F8: the listed filings among the requested ids."""
+    return _requested(spark, sf_dir)[0].select("doc_id", "sec_code", "filer_name", "doc_type")
 
 
 @register("fetch_ranges", """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders
