@@ -291,3 +291,27 @@ def test_copies_of_a_labelled_document_teach_once(spark):
     assert sorted(good[:, 0]) == list(range(1, 60, 2)) and sorted(bad[:, 0]) == list(range(0, 60, 2))
     spread = spark.range(5000).select((F.col("id") % 2).alias("id"), F.array(*[F.col("id").cast("double")] * len(ranking.NAMES)).alias("x"))
     assert [len(t) for t in ranking.training_tables(spread, labels, most=100)] == [100, 100]
+
+
+def test_every_labelled_document_teaches(spark):
+    """Sums of tables find the model of all rows, wherever the steps start, with ranges of documents and ties among strengths."""
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 3 == 0), rng.normal(0.4 * (i % 3 == 0), 1, len(ranking.NAMES)).round(2).tolist()) for i in range(900)]
+    rows += [(900 + i, i % 2, rows[0][2]) for i in range(60)]
+    known = spark.createDataFrame([(i, x) for i, _, x in rows + rows[:30]], "id long, x array<double>")
+    labels = spark.createDataFrame([(i, q) for i, q, _ in rows], "id long, label int")
+    want = ranking.Ranking.fit(*ranking.training_tables(known, labels))
+    for most, group in ((20, 50), (5000, 10_000)):
+        ranking.GROUP_ROWS, before = group, ranking.GROUP_ROWS
+        try:
+            got = ranking.Ranking.fit_all(known, labels, most=most)
+        finally:
+            ranking.GROUP_ROWS = before
+        for a, b in ((got.mean, want.mean), (got.spread, want.spread), (got.weights, want.weights), (got.cut, want.cut)):
+            assert np.allclose(a, b, rtol=1e-7, atol=1e-9)
+
+
+def test_nth_smallest_is_exact(spark):
+    values = [0.0] * 5 + [1e-300, 1.0, 1.0 + 2**-52, 3.0, 1e6, 1e6, -7.5]
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    assert [ranking.nth(df, k) for k in range(1, len(values) + 1)] == sorted(values)
