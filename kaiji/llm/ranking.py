@@ -36,7 +36,7 @@ from kaiji.llm.quality import COMMON_WORDS
 from kaiji.llm.textstats import CLASSES, Slice, slices
 
 MAX_LABELLED = 10_000  # documents of each label that the first weights are of
-GROUP_ROWS = 10_000  # documents numbered by one window
+GROUP_ROWS = 2_000  # documents numbered by one window
 PAIRS_EACH = 2
 FUNCTION_WORDS = sorted({w for words in COMMON_WORDS.values() for w in words})
 NAMES = ("log_words", "word_length", "distinct", "repeated", "duplicate_lines", "lines", "function_words", *CLASSES)
