@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kaiji.functions.codes import normalize_code, null_sentinel, parent_code, strip
+from kaiji.functions.codes import NULL_SENTINELS, normalize_code, parent_code, strip
 from kaiji.operators.catalog import latest_first, latest_wins
 from kaiji.session import checkpoint_dir
 
@@ -159,8 +159,9 @@ def golden_record(rows: DataFrame, attrs: list[str], ts: str = "last_submitted_a
     value in that order. Flags: listed = any listed; explicitly unlisted =
     has an EDINET row, some listed value and none true; active = not
     explicitly unlisted and (listed or from the exchange list)."""
-    order = F.struct(F.col(ts).isNotNull(), F.col(ts), F.col(priority), -F.col(pos))
     cols = [c for c in rows.columns if c != "identity_key"]
+    # a column, not an expression: each row's order is built once, not for every attribute
+    rows, order = rows.withColumn("_ord", F.struct(F.col(ts).isNotNull(), F.col(ts), F.col(priority), -F.col(pos))), F.col("_ord")
     aggs = [F.max_by(F.struct(*cols), order).alias("_top")]
     aggs += [F.max_by(F.col(a), F.when(F.col(a).isNotNull(), order)).alias(f"_a_{a}") for a in attrs]
     aggs += [F.bool_or(F.coalesce(F.col("is_listed_edinet"), F.lit(False))).alias("_listed"),
@@ -271,8 +272,9 @@ def sync_master(current: DataFrame, code_list: DataFrame, exchange: DataFrame, a
     incoming = stage(with_parent_code(incoming))
     run_ids = incoming.select(F.explode(F.array("jcn", "edinet_code", "code")).alias("id")).filter("id is not null")
     incoming = inherit_attributes(incoming, master, attrs)
-    for c in SENTINEL_ATTRIBUTES:
-        incoming = incoming.withColumn(c, null_sentinel(c))
+    # in a step of its own, of one expression a column: each attribute is trimmed once
+    incoming = incoming.withColumns({c: strip(c) for c in SENTINEL_ATTRIBUTES}).withColumns(
+        {c: F.when(~F.lower(c).isin(*NULL_SENTINELS), F.col(c)) for c in SENTINEL_ATTRIBUTES})
     incoming = (incoming.withColumn("is_listed_edinet", F.coalesce("is_listed_edinet", F.lit(False)))
                 .filter(F.col("company_name").isNotNull() & F.coalesce("edinet_code", "code").isNotNull()))
     states = stage(shaped(master, 0, False).unionByName(incoming))
