@@ -199,11 +199,11 @@ def test_golden_record_builds_each_order_once(spark):
     from kaiji.operators.master import golden_record
     attrs = [f"a{i}" for i in range(8)]
     df = spark.range(20).select(
-        (F.col("id") % 4).alias("identity_key"), F.lit("t").alias("ts"), F.lit(1).alias("priority"), F.col("id").alias("pos"),
+        (F.col("id") % 4).alias("identity_key"), F.when(F.col("id") > 3, "t").alias("ts"), F.lit(1).alias("priority"), F.col("id").alias("pos"),
         *[F.when(F.col("id") % (i + 2) == 0, F.col("id")).alias(a) for i, a in enumerate(attrs)], F.lit("E1").alias("edinet_code"),
         F.lit(True).alias("is_listed_edinet"), F.lit(False).alias("source_jpx"))
     out = golden_record(df, attrs, ts="ts")
-    assert [r.a0 for r in out.orderBy("identity_key").collect()] == [0, None, 2, None]
+    assert [r.a0 for r in out.orderBy("identity_key").collect()] == [4, None, 6, None]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("isnotnull(ts") == 1
 
 
