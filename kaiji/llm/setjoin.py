@@ -11,10 +11,12 @@ elements within their first ``n - need(n) + c`` elements, for every c.
    fewer than ``need(n)`` others has no partner. A first round looks at the part
    of each set with the smallest hashes (where a partner shares a stated number),
    later rounds at whole sets of what is left, until a round drops little.
-2. **Order.** What stays is ordered by frequency, rarest first.
-3. **Light sets** (up to a size) enumerate the subsets of two elements of their
-   first ``n - need(n) + 2``; **heavy sets** scan the inverted lists of their first
-   ``n - need(n) + 1``, in which all sets stand. The boundary is the size with the
+2. **Order.** What stays is ordered by frequency, rarest first, and cut to the first
+   ``n - need(n) + 2``. Elements that stand in the same cut sets are one class (they
+   lead to the same partners), and those of one cut set alone go.
+3. **Light sets** (up to a size) enumerate the subsets of two elements of their cut,
+   by class; **heavy sets** scan the inverted lists of their first
+   ``n - need(n) + 1``, by class, in which all sets stand. The boundary is the size with the
    least total cost: subsets written against list entries read, summed by size.
 4. **Check.** Sets that any chain of subsets or lists connects form a cluster;
    clusters are dealt in units of bounded size (a large cluster as pairs of its
@@ -168,7 +170,7 @@ def _survivors(sets: DataFrame, percent: int) -> DataFrame:
     return alive
 
 
-def _ordered(alive: DataFrame, percent: int) -> DataFrame:
+def _cut(alive: DataFrame, percent: int) -> DataFrame:
     """(num, n, one, two): the shared elements among the first n - need + 1 (and + 2), rarest first, as (df, h)."""
     rows = alive.select("num", "n", F.explode("items").alias("h"))
     held = rows.join(rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "h").groupBy("num", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
@@ -178,6 +180,27 @@ def _ordered(alive: DataFrame, percent: int) -> DataFrame:
     return held.select("num", "n", cut(1).alias("one"), cut(2).alias("two"))
 
 
+def _classed(cut: DataFrame) -> DataFrame:
+    """(num, n, one, two) as of ``_cut`` with the classes of its elements: each once, in ``two`` twice if it has two elements there.
+
+    A class holds the elements of the same lists (cut sets that an element stands in), ``df`` is their length. Two sets that
+    share an element, or two, share its class, or both, so none is lost, and a collision of lists only adds to what is compared.
+    """
+    at = cut.select("num", "n", F.size("one").alias("upto"), F.posexplode("two").alias("pos", "x")).select("num", "n", "upto", "pos", "x.h")
+    same = F.xxhash64(F.bit_xor(F.xxhash64(F.lit(1), "num")), F.bit_xor(F.xxhash64(F.lit(2), "num")), F.count("*"))
+    lists = at.groupBy("h").agg(F.count("*").alias("df"), same.alias("class")).filter("df > 1")
+    found = at.join(lists, "h").groupBy("num", "n", "class").agg(
+        F.min("df").alias("df"), (F.min("pos") < F.min("upto")).alias("in_one"), (F.count("*") > 1).alias("twice"))
+    item = F.struct("df", F.col("class").alias("h"))
+    return found.groupBy("num", "n").agg(F.collect_list(F.when(F.col("in_one"), item)).alias("one"),
+                                         F.concat(F.collect_list(item), F.collect_list(F.when(F.col("twice"), item))).alias("two"))
+
+
+def _ordered(alive: DataFrame, percent: int) -> DataFrame:
+    """(num, n, one, two): the classes of elements by which each set may find a partner, as (df, h)."""
+    return _classed(stage(_cut(alive, percent), "sets-cut"))
+
+
 # ---- light and heavy sets -------------------------------------------------
 
 def boundary(ordered: DataFrame) -> int:
@@ -204,8 +227,8 @@ def _heavy(light_upto: int, percent: int) -> Column:
 
 def _members(ordered: DataFrame, heavy: Column) -> DataFrame:
     """(bucket, num, asks, low): sets in the subsets and lists that connect two of them; ``low`` is a bucket's smallest."""
-    pairs = F.flatten(F.transform("two", lambda x, i: F.transform(
-        F.slice("two", i + 2, F.size("two")), lambda y: F.xxhash64(F.lit(2), x["h"], y["h"]))))
+    pairs = F.array_distinct(F.flatten(F.transform("two", lambda x, i: F.transform(
+        F.slice("two", i + 2, F.size("two")), lambda y: F.xxhash64(F.lit(2), F.least(x["h"], y["h"]), F.greatest(x["h"], y["h"]))))))
     subsets = ordered.filter(~heavy).select("num", F.lit(True).alias("asks"), F.explode(pairs).alias("bucket"))
     lists = ordered.select("num", heavy.alias("asks"), F.explode(F.transform("one", lambda x: F.xxhash64(F.lit(1), x["h"]))).alias("bucket"))
     rows = subsets.union(lists)

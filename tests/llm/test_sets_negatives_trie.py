@@ -83,6 +83,18 @@ def test_set_join_splits_large_clusters(spark):
     assert sorted((tuple(r) for r in out.collect()), key=repr) == brute_components(rows)
 
 
+def test_elements_of_the_same_sets_are_one_class(spark):
+    """Each pair of near copies shares the 17 elements of its cut, which stand in the same two sets: one subset, not 136."""
+    rows = [(2 * i + k, 2 * i + k, 200, [1000 * i + j for j in range(185)] + [1000 * i + 200 + 100 * k + j for j in range(15)])
+            for i in range(5) for k in (0, 1)]
+    alive = spark.createDataFrame([(i, str(i), n, items) for i, _, n, items in rows], "num long, key string, n int, items array<long>")
+    ordered = setjoin._ordered(alive, 85).cache()
+    members = setjoin._members(ordered, F.lit(False))
+    assert members.count() <= 4 * len(rows) and members.select("num").distinct().count() == len(rows)
+    edges = setjoin._checked(alive, ordered, 1000, 85, 100_000).collect()
+    assert sorted(tuple(sorted(e)) for e in edges) == [(2 * i, 2 * i + 1) for i in range(5)]
+
+
 def test_set_join_of_an_empty_table(spark):
     assert setjoin.similar_sets(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
