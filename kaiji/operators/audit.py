@@ -44,13 +44,16 @@ def asset_audit(catalog: DataFrame, listing: DataFrame, as_of: str, flag: str =
 
     Repairs (D5, D22 fixed): a ghost loses its path and a zip ghost becomes
     ``invalid``; a missing file becomes ``pending``, or ``unrecoverable``
-    when older than the history limit."""
+    when older than the history limit. Rows that are neither a ghost nor
+    expect a file leave before the join, with the columns that no issue needs."""
     lst = listing.select(F.col("path").alias("_listed")).distinct()
     expected = F.coalesce(F.col(path), repo_path("doc_id", "submit_at", "zip"))
-    c = catalog.withColumn("_expected", F.when(F.col(flag), expected))
-    c = c.join(lst, c["_expected"] == lst["_listed"], "left")
-    limit = F.add_months(F.to_date(F.lit(as_of)), -12 * limit_years)
     ghost = ~F.col(flag) & F.col(path).isNotNull()
+    c = catalog.filter(F.col(flag) | ghost).select("doc_id", "submit_at", flag, path, F.when(F.col(flag), expected).alias("_expected"))
+    # ghosts expect no file: they get keys of their own, match nothing and don't meet in one task
+    key = F.coalesce("_expected", F.concat(F.lit("\u0000"), F.coalesce("doc_id", F.col(path))))
+    c = c.join(lst, key == F.col("_listed"), "left")
+    limit = F.add_months(F.to_date(F.lit(as_of)), -12 * limit_years)
     missing = F.col(flag) & F.col("_listed").isNull()
     old = F.to_date("submit_at") < limit
     issue = F.when(ghost, "ghost").when(missing, "missing")
