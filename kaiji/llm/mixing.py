@@ -108,10 +108,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     """The rows of ``docs`` that the mix takes, as often as it takes them.
 
     The one document that the budget's end cuts stays whole if half of it is taken.
+    A row without its text is small, so the queue's rows are rebalanced: ``mix`` stages a few files, not one per part of ``docs``.
     """
     key, copies = fresh("row_key", docs), fresh("copies", docs)
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-                       row_hash(docs).alias("key"))
+                       row_hash(docs).alias("key")).hint("rebalance")
     taken = mix(rows, **how).withColumn("copies", F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int"))
     taken = stage(taken.groupBy("key").agg(F.sum("copies").alias(copies)).filter(F.col(copies) > 0)
                   .withColumnRenamed("key", key), "mix-taken")  # equal rows are interchangeable: their copies add up

@@ -61,6 +61,21 @@ def test_mixed_documents_repeat_as_taken(spark):
     assert mixing.mixed_documents(df.limit(0)).count() == 0
 
 
+def test_many_parts_are_staged_as_few_files(spark, monkeypatch):
+    files = {}
+
+    def counted(df, name):
+        out = stage(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    stage = mixing.stage
+    monkeypatch.setattr(mixing, "stage", counted)
+    df = spark.range(400).selectExpr("id AS doc_id", "repeat('w ', 5) AS text", "'a' AS source").repartition(40)
+    assert mixing.mixed_documents(df).count() == 600
+    assert files["mix-rows"] <= 8  # 40 before: each file that a task makes on a local disk starts two chmod processes
+
+
 # ---- sharding
 
 def test_shards_slots_and_growth(spark):
