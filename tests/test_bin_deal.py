@@ -34,3 +34,14 @@ def test_order_columns_of_facts_move_once(spark):
     got = FT.dedupe_facts(rows, ["docid"], newest_first())
     assert [r["v"] for r in got.collect()] == ["newest"] and got.columns == rows.columns
     assert "_o1" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_run_derives_facts_with_their_bins_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from kaiji.plans import files as P
+    from kaiji.plans import merge as M
+    plans, write = [], K.write_delta_chunk
+    monkeypatch.setattr(M.K, "write_delta_chunk", lambda df, *a: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, *a)))
+    got = M._bins(spark, SF_SMALL, "texts", P.filing_bins(spark, SF_SMALL))
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    assert got.count() == P.fact_bins(spark, SF_SMALL, "texts").select("bin", "docid", "key").distinct().count()
